@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import sys
 import unicodedata
 from functools import lru_cache
@@ -129,17 +130,15 @@ def capitalise(text: Column) -> Column:
 
 
 def split_first(text: Column, separator: str) -> Column:
-    """struct<position, left, right> around the first separator, both sides trimmed.
+    """struct<found, left, right> around the first separator, both sides trimmed.
 
-    Without a separator the position is 0 and both sides are ''.
+    Without a separator both sides are ''.
     """
-    position = F.instr(text, separator)
-    left = F.trim(F.substr(text, F.lit(1), position - 1))
-    right = F.trim(F.substr(text, position + len(separator)))
+    pattern = rf"(?s)^(.*?){re.escape(separator)}(.*)$"
     return F.struct(
-        position.alias("position"),
-        F.when(position > 0, left).otherwise("").alias("left"),
-        F.when(position > 0, right).otherwise("").alias("right"),
+        text.contains(separator).alias("found"),
+        F.trim(F.regexp_extract(text, pattern, 1)).alias("left"),
+        F.trim(F.regexp_extract(text, pattern, 2)).alias("right"),
     )
 
 

@@ -16,16 +16,22 @@ def area_km2(value: Column, unit: Column, factor: float = SQ_MI_TO_KM2) -> Colum
     return F.round(F.when(miles, value * F.lit(factor)).otherwise(value), 3)
 
 
+def round_even(value: Column, digits: int) -> Column:
+    """Round in binary floating point with ties to even, as array libraries do."""
+    scale = F.lit(float(10**digits))
+    return F.rint(value * scale) / scale
+
+
 def to_eur(value: Column, units_per_eur: Column) -> Column:
     return value / units_per_eur
 
 
 def population_density(population: Column, area: Column) -> Column:
-    return F.round(F.try_divide(population, area), 4)
+    return round_even(F.try_divide(population, area), 4)
 
 
 def per_capita(total: Column, population: Column) -> Column:
-    return F.round(F.try_divide(total, population), 2)
+    return round_even(F.try_divide(total, population), 2)
 
 
 def energy_density(power: Column, population: Column, factor: int = DENSITY_FACTOR) -> Column:

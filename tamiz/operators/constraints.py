@@ -20,8 +20,17 @@ def row_checks(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
 
     As in SQL, a CHECK that evaluates to NULL is not a violation.
     """
-    counts = df.agg(*[F.count_if(~ok).alias(name) for name, ok in checks.items()])
-    return counts.unpivot([], list(checks), "constraint_name", "violations")
+    return _unpivoted(df, {name: F.count_if(~ok) for name, ok in checks.items()}, "constraint_name", "violations")
+
+
+def _unpivoted(df: DataFrame, totals: dict[str, Column], name: str, value: str) -> DataFrame:
+    """Several aggregates of one pass as rows (name, value)."""
+    counts = df.agg(*[total.alias(f"t{i}") for i, total in enumerate(totals.values())])
+    rows = [
+        F.struct(F.lit(label).alias(name), F.col(f"t{i}").alias(value))
+        for i, label in enumerate(totals)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def unique_check(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
@@ -63,8 +72,8 @@ def is_subset(inner: DataFrame, outer: DataFrame, key: str) -> DataFrame:
 
 def expectations(df: DataFrame, expected: dict[str, tuple[Column, object]]) -> DataFrame:
     """Cardinality and checksum expectations: (name, expected, actual, passed)."""
-    measured = df.agg(*[actual.cast("double").alias(name) for name, (actual, _) in expected.items()])
-    actuals = measured.unpivot([], list(expected), "expectation", "actual")
+    totals = {name: actual.cast("double") for name, (actual, _) in expected.items()}
+    actuals = _unpivoted(df, totals, "expectation", "actual")
     wanted = F.create_map(
         *[F.lit(x) for name, (_, value) in expected.items() for x in (name, float(value))]
     )

@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tamiz.runtime import computed_once
+
 REASON = "motivo_rechazo"
 
 
@@ -65,7 +67,7 @@ class Contract:
     def tag(self, df: DataFrame, reason: str = REASON) -> DataFrame:
         """Coerce and add all failed checks as one text, NULL for a valid row."""
         checks = [check for rule in self.rules for check in rule.reasons()]
-        return self.coerce(df).withColumn(reason, join_reasons(checks))
+        return computed_once(self.coerce(df), {reason: join_reasons(checks)})
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         return split_by_reason(self.tag(df))

@@ -14,7 +14,7 @@ from tamiz.functions.units import area_km2, to_eur
 from tamiz.operators.audit import RUN_SCHEMA, run_finished, run_started
 from tamiz.operators.consolidate import consolidate, indicators, translate_codes
 from tamiz.operators.contract import first_reason, split_by_reason
-from tamiz.runtime import checkpoint
+from tamiz.runtime import checkpoint, computed_once
 from tamiz.sinks.tables import append, read_current, upsert_into
 from tamiz.sources.relational import country_synonyms, currency_rates, seed_populations
 
@@ -67,7 +67,7 @@ def clean_reports(
             (F.col("tasa").isNull(), F.concat(F.lit(UNKNOWN_CURRENCY), "divisa")),
         ]
     )
-    tagged = stage(coded.withColumn("motivo_rechazo", reason))
+    tagged = stage(computed_once(coded, {"motivo_rechazo": reason}))
     valid, rejected = split_by_reason(tagged)
     area = area_km2(F.col("superficie_valor"), F.col("superficie_unidad"), SQ_MI_TO_KM2)
     valid = valid.select(

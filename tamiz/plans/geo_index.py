@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.functions.text import district_key
+from tamiz.functions.units import round_even
 from tamiz.operators.numbering import rank_positions
 from tamiz.operators.scoring import min_max, opportunity_index
 from tamiz.operators.spatial import (
@@ -54,7 +55,7 @@ def result_table(index: DataFrame) -> DataFrame:
         "densidad_norm",
         "IOI",
     ]
-    return ranked.withColumns({c: F.round(c, 2) for c in rounded}).orderBy("position")
+    return ranked.withColumns({c: round_even(F.col(c), 2) for c in rounded}).orderBy("position")
 
 
 def station_export(valid: DataFrame, rejected: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from tamiz.functions.rows import key_values
 from tamiz.functions.text import capitalise, split_first, trim_columns
 from tamiz.operators.contract import first_reason, split_by_reason
 from tamiz.operators.star import fact_rows, insert_new_members
+from tamiz.runtime import computed_once
 from tamiz.sinks.tables import append_absent, publish, read_current, upsert
 
 SOURCE_COLUMNS = ["jugador_equipo", "partido", "goles", "asistencias", "fecha_partido"]
@@ -39,20 +40,19 @@ def tag_rows(raw: DataFrame, excluded: Sequence[str] = EXCLUDED_COUNTRIES) -> Da
     """
     kept = raw.select(*SOURCE_COLUMNS, *[F.col(c).alias(f"_{c}") for c in SOURCE_COLUMNS])
     kept = trim_columns(kept, *SOURCE_COLUMNS)
-    player, match = F.col("_player"), F.col("_match")
+    player, match = split_first(F.col("jugador_equipo"), "-"), split_first(F.col("partido"), " vs ")
     split = kept.withColumns(
         {
-            "_player": split_first(F.col("jugador_equipo"), "-"),
-            "_match": split_first(F.col("partido"), " vs "),
+            "nombre_jugador": player["left"],
+            "pais": player["right"],
+            "equipo_local": match["left"],
+            "equipo_visitante": match["right"],
             "_candidate": parse.iso_candidate(F.col("fecha_partido")),
         }
     )
     typed = split.withColumns(
         {
-            "nombre_jugador": player["left"],
-            "pais": capitalise(player["right"]),
-            "equipo_local": match["left"],
-            "equipo_visitante": match["right"],
+            "pais": capitalise(F.col("pais")),
             "_date": F.col("_candidate").try_cast("date"),
             "_goals": F.col("goles").try_cast("int"),
             "_assists": parse.count_or_zero(F.col("asistencias")),
@@ -68,7 +68,7 @@ def tag_rows(raw: DataFrame, excluded: Sequence[str] = EXCLUDED_COUNTRIES) -> Da
         [
             (failed_cast, F.lit(CONVERSION_REASON)),
             (
-                (player["position"] <= 0) | (F.col("nombre_jugador") == "") | (country == ""),
+                ~player["found"] | (F.col("nombre_jugador") == "") | (country == ""),
                 F.concat(F.lit("RF-01: jugador o pais vacio en '"), "jugador_equipo", F.lit("'")),
             ),
             (
@@ -80,12 +80,12 @@ def tag_rows(raw: DataFrame, excluded: Sequence[str] = EXCLUDED_COUNTRIES) -> Da
                 F.concat(F.lit("RF-04: formato de fecha no reconocido: "), "fecha_partido"),
             ),
             (
-                match["position"] <= 0,
+                ~match["found"],
                 F.concat(F.lit("Formato de partido no reconocido: "), "partido"),
             ),
         ]
     )
-    return typed.withColumn("motivo_rechazo", reason)
+    return computed_once(typed, {"motivo_rechazo": reason})
 
 
 def clean(

@@ -14,7 +14,7 @@ from tamiz.functions import parse
 from tamiz.functions.rows import raw_cell
 from tamiz.functions.text import strip_space
 from tamiz.operators.contract import error_rows
-from tamiz.runtime import checkpoint
+from tamiz.runtime import checkpoint, computed_once
 from tamiz.sinks.files import export_csv
 from tamiz.sinks.tables import append, append_absent, read_current, upsert_into
 
@@ -41,11 +41,12 @@ def clean_products(
     in_scope = categories.filter(F.col("NombreCategoria").isin(list(scope))).select("CategoriaID")
     kept = products.join(in_scope, "CategoriaID", "left_semi")
     skipped = products.join(in_scope, "CategoriaID", "left_anti")
-    priced = kept.withColumns(
+    priced = computed_once(
+        kept,
         {
             "_buy": parse.money(F.col("Precio_Compra"), "Precio_Compra", rate),
             "_sell": parse.money(F.col("Precio_Venta"), "Precio_Venta", rate),
-        }
+        },
     )
 
     def cell(name: str):
@@ -67,8 +68,9 @@ def clean_products(
 
 def clean_clients(clients: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid clients, error rows)."""
-    parsed = clients.withColumns(
-        {"_c": parse.client(F.col("Cliente_Data")), "Email": strip_space(F.col("Email"))}
+    parsed = computed_once(
+        clients,
+        {"_c": parse.client(F.col("Cliente_Data")), "Email": strip_space(F.col("Email"))},
     )
     raw = raw_cell("ClienteID", F.col("ClienteID"), "Cliente_Data", F.col("Cliente_Data"))
     errors = error_rows(parsed, "Clientes", [(raw, F.col("_c.reason"))])
@@ -93,16 +95,12 @@ def clean_sales(
     """
     products = product_ids.select("ProductoID").distinct().withColumn("_product", F.lit(True))
     clients = client_ids.select("ClienteID").distinct().withColumn("_client", F.lit(True))
-    checked = stage(
-        sales.join(products, "ProductoID", "left")
-        .join(clients, "ClienteID", "left")
-        .withColumns(
-            {
-                "_date": parse.date(F.col("Fecha")),
-                "_amount": parse.money(F.col("MontoTotal_Raw"), "MontoTotal_Raw", rate),
-            }
-        )
-    )
+    linked = sales.join(products, "ProductoID", "left").join(clients, "ClienteID", "left")
+    parsed = {
+        "_date": parse.date(F.col("Fecha")),
+        "_amount": parse.money(F.col("MontoTotal_Raw"), "MontoTotal_Raw", rate),
+    }
+    checked = stage(computed_once(linked, parsed))
 
     def cell(name: str, quoted: bool = True):
         return raw_cell("VentaID", F.col("VentaID"), name, F.col(name), quoted)

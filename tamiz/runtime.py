@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Join sides up to this many rows are broadcast. The sides concerned are narrow
@@ -19,6 +19,7 @@ def local_session(app: str = "tamiz", cpus: str | int = "*", **conf: str) -> Spa
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
@@ -64,3 +65,15 @@ def join_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """
     staged = checkpoint(df)
     return F.broadcast(staged) if staged.count() <= max_rows else staged
+
+
+def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add (or replace) columns that later filters must not compute again.
+
+    A plain projection lets the optimizer copy its expressions into every filter that
+    is pushed below it. A generator over one row is a border such filters stop at,
+    while code generation and column pruning still work across it.
+    """
+    kept = [F.col(c) for c in df.columns if c not in columns]
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select(*kept, F.inline(F.array(row)))

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 # Every Unicode white space, spelled so that Java and RE2 read it alike.
 SPACE = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]"
 HANGUL_FIRST, HANGUL_LAST = 0xAC00, 0xD7A3
+# A private-use character that marks a longer decomposition during translation.
+MANY = "\uE000"
 
 
 def strip_space(text: Column) -> Column:
@@ -37,8 +39,9 @@ def trim_columns(df, *names: str):
 def _decompositions() -> tuple[str, str, dict[str, str]]:
     """Compatibility decompositions without combining marks, by rule from Unicode.
 
-    Returns the two `translate` strings (characters beyond the end of the second
-    are deleted) and the characters that decompose into several.
+    Returns the two `translate` strings and the characters that decompose into several.
+    In `translate` those (and Hangul syllables) become MANY; characters beyond the end
+    of the second string are deleted.
     """
     single, dropped, several = {}, [], {}
     for code in range(0x80, sys.maxunicode + 1):
@@ -56,17 +59,9 @@ def _decompositions() -> tuple[str, str, dict[str, str]]:
             single[char] = plain
         else:
             several[char] = plain
-    return "".join(single) + "".join(dropped), "".join(single.values()), several
-
-
-def _char_class(chars) -> str:
-    codes = sorted(ord(c) for c in chars)
-    ranges, start = [], codes[0]
-    for here, following in zip(codes, codes[1:] + [None]):
-        if following != here + 1:
-            ranges.append(f"\\x{{{start:X}}}-\\x{{{here:X}}}")
-            start = following
-    return "[" + "".join(ranges) + "]"
+    many = [*several, *map(chr, range(HANGUL_FIRST, HANGUL_LAST + 1))]
+    source = "".join([*single, *many, *dropped])
+    return source, "".join(single.values()) + MANY * len(many), several
 
 
 def _syllable(char: Column) -> Column:
@@ -85,8 +80,8 @@ def _syllable(char: Column) -> Column:
 def strip_accents(text: Column) -> Column:
     """Compatibility decomposition (NFKD) without combining marks.
 
-    ASCII text passes through, single-letter decompositions are one `translate`;
-    only strings holding ligatures or Hangul take the per-character path.
+    ASCII text passes through and other text takes one `translate`. Only if that met a
+    character with a longer decomposition is the text spelled out character by character.
     """
     source, target, several = _decompositions()
     table = F.from_json(F.lit(json.dumps(several)), "map<string,string>")
@@ -94,16 +89,23 @@ def strip_accents(text: Column) -> Column:
     def expand(char: Column) -> Column:
         code = F.ascii(char)
         return F.when(code.between(HANGUL_FIRST, HANGUL_LAST), _syllable(char)).otherwise(
-            F.coalesce(F.try_element_at(table, char), char)
+            F.coalesce(F.try_element_at(table, char), F.translate(char, source, target))
         )
 
-    spread = F.array_join(F.transform(F.split(text, ""), expand), "")
-    many = _char_class(list(several)) + f"|[\\x{{{HANGUL_FIRST:X}}}-\\x{{{HANGUL_LAST:X}}}]"
-    return (
-        F.when(~text.rlike(r"[^\x00-\x7F]"), text)
-        .when(text.rlike(many), F.translate(spread, source, target))
-        .otherwise(F.translate(text, source, target))
-    )
+    def plain(value: Column) -> Column:
+        spelled = F.array_join(F.transform(F.split(value, ""), expand), "")
+        translated = _bind(
+            F.translate(value, source, target),
+            lambda t: F.when(t.contains(MANY), spelled).otherwise(t),
+        )
+        return F.when(~value.rlike(r"[^\x00-\x7F]"), value).otherwise(translated)
+
+    return _bind(text, plain)
+
+
+def _bind(value: Column, use) -> Column:
+    """Apply `use` to a value that is computed only once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
 
 
 def country_key(name: Column) -> Column:

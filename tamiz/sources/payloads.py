@@ -29,11 +29,13 @@ def usable_payload(items: Column) -> Column:
     return F.coalesce(F.size(items) > 0, F.lit(False))
 
 
-def read_geojson(spark: SparkSession, path: str, name_property: str) -> DataFrame:
+def read_geojson(
+    spark: SparkSession, path: str, name_property: str, multi_line: bool = True
+) -> DataFrame:
     """(feature_name, rings): one row per feature, polygons and multipolygons alike."""
     features = (
         spark.read.schema(POLYGON_FEATURE)
-        .json(path, multiLine=True)
+        .json(path, multiLine=multi_line)
         .select(F.explode("features").alias("f"))
     )
     text, shape = F.col("f.geometry.coordinates"), F.col("f.geometry.type")

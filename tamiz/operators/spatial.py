@@ -14,6 +14,8 @@ from tamiz.functions.units import energy_density, haversine_km
 from tamiz.runtime import join_side
 
 RINGS_TYPE = "array<array<struct<lon:double,lat:double>>>"
+# Cell rows carry a few edges each, so they are heavier than other broadcast rows.
+CELL_ROWS = 50_000
 
 
 def ring_edges(ring: Column) -> Column:
@@ -90,27 +92,20 @@ def within_join(
 ) -> DataFrame:
     """Left join: one row per point and containing polygon, `name` NULL if there is none.
 
-    Points meet polygons through an equi-join on grid cells. The cell table is
-    broadcast when counted small; the points are then neither shuffled nor sorted.
-    A point is matched to all candidates of its cell in its own row, so no further
-    shuffle is needed to find the points left over.
+    Points meet polygons through an equi-join on grid cells with the exact test as a
+    further join condition, so neither candidate pairs nor leftover points need another
+    shuffle. The cell table is broadcast when counted small; the points then stay where
+    they are.
     """
-    table = polygon_cells(polygons, name, cell)
-    candidates = table.groupBy("_cx", "_cy").agg(
-        F.collect_list(F.struct(F.col(name).alias("name"), F.col("_edges").alias("edges"))).alias(
-            "_near"
-        )
-    )
+    side = join_side(polygon_cells(polygons, name, cell), max_rows=CELL_ROWS)
     x, y = F.col(lon), F.col(lat)
-    placed = points.withColumns({"_cx": F.floor(x / cell), "_cy": F.floor(y / cell)})
-    joined = placed.join(join_side(candidates, max_rows=50_000), ["_cx", "_cy"], "left")
-    inside = F.filter(
-        F.coalesce(F.col("_near"), F.expr("array()").cast(candidates.schema["_near"].dataType)),
-        lambda p: is_inside(x, y, p["edges"]),
+    placed = points.withColumns({"_px": F.floor(x / cell), "_py": F.floor(y / cell)})
+    matches = (
+        (F.col("_px") == F.col("_cx"))
+        & (F.col("_py") == F.col("_cy"))
+        & is_inside(x, y, F.col("_edges"))
     )
-    names = F.transform(inside, lambda p: p["name"])
-    matched = joined.withColumn(name, F.explode_outer(names))
-    return matched.select(*points.columns, name)
+    return placed.join(side, matches, "left").select(*points.columns, name)
 
 
 def split_by_polygon(joined: DataFrame, name: str, reason: str = OUTSIDE_REASON):

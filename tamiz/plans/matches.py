@@ -12,7 +12,7 @@ from tamiz.fixed_values import EXCLUDED_COUNTRIES, MATCH_SOURCE_NAME
 from tamiz.functions import parse
 from tamiz.functions.rows import key_values
 from tamiz.functions.text import capitalise, split_first, trim_columns
-from tamiz.operators.contract import first_reason, split_by_reason
+from tamiz.operators.contract import first_reason
 from tamiz.operators.star import fact_rows, insert_new_members
 from tamiz.runtime import computed_once
 from tamiz.sinks.tables import append_absent, publish, read_current, upsert
@@ -88,12 +88,9 @@ def tag_rows(raw: DataFrame, excluded: Sequence[str] = EXCLUDED_COUNTRIES) -> Da
     return computed_once(typed, {"motivo_rechazo": reason})
 
 
-def clean(
-    raw: DataFrame, source: str = MATCH_SOURCE_NAME, detected: date | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(staged rows, error rows)."""
-    valid, rejected = split_by_reason(tag_rows(raw))
-    staged = valid.select(
+def stage_rows(tagged: DataFrame) -> DataFrame:
+    """The valid rows, typed, as they are staged."""
+    return tagged.filter(F.col("motivo_rechazo").isNull()).select(
         "nombre_jugador",
         "pais",
         "equipo_local",
@@ -102,14 +99,19 @@ def clean(
         F.col("_goals").alias("goles"),
         F.col("_assists").alias("asistencias"),
     )
+
+
+def error_file(
+    tagged: DataFrame, source: str = MATCH_SOURCE_NAME, detected: date | None = None
+) -> DataFrame:
+    """The rejected rows with their reason and original text."""
     stamp = F.current_date() if detected is None else F.lit(detected)
-    errors = rejected.select(
+    return tagged.filter(F.col("motivo_rechazo").isNotNull()).select(
         "motivo_rechazo",
         F.lit(source).alias("tabla_origen"),
         key_values({c: F.col(f"_{c}") for c in SOURCE_COLUMNS}).alias("datos_raw"),
         stamp.alias("fecha_deteccion"),
     )
-    return staged, errors
 
 
 def _grow(path: str, staged: DataFrame, key: list[str], id: str) -> DataFrame:

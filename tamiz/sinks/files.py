@@ -20,9 +20,12 @@ def export_csv(df: DataFrame, path: str) -> DataFrame:
     return written.agg(F.count(F.lit(1)).alias("rows"))
 
 
-def write_staging(df: DataFrame, path: str, separator: str = "|") -> None:
-    """Replace a delimited staging file set."""
-    df.write.mode("overwrite").option("header", True).option("sep", separator).csv(path)
+def write_staging(df: DataFrame, path: str, separator: str = "|", quoted: bool = True) -> None:
+    """Replace a delimited staging file set; unquoted text must not hold the separator."""
+    writer = df.write.mode("overwrite").option("header", True).option("sep", separator)
+    if not quoted:
+        writer = writer.option("quote", "").option("emptyValue", "")
+    writer.csv(path)
 
 
 def labelled_union(valid: DataFrame, rejected: DataFrame, columns: dict[str, dict]) -> DataFrame:

@@ -39,12 +39,15 @@ def money(text: Column, label: str = "Importe", usd_per_eur: float = USD_PER_EUR
 def date(text: Column) -> Column:
     """struct<value date, reason string>: ISO, then day-first, then month-first."""
     clean = strip_space(text)
-    iso = F.when(clean.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(clean, "yyyy-MM-dd"))
-    slashed = F.when(
-        clean.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"),
-        F.coalesce(F.try_to_date(clean, "d/M/yyyy"), F.try_to_date(clean, "M/d/yyyy")),
+    first, second, year = (F.split_part(clean, F.lit("/"), F.lit(n)) for n in (1, 2, 3))
+
+    def read(year: Column, month: Column, day: Column) -> Column:
+        return F.concat_ws("-", year, month, day).try_cast("date")
+
+    value = F.when(clean.rlike(r"^(?!0000)\d{4}-\d{2}-\d{2}$"), clean.try_cast("date")).when(
+        clean.rlike(r"^\d{1,2}/\d{1,2}/(?!0000)\d{4}$"),
+        F.coalesce(read(year, second, first), read(year, first, second)),
     )
-    value = F.coalesce(iso, slashed)
     blank = text.isNull() | F.upper(clean).isin("", "INVALID_DATE")
     reason = F.when(blank, F.concat(F.lit("Fecha inválida: "), shown(text))).when(
         value.isNull(), F.concat(F.lit("Formato de fecha no reconocido: "), clean)

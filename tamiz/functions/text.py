@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 
 # Every Unicode white space, spelled so that Java and RE2 read it alike.
 SPACE = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]"
+SPACE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 HANGUL_FIRST, HANGUL_LAST = 0xAC00, 0xD7A3
 # A private-use character that marks a longer decomposition during translation.
 MANY = "\uE000"
 
 
 def strip_space(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACE_CHARS))
 
 
 def collapse_space(text: Column) -> Column:

@@ -14,7 +14,7 @@ from tamiz.functions.rows import key_values
 from tamiz.functions.text import capitalise, split_first, trim_columns
 from tamiz.operators.contract import first_reason
 from tamiz.operators.star import fact_rows, insert_new_members
-from tamiz.runtime import computed_once
+from tamiz.runtime import checkpoint, computed_once
 from tamiz.sinks.tables import append_absent, publish, read_current, upsert
 
 SOURCE_COLUMNS = ["jugador_equipo", "partido", "goles", "asistencias", "fecha_partido"]
@@ -123,7 +123,11 @@ def _grow(path: str, staged: DataFrame, key: list[str], id: str) -> DataFrame:
 
 
 def load(staged: DataFrame, errors: DataFrame, target: str) -> dict[str, DataFrame]:
-    """Grow both dimensions, upsert the facts, file new errors. A rerun changes nothing."""
+    """Grow both dimensions, upsert the facts, file new errors. A rerun changes nothing.
+
+    The staged rows are materialised once, as three tables are built from them.
+    """
+    staged = checkpoint(staged)
     players = _grow(f"{target}/dim_jugadores", staged, PLAYER_KEY, "jugador_id")
     matches = _grow(f"{target}/dim_partidos", staged, MATCH_KEY, "partido_id")
     facts = fact_rows(

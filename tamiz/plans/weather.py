@@ -19,7 +19,7 @@ from tamiz.operators.contract import Contract, Rule
 from tamiz.operators.latest import keep_latest, newest_first
 from tamiz.operators.timeseries import daily_summary, moving_average, zscore
 from tamiz.sinks.files import land_envelopes
-from tamiz.sinks.tables import append, merge_partitions, overwrite_partitions
+from tamiz.sinks.tables import append, merge_partitions, overwrite_partitions, path_exists
 from tamiz.sources.envelope import (
     arbitrate_origin,
     as_envelopes,
@@ -61,12 +61,7 @@ def ingest(
     """
     batch_id, stamp = batch or new_batch()
     spark = requested.sparkSession
-    try:
-        landed = read_envelopes(spark, [raw])
-    except Exception as error:  # nothing has landed yet
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        landed = read_envelopes(spark, [])
+    landed = read_envelopes(spark, [raw] if path_exists(spark, raw) else [])
     summary = arbitrate_origin(requested, fetched, landed, batch_id, stamp)
     land_envelopes(as_envelopes(summary), raw)
     return summary.select("ciudad", "origen", "id_lote", "timestamp_ingesta_utc")

@@ -14,15 +14,15 @@ from tamiz.operators.star import fact_rows, insert_new_members
 from tamiz.plans import matches, shop
 from tamiz.queries.base import query, table
 from tamiz.queries.quality import (
+    IN_SCOPE,
     MATCH_SQL,
     SHOP_SQL,
-    clean_shop,
     event_contract,
     dirty_events,
     match_lines,
     shop_tables,
 )
-from tamiz.runtime import work_dir
+from tamiz.runtime import checkpoint, work_dir
 from tamiz.sinks.files import export_csv, write_staging
 from tamiz.sinks.tables import (
     append,
@@ -360,7 +360,7 @@ def shop_star(spark, sf_dir):
     tables["Ubicaciones"] = table(spark, sf_dir, "region").select(
         F.col("r_regionkey").alias("UbicacionID"), F.col("r_name").alias("Ciudad"), F.lit("ES").alias("Pais")
     )
-    cleaned = clean_shop(spark, sf_dir)
+    cleaned = shop.clean(tables, IN_SCOPE, stage=checkpoint)
     path, counts = work_dir(spark, "shop"), None
     for name, (rows, keys) in shop.star_tables(tables, cleaned).items():
         if name in ("dim_vendedores", "dim_ubicaciones"):

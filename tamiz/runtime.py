@@ -71,9 +71,12 @@ def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add (or replace) columns that later filters must not compute again.
 
     A plain projection lets the optimizer copy its expressions into every filter that
-    is pushed below it. A generator over one row is a border such filters stop at,
-    while code generation and column pruning still work across it.
+    is pushed below it. A generator over one row is a border such filters stop at. The
+    expressions themselves stay in a projection below it, where code generation shares
+    their common parts; column pruning still works across the border.
     """
     kept = [F.col(c) for c in df.columns if c not in columns]
-    row = F.struct(*[value.alias(name) for name, value in columns.items()])
-    return df.select(*kept, F.inline(F.array(row)))
+    hidden = {name: f"_once_{name}" for name in columns}
+    ready = df.withColumns({hidden[name]: value for name, value in columns.items()})
+    row = F.struct(*[F.col(hidden[name]).alias(name) for name in columns])
+    return ready.select(*kept, F.inline(F.array(row)))

@@ -59,10 +59,19 @@ def read_current(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(f"{path}/{VERSION}={newest}")
 
 
+def _folder_of(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder, files = _folder_of(spark, path)
+    return files.exists(folder)
+
+
 def current_version(spark: SparkSession, path: str) -> int | None:
     """Highest version whose write was committed."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    folder, files = _folder_of(spark, path)
     if not files.exists(folder):
         return None
     versions = []
@@ -114,10 +123,13 @@ def append(path: str, rows: DataFrame, **tags: Column) -> None:
 
 
 def read_if_exists(spark: SparkSession, path: str, like: DataFrame | None = None):
+    """The stored rows, None if the folder is missing or holds no data file yet."""
+    if not path_exists(spark, path):
+        return None
     try:
         return spark.read.schema(like.schema).parquet(path) if like else spark.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
         return None
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tamiz.fixed_values import CLIENT_PATTERN, NATIONAL_ID_PATTERN, USD_PER_EUR
-from tamiz.functions.text import strip_space
+from tamiz.functions.text import bind, strip_space
 
 
 def shown(text: Column) -> Column:
@@ -20,39 +20,49 @@ def money(text: Column, label: str = "Importe", usd_per_eur: float = USD_PER_EUR
     Symbols are dropped and a comma reads as a decimal point, so '1.234,56' is not a
     number. Dollars are recognised anywhere in the text.
     """
-    clean = F.upper(strip_space(text))
-    blank = text.isNull() | clean.isin("", "NULL")
-    digits = F.translate(F.regexp_replace(clean, r"[^0-9,.\-]", ""), ",", ".")
-    number = digits.try_cast("double")
-    dollars = clean.contains("USD") | clean.contains("$")
-    euros = F.when(dollars, number / F.lit(float(usd_per_eur))).otherwise(number)
-    reason = (
-        F.when(blank, F.concat(F.lit(f"{label} nulo o vacío: "), shown(text)))
-        .when(number.isNull(), F.concat(F.lit(f"{label} no numérico: "), text))
-        .when(number < 0, F.concat(F.lit(f"{label} negativo: "), text))
-    )
-    return F.struct(
-        F.when(reason.isNull(), F.round(euros, 2)).alias("value"), reason.alias("reason")
-    )
+
+    def read(clean: Column) -> Column:
+        digits = F.translate(F.regexp_replace(clean, r"[^0-9,.\-]", ""), ",", ".")
+        return bind(digits.try_cast("double"), lambda number: judge(clean, number))
+
+    def judge(clean: Column, number: Column) -> Column:
+        blank = clean.isNull() | clean.isin("", "NULL")
+        reason = (
+            F.when(blank, F.concat(F.lit(f"{label} nulo o vacío: "), shown(text)))
+            .when(number.isNull(), F.concat(F.lit(f"{label} no numérico: "), text))
+            .when(number < 0, F.concat(F.lit(f"{label} negativo: "), text))
+        )
+        dollars = clean.contains("USD") | clean.contains("$")
+        euros = F.when(dollars, number / F.lit(float(usd_per_eur))).otherwise(number)
+        value = F.when(~blank & (number >= 0), F.round(euros, 2))
+        return F.struct(value.alias("value"), reason.alias("reason"))
+
+    return bind(F.upper(strip_space(text)), read)
 
 
 def date(text: Column) -> Column:
     """struct<value date, reason string>: ISO, then day-first, then month-first."""
-    clean = strip_space(text)
-    first, second, year = (F.split_part(clean, F.lit("/"), F.lit(n)) for n in (1, 2, 3))
 
-    def read(year: Column, month: Column, day: Column) -> Column:
-        return F.concat_ws("-", year, month, day).try_cast("date")
+    def assemble(parts: Column, month: int, day: int) -> Column:
+        return F.concat_ws("-", parts[2], parts[month], parts[day]).try_cast("date")
 
-    value = F.when(clean.rlike(r"^(?!0000)\d{4}-\d{2}-\d{2}$"), clean.try_cast("date")).when(
-        clean.rlike(r"^\d{1,2}/\d{1,2}/(?!0000)\d{4}$"),
-        F.coalesce(read(year, second, first), read(year, first, second)),
-    )
-    blank = text.isNull() | F.upper(clean).isin("", "INVALID_DATE")
-    reason = F.when(blank, F.concat(F.lit("Fecha inválida: "), shown(text))).when(
-        value.isNull(), F.concat(F.lit("Formato de fecha no reconocido: "), clean)
-    )
-    return F.struct(value.alias("value"), reason.alias("reason"))
+    def read(clean: Column) -> Column:
+        slashed = bind(
+            F.split(clean, "/"), lambda p: F.coalesce(assemble(p, 1, 0), assemble(p, 0, 1))
+        )
+        value = F.when(
+            clean.rlike(r"^(?!0000)\d{4}-\d{2}-\d{2}$"), clean.try_cast("date")
+        ).when(clean.rlike(r"^\d{1,2}/\d{1,2}/(?!0000)\d{4}$"), slashed)
+        return bind(value, lambda day: judge(clean, day))
+
+    def judge(clean: Column, day: Column) -> Column:
+        blank = clean.isNull() | F.upper(clean).isin("", "INVALID_DATE")
+        reason = F.when(blank, F.concat(F.lit("Fecha inválida: "), shown(text))).when(
+            day.isNull(), F.concat(F.lit("Formato de fecha no reconocido: "), clean)
+        )
+        return F.struct(day.alias("value"), reason.alias("reason"))
+
+    return bind(strip_space(text), read)
 
 
 def client(text: Column) -> Column:

@@ -6,6 +6,7 @@ import json
 import re
 import sys
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -19,6 +20,11 @@ HANGUL_FIRST, HANGUL_LAST = 0xAC00, 0xD7A3
 MANY = "\uE000"
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Apply `use` to a value that is computed only once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def strip_space(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACE_CHARS))
 
@@ -95,18 +101,13 @@ def strip_accents(text: Column) -> Column:
 
     def plain(value: Column) -> Column:
         spelled = F.array_join(F.transform(F.split(value, ""), expand), "")
-        translated = _bind(
+        translated = bind(
             F.translate(value, source, target),
             lambda t: F.when(t.contains(MANY), spelled).otherwise(t),
         )
         return F.when(~value.rlike(r"[^\x00-\x7F]"), value).otherwise(translated)
 
-    return _bind(text, plain)
-
-
-def _bind(value: Column, use) -> Column:
-    """Apply `use` to a value that is computed only once, however often it is used."""
-    return F.transform(F.array(value), use)[0]
+    return bind(text, plain)
 
 
 def country_key(name: Column) -> Column:

@@ -9,28 +9,32 @@ from pyspark.sql import functions as F
 
 from tamiz.runtime import checkpoint
 
+OFFSET_BITS = 33
+
 
 def number_rows(
     df: DataFrame, order: Sequence[Column | str], out: str = "position", start: int | Column = 1
 ) -> DataFrame:
     """Consecutive numbers in `order` (which should decide every tie).
 
-    Rows are range-partitioned and staged; each partition is numbered on its own and
-    shifted by the sizes of the partitions before it.
+    Rows are range-partitioned, sorted, marked with partition and offset, and staged;
+    the sizes of the earlier partitions then shift each offset. One shuffle in all.
     """
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id())
-    staged = checkpoint(ranged)
-    sizes = staged.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
+    ranged = df.repartitionByRange(slices, *order).sortWithinPartitions(*order)
+    # The id holds the partition in its upper and the offset in its lower 33 bits.
+    staged = checkpoint(ranged.withColumn("_id", F.monotonically_increasing_id()))
+    located = staged.withColumn("_slice", F.shiftright("_id", OFFSET_BITS))
+    sizes = located.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition, so this window is as small as the shuffle is wide.
     before = F.sum("_n").over(Window.orderBy("_slice")) - F.col("_n")
     shifts = sizes.select("_slice", before.alias("_shift"))
+    offset = F.col("_id") - F.shiftleft("_slice", OFFSET_BITS)
     base = F.lit(start) if isinstance(start, int) else start
-    within = F.row_number().over(Window.partitionBy("_slice").orderBy(*order))
     return (
-        staged.join(F.broadcast(shifts), "_slice")
-        .withColumn(out, (within + F.col("_shift") + base - 1).cast("long"))
-        .drop("_slice", "_shift")
+        located.join(F.broadcast(shifts), "_slice")
+        .withColumn(out, (offset + F.col("_shift") + base).cast("long"))
+        .drop("_slice", "_shift", "_id")
     )
 
 

@@ -16,6 +16,8 @@ from tamiz.runtime import join_side
 RINGS_TYPE = "array<array<struct<lon:double,lat:double>>>"
 # Cell rows carry a few edges each, so they are heavier than other broadcast rows.
 CELL_ROWS = 50_000
+# Longer rings are checked for self-intersection by a join instead of in their row.
+EDGES_IN_ROW = 64
 
 
 def ring_edges(ring: Column) -> Column:
@@ -154,51 +156,100 @@ def within_radius(
     return points.withColumn("distance_km", distance).filter(F.col("distance_km") <= radius_km)
 
 
-def polygon_validity(polygons: DataFrame, id: str) -> DataFrame:
+def polygon_validity(
+    polygons: DataFrame, id: str, edges_in_row: int = EDGES_IN_ROW
+) -> DataFrame:
     """Per polygon: are all rings closed, does any ring cross itself, is it valid.
 
-    Edges of a ring are compared pairwise inside the polygon's own row; pairs are not
-    materialised as rows, and polygons are independent of each other.
+    The edges of a ring are compared inside its row; for rings with more than
+    `edges_in_row` edges only those that share a grid cell are compared, by a join.
     """
-    ring_closed = lambda r: (F.size(r) >= 4) & (r[0] == F.element_at(r, -1))
-    closed = F.forall("rings", ring_closed)
-    crossing = F.exists("rings", lambda r: _self_crossing(ring_edges(r)))
-    return polygons.select(
+    closed = F.forall("rings", lambda r: (F.size(r) >= 4) & (r[0] == F.element_at(r, -1)))
+    edges = F.transform("rings", lambda r: _numbered_edges(r))
+    shaped = polygons.select(id, F.col("rings"), edges.alias("_rings"))
+    short = F.filter("_rings", lambda r: F.size(r) <= edges_in_row)
+    judged = shaped.select(
         id,
         F.size("rings").alias("ring_count"),
         closed.alias("is_closed"),
-        crossing.alias("self_intersects"),
-        (closed & ~crossing).alias("is_valid"),
+        F.exists(short, _clashes_in_row).alias("_short_clash"),
+    )
+    long_rings = shaped.select(id, F.posexplode("_rings").alias("_ring", "_edges")).filter(
+        F.size("_edges") > edges_in_row
+    )
+    clashing = _clashes_by_cell(long_rings, id).withColumn("_long_clash", F.lit(True))
+    clash = F.col("_short_clash") | F.coalesce("_long_clash", F.lit(False))
+    return judged.join(clashing, id, "left").select(
+        id,
+        "ring_count",
+        "is_closed",
+        clash.alias("self_intersects"),
+        (F.col("is_closed") & ~clash).alias("is_valid"),
     )
 
 
-def _self_crossing(edges: Column) -> Column:
-    """Whether two edges that are not neighbours share a point."""
+def _numbered_edges(ring: Column) -> Column:
+    """Edges of non-zero length with their number and whether they are the last."""
+    real = F.filter(ring_edges(ring), lambda e: (e["x1"] != e["x2"]) | (e["y1"] != e["y2"]))
+    ends = ("x1", "y1", "x2", "y2")
+    return F.transform(real, lambda e, i: F.struct(i.alias("i"), *[e[c].alias(c) for c in ends]))
+
+
+def _meet(a: Column, b: Column, last: Column) -> Column:
+    """Whether a and a later edge b, no neighbour of a, share a point."""
 
     def side(e: Column, x: Column, y: Column) -> Column:
         return F.signum((e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"]))
 
-    def overlap(a: Column, b: Column, low: str, high: str) -> Column:
+    def overlap(low: str, high: str) -> Column:
         a_low, a_high = F.least(a[low], a[high]), F.greatest(a[low], a[high])
         return (F.least(b[low], b[high]) <= a_high) & (F.greatest(b[low], b[high]) >= a_low)
 
-    def meet(a: Column, b: Column) -> Column:
-        return (
-            overlap(a, b, "x1", "x2")
-            & overlap(a, b, "y1", "y2")
-            & (side(a, b["x1"], b["y1"]) * side(a, b["x2"], b["y2"]) <= 0)
-            & (side(b, a["x1"], a["y1"]) * side(b, a["x2"], a["y2"]) <= 0)
-        )
+    apart = (b["i"] > a["i"] + 1) & ~((a["i"] == 0) & (b["i"] == last))
+    return (
+        apart
+        & overlap("x1", "x2")
+        & overlap("y1", "y2")
+        & (side(a, b["x1"], b["y1"]) * side(a, b["x2"], b["y2"]) <= 0)
+        & (side(b, a["x1"], a["y1"]) * side(b, a["x2"], a["y2"]) <= 0)
+    )
+
+
+def _clashes_in_row(edges: Column) -> Column:
+    last = F.size(edges) - 1
+    return F.exists(edges, lambda a: F.exists(edges, lambda b: _meet(a, b, last)))
 
-    real = F.filter(edges, lambda e: (e["x1"] != e["x2"]) | (e["y1"] != e["y2"]))
-    numbered = F.transform(
-        real, lambda e, i: F.struct(i.alias("i"), e["x1"].alias("x1"), e["y1"].alias("y1"),
-                                    e["x2"].alias("x2"), e["y2"].alias("y2"))
+
+def _clashes_by_cell(rings: DataFrame, id: str) -> DataFrame:
+    """Ids of polygons with a ring that meets itself. Each ring's box is divided into as
+    many cells as the ring has edges, so a cell holds few of them."""
+    xs = F.transform("_edges", lambda e: e["x1"])
+    ys = F.transform("_edges", lambda e: e["y1"])
+    sides = F.ceil(F.sqrt(F.size("_edges")))
+    boxed = rings.select(
+        id,
+        "_ring",
+        (F.size("_edges") - 1).alias("_last"),
+        F.array_min(xs).alias("_x0"),
+        F.array_min(ys).alias("_y0"),
+        F.nullif((F.array_max(xs) - F.array_min(xs)) / sides, F.lit(0.0)).alias("_w"),
+        F.nullif((F.array_max(ys) - F.array_min(ys)) / sides, F.lit(0.0)).alias("_h"),
+        F.explode("_edges").alias("e"),
     )
-    last = F.size(real) - 1
 
-    def clash(a: Column) -> Column:
-        apart = lambda b: (b["i"] > a["i"] + 1) & ~((a["i"] == 0) & (b["i"] == last))
-        return F.exists(numbered, lambda b: apart(b) & meet(a, b))
+    def cells(low: str, high: str, origin: str, width: str) -> Column:
+        def cell(value: Column) -> Column:
+            return F.coalesce(F.floor((value - F.col(origin)) / F.col(width)), F.lit(0))
 
-    return F.exists(numbered, clash)
+        first = F.least(F.col(f"e.{low}"), F.col(f"e.{high}"))
+        last = F.greatest(F.col(f"e.{low}"), F.col(f"e.{high}"))
+        return F.explode(F.sequence(cell(first), cell(last)))
+
+    spread = boxed.withColumn("_cx", cells("x1", "x2", "_x0", "_w")).withColumn(
+        "_cy", cells("y1", "y2", "_y0", "_h")
+    )
+    place = [id, "_ring", "_cx", "_cy"]
+    left = spread.select(*place, "_last", F.col("e").alias("a"))
+    right = spread.select(*place, F.col("e").alias("b"))
+    met = left.join(right, place).filter(_meet(F.col("a"), F.col("b"), F.col("_last")))
+    return met.select(id).distinct()

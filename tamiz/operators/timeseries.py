@@ -48,14 +48,23 @@ def moving_average(
     return _moving_average_cut(df, key, order, value, rows, out, width)
 
 
-def _stretch(time: str, seconds: float) -> Column:
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
-    return F.floor(micros / F.lit(int(seconds * 1_000_000)))
+def _micros(df: DataFrame, time: str) -> Column:
+    """Microseconds that keep the order of the column whatever the session time zone."""
+    value = F.col(time)
+    if dict(df.dtypes)[time] == "timestamp_ntz":
+        # Read as if in UTC: a zone with clock changes could reorder local times.
+        parts = [F.extract(F.lit(p), value) for p in ("year", "month", "day", "hour", "minute")]
+        value = F.make_timestamp_ltz(*parts, F.extract(F.lit("second"), value), F.lit("UTC"))
+    return F.unix_micros(value.cast("timestamp"))
+
+
+def _stretch(micros: Column, seconds: float) -> Column:
+    return F.floor(micros / F.lit(max(int(seconds * 1_000_000), 1)))
 
 
 def _stretch_seconds(df: DataFrame, key: str, time: str, max_rows: int) -> float | None:
     """None if every key fits one task, else a width at which every stretch does."""
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    micros = _micros(df, time)
     sizes = df.groupBy(key).agg(
         F.count(F.lit(1)).alias("n"), (F.max(micros) - F.min(micros)).alias("span")
     )
@@ -65,7 +74,9 @@ def _stretch_seconds(df: DataFrame, key: str, time: str, max_rows: int) -> float
     largest, width = hottest["n"], max(hottest["span"], 1) / 1_000_000
     while largest > max_rows and width > 1e-6:
         width = max(width * max_rows / largest / 2, 1e-6)
-        counts = df.groupBy(key, _stretch(time, width).alias("s")).agg(F.count(F.lit(1)).alias("n"))
+        counts = df.groupBy(key, _stretch(micros, width).alias("s")).agg(
+            F.count(F.lit(1)).alias("n")
+        )
         largest = counts.agg(F.max("n")).first()[0]
     return width
 
@@ -82,7 +93,7 @@ def _moving_average_cut(
     """
     stretch = Window.partitionBy(key, "_stretch")
     marked = (
-        df.withColumn("_stretch", _stretch(order[0], width))
+        df.withColumn("_stretch", _stretch(_micros(df, order[0]), width))
         .withColumn("_ahead", F.row_number().over(stretch.orderBy(*order)))
         .withColumn("_size", F.count(F.lit(1)).over(stretch))
         .withColumn(out, F.avg(value).over(stretch.orderBy(*order).rowsBetween(1 - rows, 0)))

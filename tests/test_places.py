@@ -66,7 +66,8 @@ def test_boundary_points_are_not_within(spark):
     assert valid.count() == 2 and {r.motivo_rechazo for r in outside.collect()} == {OUTSIDE_REASON}
 
 
-def test_polygon_validity(spark):
+@pytest.mark.parametrize("edges_in_row", [0, 64])
+def test_polygon_validity(spark, edges_in_row):
     shapes = {
         "good": [[(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)]],
         "open": [[(0, 0), (4, 0), (4, 4), (0, 4)]],
@@ -75,7 +76,7 @@ def test_polygon_validity(spark):
         "repeated vertex": [[(0, 0), (4, 0), (4, 0), (4, 4), (0, 4), (0, 0)]],
         "touching": [[(0, 0), (4, 0), (2, 2), (4, 4), (0, 4), (2, 2), (0, 0)]],
     }
-    rows = {r.name: (r.is_closed, r.self_intersects, r.is_valid) for r in polygon_validity(polygons(spark, shapes), "name").collect()}
+    rows = {r.name: (r.is_closed, r.self_intersects, r.is_valid) for r in polygon_validity(polygons(spark, shapes), "name", edges_in_row).collect()}
     assert rows["good"] == rows["repeated vertex"] == (True, False, True)
     assert rows["open"] == (False, False, False) and rows["bow"] == (True, True, False)
     assert rows["short"][0] is False and rows["touching"] == (True, True, False)
@@ -136,3 +137,13 @@ def test_charging_points(spark):
 def test_radius(spark):
     near = within_radius(fallback_stations(spark), "lat", "lon", SEARCH_CENTRE, SEARCH_RADIUS_KM)
     assert near.count() == 31 and near.agg(F.max("distance_km")).first()[0] < 7
+
+
+def test_validity_of_long_rings(spark):
+    angles = np.linspace(0, 2 * np.pi, 3000, endpoint=False)
+    circle = [(float(np.cos(a)), float(np.sin(a))) for a in angles]
+    swapped = circle[:100] + [circle[101], circle[100]] + circle[102:]
+    loops = [(float(np.cos(a) * (1 + 0.4 * np.cos(5 * a))), float(np.sin(2 * a))) for a in angles]
+    shapes = {"circle": [[*circle, circle[0]]], "swapped": [[*swapped, swapped[0]]], "loops": [[*loops, loops[0]]]}
+    found = polygon_validity(polygons(spark, shapes), "name").collect()
+    assert {r.name: r.is_valid for r in found} == {"circle": True, "swapped": False, "loops": False}

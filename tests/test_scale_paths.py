@@ -42,6 +42,22 @@ def test_moving_average_cut_into_stretches(spark, seed, window, max_rows):
     np.testing.assert_allclose(merged.to_numpy(), want.sort_index().to_numpy(), rtol=1e-12)
 
 
+def test_cut_series_ignore_clock_changes(spark):
+    # Local times around a spring clock change, where zoned conversion is not monotonic.
+    start = pd.Timestamp("2024-03-31 00:00")
+    data = pd.DataFrame({"id": range(600), "ts": start + pd.to_timedelta(np.arange(600) * 30, unit="s")})
+    data["k"], data["v"] = "a", np.arange(600.0)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Madrid")
+    try:
+        local = spark.createDataFrame(data, "id int, ts timestamp_ntz, k string, v double")
+        got = moving_average(local, "k", ["ts", "id"], "v", 24, "ma", max_rows=40).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    want = data["v"].rolling(24, min_periods=1).mean()
+    np.testing.assert_allclose(got.set_index("id")["ma"].sort_index(), want)
+
+
 def shapes(seed):
     rng = np.random.default_rng(seed)
     return {

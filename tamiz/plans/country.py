@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamiz.fixed_values import SQ_MI_TO_KM2
@@ -16,6 +16,7 @@ from tamiz.operators.consolidate import consolidate, indicators, translate_codes
 from tamiz.operators.contract import first_reason, split_by_reason
 from tamiz.runtime import checkpoint, computed_once
 from tamiz.sinks.tables import append, read_current, upsert_into
+from tamiz.sources.payloads import country_populations, with_fallback
 from tamiz.sources.relational import country_synonyms, currency_rates, seed_populations
 
 NOT_EUROPEAN = "Entidad territorial no perteneciente a la region europea"
@@ -82,10 +83,21 @@ def clean_reports(
         "pib_valor": "pib_valor_orig",
         "pib_divisa": "pib_divisa_orig",
     }
-    rejected = rejected.select(*REPORT_COLUMNS, "motivo_rechazo").withColumnsRenamed(originals)
+    rejected = rejected.select(*REPORT_COLUMNS, "motivo_rechazo").withColumns(
+        {c: F.when(~F.isnan(c), F.col(c)) for c in ("superficie_valor", "pib_valor")}
+    )
+    rejected = rejected.withColumnsRenamed(originals)
     return valid, rejected
 
 
+def populations(countries: DataFrame | None, order: str = "position") -> tuple[DataFrame, str]:
+    """(population per country, origin) from parsed payload rows, or the seed table."""
+    seed = seed_populations(SparkSession.active())
+    if countries is None:
+        return seed, "FALLBACK"
+    return with_fallback(country_populations(countries, order), seed)
+
+
 def country_indicators(
     valid: DataFrame, population: DataFrame, origin: str
 ) -> tuple[DataFrame, DataFrame]:

@@ -16,6 +16,8 @@ from tamiz.operators.spatial import (
     within_join,
 )
 from tamiz.sinks.files import labelled_union
+from tamiz.sources.payloads import charging_points, with_fallback
+from tamiz.sources.relational import district_seed, fallback_stations
 
 NAME = "nombre_distrito"
 
@@ -45,6 +47,29 @@ def district_index(districts: DataFrame, socio: DataFrame, placed: DataFrame) ->
     )
 
 
+def run(
+    features: DataFrame, pois: DataFrame | None, socio: DataFrame | None = None, cell: float = 0.01
+) -> tuple[DataFrame, DataFrame, DataFrame, str]:
+    """(index, placed stations, quarantined stations, origin of the stations).
+
+    Without usable points of interest the seed stations are taken.
+    """
+    spark = features.sparkSession
+    socio = district_seed(spark) if socio is None else socio
+    stations, origin = fallback_stations(spark), "FALLBACK"
+    if pois is not None:
+        fetched = charging_points(pois).drop("fecha_creacion")
+        stations, origin = with_fallback(fetched, stations)
+    districts = keyed_districts(features)
+    placed, outside = place_stations(stations, districts, cell)
+    return district_index(districts, socio, placed), placed, outside, origin
+
+
+def unmatched_districts(index: DataFrame) -> DataFrame:
+    """Districts for which the socio-economic table has no row."""
+    return index.filter(F.col("poblacion_total").isNull()).select(NAME)
+
+
 def result_table(index: DataFrame) -> DataFrame:
     """Ranking by index, rounded for display."""
     ranked = rank_positions(index, "IOI", NAME)

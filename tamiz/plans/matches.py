@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamiz.fixed_values import EXCLUDED_COUNTRIES, MATCH_SOURCE_NAME
@@ -15,13 +15,19 @@ from tamiz.functions.text import capitalise, split_first, trim_columns
 from tamiz.operators.contract import first_reason
 from tamiz.operators.star import fact_rows, insert_new_members
 from tamiz.runtime import checkpoint, computed_once
-from tamiz.sinks.tables import append_absent, publish, read_current, upsert
+from tamiz.sinks.files import write_staging
+from tamiz.sinks.tables import append, append_absent, publish, read_current, upsert
+from tamiz.sources.delimited import read_staged, read_text_table
 
 SOURCE_COLUMNS = ["jugador_equipo", "partido", "goles", "asistencias", "fecha_partido"]
 PLAYER_KEY = ["nombre_jugador", "pais"]
 MATCH_KEY = ["equipo_local", "equipo_visitante", "fecha_partido"]
 MEASURES = ["goles", "asistencias"]
-STAGED = [*PLAYER_KEY, *MATCH_KEY, *MEASURES]
+STAGED_TYPES = (
+    "nombre_jugador string, pais string, equipo_local string, equipo_visitante string, "
+    "fecha_partido date, goles int, asistencias int"
+)
+ERROR_TYPES = "motivo_rechazo string, tabla_origen string, datos_raw string, fecha_deteccion date"
 CONVERSION_REASON = "RF-04: error de conversion de fecha (fila descartada por seguridad)"
 
 
@@ -146,3 +152,29 @@ def load(staged: DataFrame, errors: DataFrame, target: str) -> dict[str, DataFra
         "fact_estadisticas": read_current(spark, path),
         "tb_errores_migracion": filed,
     }
+
+
+def run(spark: SparkSession, source: str, target: str) -> dict[str, int]:
+    """The whole load from the delimited file: staging files, star tables, run audit."""
+    started = datetime.now()
+    tagged = checkpoint(tag_rows(read_text_table(spark, source, SOURCE_COLUMNS, ";")))
+    staging, rejects = f"{target}/staging/estadisticas", f"{target}/staging/errores"
+    write_staging(stage_rows(tagged), staging)
+    write_staging(error_file(tagged), rejects)
+    load(
+        read_staged(spark, staging, STAGED_TYPES),
+        read_staged(spark, rejects, ERROR_TYPES),
+        target,
+    )
+    valid = F.count_if(F.col("motivo_rechazo").isNull())
+    read = tagged.agg(F.count(F.lit(1)).alias("n"), valid.alias("ok")).first()
+    counts = {
+        "registros_leidos": read["n"],
+        "registros_insertados": read["ok"],
+        "registros_error": read["n"] - read["ok"],
+    }
+    times = spark.createDataFrame(
+        [(started, datetime.now())], "fecha_inicio timestamp, fecha_fin timestamp"
+    )
+    append(f"{target}/tb_ejecuciones_etl", times, **{k: F.lit(v) for k, v in counts.items()})
+    return counts

@@ -228,7 +228,8 @@ def bulk_staging(spark, sf_dir):
 
 @query("SELECT count(*) AS rows FROM supplier")
 def csv_export(spark, sf_dir):
-    return export_csv(table(spark, sf_dir, "supplier"), work_dir(spark, "export"))
+    rows = export_csv(table(spark, sf_dir, "supplier"), work_dir(spark, "export"))
+    return spark.createDataFrame([(rows,)], "rows long")
 
 
 TWO_LOADS_SQL = """

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamiz.operators.contract import counted
+
 
 def land_envelopes(envelopes: DataFrame, path: str) -> None:
     """Append raw envelopes below ciudad=/fecha_ingesta=; earlier batches are never touched."""
@@ -13,11 +15,11 @@ def land_envelopes(envelopes: DataFrame, path: str) -> None:
     keyed.write.mode("append").partitionBy("ciudad", "fecha_ingesta").json(path)
 
 
-def export_csv(df: DataFrame, path: str) -> DataFrame:
-    """Write headed CSV and return the number of rows as seen by the writer."""
-    df.write.mode("overwrite").option("header", True).csv(path)
-    written = df.sparkSession.read.schema(df.schema).csv(path, header=True)
-    return written.agg(F.count(F.lit(1)).alias("rows"))
+def export_csv(df: DataFrame, path: str) -> int:
+    """Write headed CSV; returns the number of rows, counted while they are written."""
+    watched, seen = counted(df, "export")
+    watched.write.mode("overwrite").option("header", True).csv(path)
+    return seen.get["rows"]
 
 
 def write_staging(df: DataFrame, path: str, separator: str = "|", quoted: bool = True) -> None:

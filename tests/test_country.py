@@ -85,6 +85,7 @@ def test_load_upserts_files_and_audits(spark):
         assert target.count() == 3
     assert dict(target.dtypes)["pib_per_capita_eur"] == "decimal(14,2)"
     quarantine = spark.read.parquet(f"{tables}/tb_cuarentena_geodatos")
+    assert quarantine.filter("isnan(pib_valor_orig)").isEmpty()
     assert quarantine.groupBy("id_ejecucion").count().filter("count = 5").count() == 2
     last = country.last_run(spark, tables).first()
     assert (last.id_ejecucion, last.estado, last.registros_leidos, last.registros_insertados) == (2, "OK", 12, 3)
@@ -110,6 +111,8 @@ def test_payload_and_fallback(spark):
     usable = broken.filter("country.population IS NOT NULL")
     seed, origin = with_fallback(usable, seed_populations(spark))
     assert origin == "FALLBACK" and seed.count() == 44
+    assert country.populations(rows, "pos")[1] == "API"
+    assert country.populations(None)[0].count() == 44
 
 
 def test_keys_and_units(spark):

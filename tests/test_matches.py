@@ -10,6 +10,7 @@ from tamiz.plans import matches
 from tamiz.runtime import work_dir
 from tamiz.sources.delimited import read_staged, read_text_table
 from tamiz.sinks.files import write_staging
+from tamiz.sinks.tables import read_current
 
 # The source rows that results must agree on.
 SOURCE = """\
@@ -60,10 +61,15 @@ EXPECTED_ERRORS = {
 
 
 @pytest.fixture(scope="module")
-def tagged(spark):
+def source(spark):
     path = work_dir(spark, "matches")
     spark.createDataFrame([(SOURCE.rstrip("\n"),)], "value string").coalesce(1).write.text(path)
-    return matches.tag_rows(read_text_table(spark, path, matches.SOURCE_COLUMNS, ";"))
+    return path
+
+
+@pytest.fixture(scope="module")
+def tagged(spark, source):
+    return matches.tag_rows(read_text_table(spark, source, matches.SOURCE_COLUMNS, ";"))
 
 
 def test_errors(tagged):
@@ -107,14 +113,20 @@ def test_star_grows_once(spark, tagged):
     assert later.pop(21) == "Aaron" and later == keys
 
 
+def test_whole_run(spark, source):
+    target = work_dir(spark, "run")
+    for _ in range(2):
+        counts = matches.run(spark, source, target)
+    assert counts == {"registros_leidos": 30, "registros_insertados": 22, "registros_error": 8}
+    assert read_current(spark, f"{target}/fact_estadisticas").count() == 20
+    assert spark.read.parquet(f"{target}/tb_errores_migracion").count() == 8
+    assert spark.read.parquet(f"{target}/tb_ejecuciones_etl").count() == 2
+
+
 def test_staging_file_roundtrip(spark, tagged):
     path = work_dir(spark, "staging")
     write_staging(matches.stage_rows(tagged), path)
-    schema = (
-        "nombre_jugador string, pais string, equipo_local string, equipo_visitante string, "
-        "fecha_partido date, goles int, asistencias int"
-    )
-    assert sorted(map(tuple, read_staged(spark, path, schema).collect())) == sorted(
+    assert sorted(map(tuple, read_staged(spark, path, matches.STAGED_TYPES).collect())) == sorted(
         map(tuple, matches.stage_rows(tagged).collect())
     )
     bad = work_dir(spark, "bad")

@@ -102,9 +102,10 @@ def test_district_pipeline(spark):
     assert key_difference(districts, seed, "nombre_distrito").isEmpty()
     stations = fallback_stations(spark)
     assert stations.count() == 31
-    placed, outside = geo_index.place_stations(stations, districts)
+    features = read_geojson(spark, path, "Distri_11D")
+    index, placed, outside, origin = geo_index.run(features, None)
+    assert origin == "FALLBACK" and geo_index.unmatched_districts(index).isEmpty()
     assert placed.count() + outside.count() == 31 and outside.count() > 0
-    index = geo_index.district_index(districts, seed, placed)
     rows = index.toPandas()
     assert len(rows) == 11 and (rows.num_estaciones == 0).any()
     density = rows.potencia_total_kw / rows.poblacion_total * 10000

@@ -31,6 +31,9 @@ def test_query(spark, db, name):
     cursor = db.execute(oracle_sql()[name])
     want = as_rows([d[0] for d in cursor.description], cursor.fetchall())
     assert as_rows(frame.columns, frame.collect()) == want
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas"):
+        assert unwanted not in plan
 
 
 def test_entry(spark):

@@ -45,7 +45,6 @@ CLIENT_PATTERN = r"^\s*([^,]+),\s*(.+?)\s*(?:-\s*(\S+))?\s*$"
 
 # Matches ------------------------------------------------------------------------
 EXCLUDED_COUNTRIES = ["italia", "nigeria"]
-MATCH_SOURCE_NAME = "mundial2026_estadisticas.csv"
 
 # Country indicators ---------------------------------------------------------------
 SQ_MI_TO_KM2 = 2.58999

@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.fixed_values import EXCLUDED_COUNTRIES, MATCH_SOURCE_NAME
+from tamiz.fixed_values import EXCLUDED_COUNTRIES
 from tamiz.functions import parse
 from tamiz.functions.rows import key_values
 from tamiz.functions.text import capitalise, split_first, trim_columns
@@ -107,10 +107,8 @@ def stage_rows(tagged: DataFrame) -> DataFrame:
     )
 
 
-def error_file(
-    tagged: DataFrame, source: str = MATCH_SOURCE_NAME, detected: date | None = None
-) -> DataFrame:
-    """The rejected rows with their reason and original text."""
+def error_file(tagged: DataFrame, source: str, detected: date | None = None) -> DataFrame:
+    """The rejected rows with their source, reason and original text."""
     stamp = F.current_date() if detected is None else F.lit(detected)
     return tagged.filter(F.col("motivo_rechazo").isNotNull()).select(
         "motivo_rechazo",
@@ -160,7 +158,7 @@ def run(spark: SparkSession, source: str, target: str) -> dict[str, int]:
     tagged = checkpoint(tag_rows(read_text_table(spark, source, SOURCE_COLUMNS, ";")))
     staging, rejects = f"{target}/staging/estadisticas", f"{target}/staging/errores"
     write_staging(stage_rows(tagged), staging)
-    write_staging(error_file(tagged), rejects)
+    write_staging(error_file(tagged, source.rstrip("/").rsplit("/", 1)[-1]), rejects)
     load(
         read_staged(spark, staging, STAGED_TYPES),
         read_staged(spark, rejects, ERROR_TYPES),

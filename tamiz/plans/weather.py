@@ -76,25 +76,39 @@ def clean(raw_rows: DataFrame, contract: Contract | None = None) -> tuple[DataFr
     return (contract or hourly_contract()).split(raw_rows)
 
 
-def load_clean(raw: str, silver: str, contract: Contract | None = None, rebuild: bool = False):
+def load_clean(
+    raw: str,
+    silver: str,
+    contract: Contract | None = None,
+    rebuild: bool = False,
+    since: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """Newest landed batch of every city into the partitioned clean table.
 
+    `since` limits the search for newest batches to the landing folders from that day.
     Returns (valid, quarantine) of this run; rejected rows accumulate.
     """
     spark = SparkSession.active()
-    rows = flatten_envelopes(latest_batch(read_envelopes(spark, [raw])))
+    rows = flatten_envelopes(latest_batch(read_envelopes(spark, [raw], since=since)))
     valid, rejected = clean(rows, contract)
     merge_partitions(silver, with_period(valid), KEYS, newest_first(*NEWEST), PARTITIONS, rebuild)
     append(f"{silver}/{QUARANTINE}", rejected)
     return valid, rejected
 
 
-def stream_clean(raw: str, silver: str, checkpoint: str, contract: Contract | None = None):
+def stream_clean(
+    raw: str,
+    silver: str,
+    checkpoint: str,
+    contract: Contract | None = None,
+    files_per_batch: int = 10_000,
+):
     """The same load as a stream over all raw files not yet taken."""
     files = (
         SparkSession.active()
         .readStream.schema(envelope_type())
         .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", files_per_batch)
         .json(raw)
     )
 

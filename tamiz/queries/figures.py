@@ -21,21 +21,23 @@ PROBABILITIES = [0.0, 0.25, 0.5, 0.75, 1.0]
 
 
 @query(
-    """SELECT o_custkey, median(o_totalprice) AS o_totalprice, median(o_orderkey) AS o_orderkey,
+    """SELECT o_custkey, round(median(o_totalprice), 6) AS o_totalprice, median(o_orderkey) AS o_orderkey,
     count(o_orderkey) AS n_reportes FROM orders GROUP BY o_custkey"""
 )
 def median_consolidation(spark, sf_dir):
-    return consolidate(table(spark, sf_dir, "orders"), "o_custkey", "o_totalprice", "o_orderkey")
+    found = consolidate(table(spark, sf_dir, "orders"), "o_custkey", "o_totalprice", "o_orderkey")
+    return found.withColumn("o_totalprice", F.round("o_totalprice", 6))
 
 
 @query(
-    """SELECT l_returnflag, median(l_extendedprice) AS middle, count(l_extendedprice) AS n
+    """SELECT l_returnflag, round(median(l_extendedprice), 6) AS middle, count(l_extendedprice) AS n
     FROM lineitem GROUP BY l_returnflag"""
 )
 def median_narrowed(spark, sf_dir):
     """Medians of groups treated as too large for one task."""
     line = table(spark, sf_dir, "lineitem")
-    return exact_median(line, ["l_returnflag"], "l_extendedprice", "middle", buffered_rows=500, bins=64)
+    found = exact_median(line, ["l_returnflag"], "l_extendedprice", "middle", buffered_rows=500, bins=64)
+    return found.withColumn("middle", F.round("middle", 6))
 
 
 QUANTILE_SQL = """

@@ -279,9 +279,9 @@ def streamed_clean_table(spark, sf_dir):
 
 
 @query(
-    f"""SELECT ciudad, strptime(fecha_hora_utc, '%Y-%m-%dT%H:%M')::DATE AS fecha, round(avg(temperature_2m), 6) AS temperatura_media_c,
+    f"""SELECT ciudad, strptime(fecha_hora_utc, '%Y-%m-%dT%H:%M')::DATE AS fecha, round(avg(temperature_2m), 8) AS temperatura_media_c,
       min(temperature_2m) AS temperatura_minima_c, max(temperature_2m) AS temperatura_maxima_c,
-      round(sum(precipitation), 6) AS precipitacion_total_mm, round(avg(wind_speed_10m), 6) AS viento_medio_kmh
+      round(sum(precipitation), 8) AS precipitacion_total_mm, round(avg(wind_speed_10m), 8) AS viento_medio_kmh
     FROM ({CLEAN_SQL}) GROUP BY ciudad, fecha"""
 )
 def weather_marts(spark, sf_dir):
@@ -297,7 +297,7 @@ def weather_marts(spark, sf_dir):
     daily = weather.load_marts(silver, gold)["resumen_diario"]
     rounded = ["temperatura_media_c", "precipitacion_total_mm", "viento_medio_kmh"]
     columns = ["ciudad", "fecha", "temperatura_minima_c", "temperatura_maxima_c", *rounded]
-    return daily.withColumns({c: F.round(c, 6) for c in rounded}).select(*columns)
+    return daily.withColumns({c: F.round(c, 8) for c in rounded}).select(*columns)
 
 
 @query(

@@ -387,7 +387,7 @@ def match_star(spark, sf_dir):
     """The match plan loaded twice; facts joined back to their dimensions."""
     raw = match_lines(spark, sf_dir)
     tagged = matches.tag_rows(raw, ["nation_3", "nation_12"])
-    staged, errors = matches.stage_rows(tagged), matches.error_file(tagged)
+    staged, errors = matches.stage_rows(tagged), matches.error_file(tagged, "orders")
     path = work_dir(spark, "matches")
     matches.load(staged, errors, path)
     loaded = matches.load(staged, errors, path)

@@ -101,7 +101,7 @@ def district_power(spark, sf_dir):
 
 INDEX_SQL = (
     PLACED_SQL
-    + """, socio AS (SELECT n_name, count(c_custkey) AS people, round(avg(c_acctbal), 2) AS income
+    + """, socio AS (SELECT n_name, count(c_custkey) AS people, round(sum(c_acctbal), 2) / count(c_custkey) AS income
                 FROM nation LEFT JOIN customer ON n_nationkey = c_nationkey GROUP BY n_name),
     power AS (SELECT n_name, coalesce(sum(value), 0) AS kw, count(value)::INTEGER AS n
               FROM nation LEFT JOIN placed USING (n_name) GROUP BY n_name),
@@ -117,7 +117,7 @@ def _index(spark, sf_dir):
     people = nation.join(customer, nation.n_nationkey == customer.c_nationkey, "left")
     socio = people.groupBy(F.col("n_name").alias("nombre_distrito")).agg(
         F.count("c_custkey").alias("poblacion_total"),
-        F.round(F.avg("c_acctbal"), 2).alias("renta_media_neta_persona"),
+        (F.round(F.sum("c_acctbal"), 2) / F.count("c_custkey")).alias("renta_media_neta_persona"),
     )
     noisy = F.concat(F.lit("  "), F.initcap("n_name"), F.lit(" "))
     polygons = nation_polygons(spark, sf_dir).select(noisy.alias("feature_name"), "rings")

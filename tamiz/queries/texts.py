@@ -160,12 +160,12 @@ def parse_clients(spark, sf_dir):
 @query(
     """SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN round(o_totalprice * 2.58999::DOUBLE, 3)
           ELSE round(o_totalprice, 3) END AS area,
-      round(o_totalprice / CASE o_orderstatus WHEN 'F' THEN 1.1614::DOUBLE WHEN 'O' THEN 363.95::DOUBLE END, 6) AS euros,
+      o_totalprice / CASE o_orderstatus WHEN 'F' THEN 1.1614::DOUBLE WHEN 'O' THEN 363.95::DOUBLE END AS euros,
       CASE WHEN o_totalprice / CASE o_orderstatus WHEN 'F' THEN 1.1614::DOUBLE WHEN 'O' THEN 363.95::DOUBLE END IS NULL
         THEN 'Divisa no soportada: JPY' END AS reason,
       round_even(o_totalprice / (o_custkey + 1) * 100, 0) / 100 AS per_head,
       round_even((o_custkey + 1) / o_totalprice * 10000, 0) / 10000 AS density,
-      round(o_totalprice / (o_custkey + 1) * 10000, 6) AS energy FROM orders"""
+      o_totalprice / (o_custkey + 1) * 10000 AS energy FROM orders"""
 )
 def units_and_currencies(spark, sf_dir):
     price, status = F.col("o_totalprice"), F.col("o_orderstatus")
@@ -177,11 +177,11 @@ def units_and_currencies(spark, sf_dir):
     return rated.select(
         "o_orderkey",
         units.area_km2(price, unit).alias("area"),
-        F.round(units.to_eur(price, F.col("tasa")), 6).alias("euros"),
+        units.to_eur(price, F.col("tasa")).alias("euros"),
         F.when(F.col("tasa").isNull(), F.concat(F.lit("Divisa no soportada: "), "divisa")).alias("reason"),
         units.per_capita(price, people).alias("per_head"),
         units.population_density(people, price).alias("density"),
-        F.round(units.energy_density(price, people), 6).alias("energy"),
+        units.energy_density(price, people).alias("energy"),
     )
 
 

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.operators.contract import counted
+from tamiz.sources.envelope import LANDING_FOLDERS
 
 
 def land_envelopes(envelopes: DataFrame, path: str) -> None:
     """Append raw envelopes below ciudad=/fecha_ingesta=; earlier batches are never touched."""
     day = F.substring("metadata.timestamp_ingesta_utc", 1, 10)
     keyed = envelopes.withColumns({"ciudad": F.col("metadata.ciudad"), "fecha_ingesta": day})
-    keyed.write.mode("append").partitionBy("ciudad", "fecha_ingesta").json(path)
+    keyed.write.mode("append").partitionBy(*LANDING_FOLDERS).json(path)
 
 
 def export_csv(df: DataFrame, path: str) -> int:

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from tamiz.fixed_values import HOURLY_VARIABLES
 from tamiz.operators.latest import keep_latest, newest_first
 
+LANDING_FOLDERS = ["ciudad", "fecha_ingesta"]
+
 
 def body_type(variables: Sequence[str] = HOURLY_VARIABLES) -> T.StructType:
     hourly = T.StructType(
@@ -33,14 +35,25 @@ def read_envelopes(
     paths: Sequence[str],
     variables: Sequence[str] = HOURLY_VARIABLES,
     multi_line: bool = False,
+    since: str | None = None,
 ) -> DataFrame:
-    """Envelopes, one per line or (`multi_line`) one per file; no paths give an empty frame."""
+    """Envelopes, one per line or (`multi_line`) one per file; no paths give an empty frame.
+
+    `since` (an ISO day) reads only the later fecha_ingesta= folders of a landing area.
+    """
     schema = envelope_type(variables)
     if not paths:
         return spark.createDataFrame([], schema).withColumn("path", F.lit(None).cast("string"))
-    reader = spark.read.schema(schema).option("recursiveFileLookup", "true")
-    docs = reader.json(list(paths), multiLine=multi_line)
-    return docs.withColumn("path", F.col("_metadata.file_path"))
+    if since is not None:
+        folders = T.StructType([T.StructField(n, T.StringType()) for n in LANDING_FOLDERS])
+        docs = spark.read.schema(T.StructType([*schema, *folders])).json(
+            list(paths), multiLine=multi_line
+        )
+        docs = docs.filter(F.col("fecha_ingesta") >= since)
+    else:
+        reader = spark.read.schema(schema).option("recursiveFileLookup", "true")
+        docs = reader.json(list(paths), multiLine=multi_line)
+    return docs.select(*schema.names, F.col("_metadata.file_path").alias("path"))
 
 
 def has_series(body: Column) -> Column:

@@ -73,13 +73,13 @@ def tagged(spark, source):
 
 
 def test_errors(tagged):
-    rows = matches.error_file(tagged, detected=dt.date(2026, 8, 25)).collect()
+    rows = matches.error_file(tagged, "lines.csv", dt.date(2026, 8, 25)).collect()
     lines = [line.split(";") for line in SOURCE.splitlines()[1:]]
     expected = {RAW_OF.format(*f): EXPECTED_ERRORS[f[0]] for f in lines if f[0] in EXPECTED_ERRORS}
     assert {r.datos_raw: r.motivo_rechazo for r in rows} == expected
     assert len(rows) == 8
     assert {(r.tabla_origen, r.fecha_deteccion) for r in rows} == {
-        ("mundial2026_estadisticas.csv", dt.date(2026, 8, 25))
+        ("lines.csv", dt.date(2026, 8, 25))
     }
 
 
@@ -93,7 +93,7 @@ def test_staged_rows(tagged):
 
 
 def test_star_grows_once(spark, tagged):
-    staged, errors, path = matches.stage_rows(tagged), matches.error_file(tagged), work_dir(spark, "star")
+    staged, errors, path = matches.stage_rows(tagged), matches.error_file(tagged, "lines.csv"), work_dir(spark, "star")
     first = matches.load(staged, errors, path)
     keys = {r.jugador_id: r.nombre_jugador for r in first["dim_jugadores"].collect()}
     assert sorted(keys) == list(range(1, 21))

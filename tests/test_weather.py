@@ -186,6 +186,8 @@ def test_newest_batch_goes_by_embedded_time(spark):
         weather.ingest(requested, bodies(spark, madrid, 2), raw_path, (batch, stamp))
     landed = read_envelopes(spark, [raw_path])
     assert [r.metadata.id_lote for r in latest_batch(landed).collect()] == ["aaa"]
+    later = read_envelopes(spark, [raw_path], since="2026-01-02")
+    assert later.count() == 1 and later.columns == landed.columns
     found = {r.ciudad: r.origen for r in existing_batches(requested, landed).collect()}
     assert found == {"Madrid": "BRONZE_EXISTENTE", "Lugo": "SIN_DATOS"}
 
@@ -221,7 +223,7 @@ def test_stream_equals_batch_and_survives_a_rerun(spark):
     )
     land_envelopes(as_envelopes(envelope), raw_path)
     for _ in range(2):
-        weather.stream_clean(raw_path, silver, state).awaitTermination()
+        weather.stream_clean(raw_path, silver, state, files_per_batch=2).awaitTermination()
     columns = ["ciudad", "fecha_hora_utc", "temperature_2m"]
     streamed = spark.read.parquet(silver).select(*columns).toPandas()
     batch, _ = weather.clean(flatten_envelopes(read_envelopes(spark, [raw_path])))

@@ -6,13 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tamiz.fixed_values import DENSITY_FACTOR, SQ_MI_TO_KM2
+from tamiz.functions.text import strip_space
 
 EARTH_RADIUS_KM = 6371.0
 
 
 def area_km2(value: Column, unit: Column, factor: float = SQ_MI_TO_KM2) -> Column:
     """Square miles to km2; any other or missing unit already is km2."""
-    miles = F.coalesce(F.lower(F.trim(unit)) == "sq_mi", F.lit(False))
+    miles = F.coalesce(F.lower(strip_space(unit)) == "sq_mi", F.lit(False))
     return F.round(F.when(miles, value * F.lit(factor)).otherwise(value), 3)
 
 

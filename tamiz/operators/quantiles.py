@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamiz.runtime import checkpoint, join_side
+from tamiz.runtime import checkpoint, join_side, null_safe_join, small_side
 
-# Up to this many rows per group the built-in `percentile`, which buffers the distinct
-# values of a group, is used.
-BUFFERED_ROWS = 1_000_000
+# Up to this many rows per group the built-in `percentile` is used. It buffers the distinct
+# values of a group, and a task may hold over a hundred groups at a time.
+BUFFERED_ROWS = 100_000
 BINS = 1024
 MAX_PASSES = 8
 
@@ -37,11 +37,20 @@ def exact_quantiles(
     shape = data.groupBy(*keys).agg(
         F.count("_v").alias("n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
     )
+
+    def buffered(rows: DataFrame) -> DataFrame:
+        quantiles = F.percentile("_v", list(probabilities))
+        return rows.groupBy(*keys).agg(quantiles.alias(out), F.count("_v").alias("n"))
+
     largest = shape.agg(F.max("n")).first()[0]
     if largest is None or largest <= buffered_rows:
-        quantiles = F.percentile("_v", list(probabilities))
-        return data.groupBy(*keys).agg(quantiles.alias(out), F.count("_v").alias("n"))
-    return _narrowed(data, keys, checkpoint(shape), probabilities, out, buffered_rows, bins)
+        return buffered(data)
+    large = checkpoint(shape.filter(F.col("n") > buffered_rows))
+    narrowed = _narrowed(data, keys, large, probabilities, out, buffered_rows, bins)
+    if not keys:
+        return narrowed
+    others = null_safe_join(data, small_side(large.select(*keys)), keys, "left_anti")
+    return buffered(others).unionByName(narrowed)
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
@@ -81,7 +90,7 @@ def _narrowed(data, keys, shape, probabilities, out, buffered_rows, bins) -> Dat
         )
         upto = F.sum("_n").over(Window.partitionBy(*interval).orderBy("_slot")) - F.col("_n")
         counted = counted.withColumn("_before", upto)
-        located = targets.join(counted, interval).filter(
+        located = null_safe_join(targets, counted, interval).filter(
             (F.col("_rank") >= F.col("_below") + F.col("_before"))
             & (F.col("_rank") < F.col("_below") + F.col("_before") + F.col("_n"))
         )
@@ -111,7 +120,7 @@ def _inside(data, keys, targets, interval) -> DataFrame:
     """Values that fall into one of their group's open intervals."""
     intervals = targets.select(*interval).distinct()
     if keys:
-        near = data.join(join_side(intervals), keys)
+        near = null_safe_join(data, join_side(intervals), keys)
         return near.filter(F.col("_v").between(F.col("_low"), F.col("_high")))
     # Without keys there are at most two intervals per probability.
     listed = F.array(
@@ -132,7 +141,7 @@ def _sorted_lookup(data, keys, targets, interval) -> DataFrame:
     upto = F.sum("_n").over(Window.partitionBy(*interval).orderBy("_v"))
     counted = counted.withColumn("_upto", upto)
     return (
-        targets.join(counted, interval)
+        null_safe_join(targets, counted, interval)
         .filter(
             (F.col("_rank") >= F.col("_below") + F.col("_upto") - F.col("_n"))
             & (F.col("_rank") < F.col("_below") + F.col("_upto"))
@@ -153,7 +162,7 @@ def _interpolated(shape, keys, solved, out) -> DataFrame:
         return low + (high - low) * (position - F.floor(position))
 
     joined = (
-        shape.join(found, keys)
+        null_safe_join(shape, found, keys)
         if keys
         else shape.withColumn("_values", found.select("_values").scalar())
     )

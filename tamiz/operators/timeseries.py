@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamiz.runtime import join_side
+from tamiz.runtime import checkpoint, join_side, null_safe_join, small_side
 
 # A key with more rows than this is cut into stretches of time before windowing.
 SERIES_ROWS_PER_TASK = 2_000_000
@@ -38,14 +38,23 @@ def moving_average(
     """Mean of the current and the `rows - 1` preceding rows of the same key.
 
     The frame counts rows, not hours: gaps are not filled and early frames are short.
-    `order` starts with a timestamp column and should end with a tie-break. A key with
-    more than `max_rows` rows is cut into stretches of time (see `_moving_average_cut`).
+    `order` starts with a timestamp column and should end with a tie-break. Keys with
+    more than `max_rows` rows are set apart and cut into stretches of time.
     """
-    width = _stretch_seconds(df, key, order[0], max_rows)
-    if width is None:
-        frame = Window.partitionBy(key).orderBy(*order).rowsBetween(1 - rows, 0)
+    frame = Window.partitionBy(key).orderBy(*order).rowsBetween(1 - rows, 0)
+    micros = _micros(df, order[0])
+    sizes = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_rows"), (F.max(micros) - F.min(micros)).alias("_span")
+    )
+    hot = checkpoint(sizes.filter(F.col("_rows") > max_rows))
+    if hot.isEmpty():
         return df.withColumn(out, F.avg(value).over(frame))
-    return _moving_average_cut(df, key, order, value, rows, out, width)
+    side = small_side(hot.select(key))
+    long_series = null_safe_join(df, side, [key], "left_semi")
+    others = null_safe_join(df, side, [key], "left_anti").withColumn(out, F.avg(value).over(frame))
+    width = _stretch_seconds(long_series, hot, key, micros, max_rows)
+    cut = _moving_average_cut(long_series, key, order, value, rows, out, width)
+    return others.unionByName(cut)
 
 
 def _micros(df: DataFrame, time: str) -> Column:
@@ -62,19 +71,15 @@ def _stretch(micros: Column, seconds: float) -> Column:
     return F.floor(micros / F.lit(max(int(seconds * 1_000_000), 1)))
 
 
-def _stretch_seconds(df: DataFrame, key: str, time: str, max_rows: int) -> float | None:
-    """None if every key fits one task, else a width at which every stretch does."""
-    micros = _micros(df, time)
-    sizes = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), (F.max(micros) - F.min(micros)).alias("span")
-    )
-    hottest = sizes.agg(F.max(F.struct("n", "span")).alias("m")).first()["m"]
-    if hottest is None or hottest["n"] <= max_rows:
-        return None
-    largest, width = hottest["n"], max(hottest["span"], 1) / 1_000_000
+def _stretch_seconds(
+    long_series: DataFrame, hot: DataFrame, key: str, micros: Column, max_rows: int
+) -> float:
+    """A width at which no stretch of any of the series has more than `max_rows` rows."""
+    hottest = hot.agg(F.max(F.struct("_rows", "_span")).alias("m")).first()["m"]
+    largest, width = hottest["_rows"], max(hottest["_span"], 1) / 1_000_000
     while largest > max_rows and width > 1e-6:
         width = max(width * max_rows / largest / 2, 1e-6)
-        counts = df.groupBy(key, _stretch(micros, width).alias("s")).agg(
+        counts = long_series.groupBy(key, _stretch(micros, width).alias("s")).agg(
             F.count(F.lit(1)).alias("n")
         )
         largest = counts.agg(F.max("n")).first()[0]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamiz.fixed_values import SQ_MI_TO_KM2
-from tamiz.functions.text import country_key
+from tamiz.functions.text import country_key, strip_space
 from tamiz.functions.units import area_km2, to_eur
 from tamiz.operators.audit import RUN_SCHEMA, run_finished, run_started
 from tamiz.operators.consolidate import consolidate, indicators, translate_codes
@@ -57,7 +57,7 @@ def clean_reports(
     known = valid_countries.select("nombre_pais", F.lit(True).alias("_known"))
     coded = (
         named.join(known, "nombre_pais", "left")
-        .withColumn("divisa", F.upper(F.trim(F.coalesce("pib_divisa", F.lit("")))))
+        .withColumn("divisa", F.upper(strip_space(F.coalesce("pib_divisa", F.lit("")))))
         .join(rates, "divisa", "left")
     )
     gdp = F.when(~F.isnan("pib_valor"), F.col("pib_valor"))

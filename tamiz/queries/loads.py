@@ -40,8 +40,8 @@ CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
 def stored_customers(spark, sf_dir):
-    """The target before the load: customers of most nations, with a load day."""
-    known = table(spark, sf_dir, "customer").filter("c_nationkey < 18")
+    """The target before the load: customers of most segments, with a load day."""
+    known = table(spark, sf_dir, "customer").filter("c_mktsegment <> 'FURNITURE'")
     return known.withColumn("loaded", F.lit("2024-01-01").cast("date"))
 
 
@@ -59,7 +59,7 @@ INCOMING_SQL = """
 UPSERT_SQL = f"""
     SELECT c_custkey, c_name, c_nationkey, c_mktsegment, c_acctbal, DATE '2024-02-02' AS loaded FROM ({INCOMING_SQL})
     UNION ALL SELECT c_custkey, c_name, c_nationkey, c_mktsegment, c_acctbal, DATE '2024-01-01' FROM customer
-    WHERE c_nationkey < 18 AND c_acctbal <= 0"""
+    WHERE c_mktsegment <> 'FURNITURE' AND c_acctbal <= 0"""
 
 
 @query(UPSERT_SQL)
@@ -70,13 +70,13 @@ def upsert_customers(spark, sf_dir):
     )
 
 
-@query(UPSERT_SQL.replace("DATE '2024-02-02'", "CASE WHEN c_nationkey < 18 THEN DATE '2024-01-01' END"))
+@query(UPSERT_SQL.replace("DATE '2024-02-02'", "CASE WHEN c_mktsegment <> 'FURNITURE' THEN DATE '2024-01-01' END"))
 def upsert_keeping_columns(spark, sf_dir):
     """Columns the delivery lacks keep their stored value."""
     return upsert(stored_customers(spark, sf_dir), incoming_customers(spark, sf_dir), ["c_custkey"])
 
 
-@query("SELECT 0 AS only_left, 0 AS only_right, (SELECT count(*) FROM customer WHERE c_nationkey < 18 OR c_acctbal > 0) AS rows")
+@query("SELECT 0 AS only_left, 0 AS only_right, (SELECT count(*) FROM customer WHERE c_mktsegment <> 'FURNITURE' OR c_acctbal > 0) AS rows")
 def idempotent_reload(spark, sf_dir):
     """The same delivery upserted twice into a published table leaves the same content."""
     path = work_dir(spark, "reload")
@@ -155,13 +155,13 @@ def fact_upsert(spark, sf_dir):
 def _snapshots(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
     return (
-        customer.filter("c_nationkey < 18"),
+        customer.filter("c_mktsegment <> 'FURNITURE'"),
         incoming_customers(spark, sf_dir).select(*customer.columns),
     )
 
 
 CHANGES_SQL = f"""
-    WITH old AS (SELECT * FROM customer WHERE c_nationkey < 18), new AS ({INCOMING_SQL})
+    WITH old AS (SELECT * FROM customer WHERE c_mktsegment <> 'FURNITURE'), new AS ({INCOMING_SQL})
     SELECT CASE WHEN o.c_custkey IS NULL THEN 'INSERT' WHEN n.c_custkey IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS operacion,
       coalesce(o.c_custkey, n.c_custkey) AS c_custkey, o.c_acctbal AS before_balance, n.c_acctbal AS after_balance,
       o.c_name AS before_name, n.c_name AS after_name

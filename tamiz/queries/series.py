@@ -57,8 +57,8 @@ def moving_average_24(spark, sf_dir):
 
 @query(MOVING_SQL)
 def moving_average_cut(spark, sf_dir):
-    """The same with every series cut into stretches, as is done for hot keys."""
-    return _moving(spark, sf_dir, max_rows=30)
+    """The same with the longer series cut into stretches, as is done for hot keys."""
+    return _moving(spark, sf_dir, max_rows=66)
 
 
 Z_SQL = """

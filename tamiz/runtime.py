@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,10 +64,25 @@ def join_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     Above the limit the plan is left to a shuffled join, where adaptive execution
     splits skewed partitions of the other side.
     """
-    staged = checkpoint(df)
+    return small_side(checkpoint(df), max_rows)
+
+
+def small_side(staged: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The same for a side that is already staged."""
     return F.broadcast(staged) if staged.count() <= max_rows else staged
 
 
+def null_safe_join(
+    left: DataFrame, right: DataFrame, columns: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Equi-join in which a NULL key equals NULL, as it does in a grouping."""
+    renamed = right.withColumnsRenamed({c: f"_right_{c}" for c in columns})
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_right_{c}"))
+    return left.join(renamed, same, how).drop(*[f"_right_{c}" for c in columns])
+
+
 def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add (or replace) columns that later filters must not compute again.
 

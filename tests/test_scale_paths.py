@@ -23,7 +23,7 @@ def hot_series(seed, rows=3000):
     return pd.DataFrame(
         {
             "id": np.arange(rows),
-            "k": np.where(rng.random(rows) < 0.7, "hot", rng.integers(0, 9, rows).astype(str)),
+            "k": np.where(rng.random(rows) < 0.7, "hot", rng.integers(0, 60, rows).astype(str)),
             "ts": pd.Timestamp("2024-01-01") + pd.to_timedelta(seconds, unit="s"),
             "v": rng.integers(0, 1000, rows).astype(float),
         }
@@ -75,7 +75,10 @@ def test_quantiles_narrowed_down_per_key(spark, bins, buffered):
     groups = shapes(bins)
     data = pd.concat([pd.DataFrame({"k": k, "v": v}) for k, v in groups.items()])
     gaps = pd.DataFrame({"k": ["few", "none"], "v": [np.nan, np.nan]})
-    df = spark.createDataFrame(pd.concat([data, gaps]))
+    nameless = pd.DataFrame({"k": None, "v": groups["uniform"] * 2})
+    rows = pd.concat([data, gaps, nameless]).astype({"k": object})
+    groups[None] = groups["uniform"] * 2
+    df = spark.createDataFrame([(k, float(v)) for k, v in rows.itertuples(index=False)], "k string, v double")
     found = exact_quantiles(df, ["k"], "v", PROBABILITIES, "q", buffered_rows=buffered, bins=bins)
     got = {r.k: (r.n, r.q) for r in found.collect()}
     assert set(got) == set(groups)

@@ -14,8 +14,8 @@ from tamiz.functions.units import energy_density, haversine_km
 from tamiz.runtime import join_side
 
 RINGS_TYPE = "array<array<struct<lon:double,lat:double>>>"
-# Cell rows carry a few edges each, so they are heavier than other broadcast rows.
-CELL_ROWS = 50_000
+# Cell rows carry edges, so the side is measured in edges (about 50 bytes each).
+BROADCAST_EDGES = 1_000_000
 # Longer rings are checked for self-intersection by a join instead of in their row.
 EDGES_IN_ROW = 64
 
@@ -99,7 +99,8 @@ def within_join(
     shuffle. The cell table is broadcast when counted small; the points then stay where
     they are.
     """
-    side = join_side(polygon_cells(polygons, name, cell), max_rows=CELL_ROWS)
+    cells = polygon_cells(polygons, name, cell)
+    side = join_side(cells, BROADCAST_EDGES, F.size("_edges"))
     x, y = F.col(lon), F.col(lat)
     placed = points.withColumns({"_px": F.floor(x / cell), "_py": F.floor(y / cell)})
     matches = (

@@ -58,18 +58,22 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def join_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Compute a join side once; hint a broadcast only if its counted size allows it.
+def join_side(df: DataFrame, limit: int = BROADCAST_ROWS, weight: Column | None = None) -> DataFrame:
+    """Compute a join side once; hint a broadcast only if its measured size allows it.
 
     Above the limit the plan is left to a shuffled join, where adaptive execution
     splits skewed partitions of the other side.
     """
-    return small_side(checkpoint(df), max_rows)
+    return small_side(checkpoint(df), limit, weight)
 
 
-def small_side(staged: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The same for a side that is already staged."""
-    return F.broadcast(staged) if staged.count() <= max_rows else staged
+def small_side(
+    staged: DataFrame, limit: int = BROADCAST_ROWS, weight: Column | None = None
+) -> DataFrame:
+    """The same for a side that is already staged. Rows count 1 each, or `weight` if their
+    width varies."""
+    size = staged.agg(F.sum(F.lit(1) if weight is None else weight)).first()[0]
+    return F.broadcast(staged) if (size or 0) <= limit else staged
 
 
 def null_safe_join(

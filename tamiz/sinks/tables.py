@@ -94,6 +94,16 @@ def publish(df: DataFrame, path: str) -> int:
     return version
 
 
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Delete all but the newest `keep` complete versions, for when no reader uses them."""
+    newest = current_version(spark, path)
+    folder, files = _folder_of(spark, path)
+    for status in files.listStatus(folder) if newest else []:
+        name = status.getPath().getName()
+        if name.startswith(f"{VERSION}=") and int(name.split("=")[1]) <= newest - keep:
+            files.delete(status.getPath(), True)
+
+
 def upsert_into(
     path: str, source: DataFrame, keys: Sequence[str], refreshed: dict[str, Column] | None = None
 ) -> DataFrame:

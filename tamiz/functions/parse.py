@@ -23,7 +23,11 @@ def money(text: Column, label: str = "Importe", usd_per_eur: float = USD_PER_EUR
 
     def read(clean: Column) -> Column:
         digits = F.translate(F.regexp_replace(clean, r"[^0-9,.\-]", ""), ",", ".")
-        return bind(digits.try_cast("double"), lambda number: judge(clean, number))
+        return bind(digits, lambda d: bind(as_number(d), lambda number: judge(clean, number)))
+
+    def as_number(digits: Column) -> Column:
+        # Told apart by pattern first: a failing cast costs an exception.
+        return F.when(digits.rlike(r"^-?(\d+\.?\d*|\.\d+)$"), digits.try_cast("double"))
 
     def judge(clean: Column, number: Column) -> Column:
         blank = clean.isNull() | clean.isin("", "NULL")
@@ -44,7 +48,11 @@ def date(text: Column) -> Column:
     """struct<value date, reason string>: ISO, then day-first, then month-first."""
 
     def assemble(parts: Column, month: int, day: int) -> Column:
-        return F.concat_ws("-", parts[2], parts[month], parts[day]).try_cast("date")
+        # Impossible months are told apart first: a failing cast costs an exception.
+        possible = parts[month].try_cast("int").between(1, 12)
+        return F.when(
+            possible, F.concat_ws("-", parts[2], parts[month], parts[day]).try_cast("date")
+        )
 
     def read(clean: Column) -> Column:
         slashed = bind(

@@ -59,7 +59,8 @@ def tag_rows(raw: DataFrame, excluded: Sequence[str] = EXCLUDED_COUNTRIES) -> Da
     typed = split.withColumns(
         {
             "pais": capitalise(F.col("pais")),
-            "_date": F.col("_candidate").try_cast("date"),
+            # A month or day that cannot be fails the cast; the range check is cheaper.
+            "_date": parse.in_calendar_range(F.col("_candidate")).try_cast("date"),
             "_goals": F.col("goles").try_cast("int"),
             "_assists": parse.count_or_zero(F.col("asistencias")),
         }

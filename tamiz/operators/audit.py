@@ -33,7 +33,8 @@ def run_finished(
     error: str | None = None,
 ) -> DataFrame:
     """The started row completed: OK with its duration, or ERROR with the message."""
-    end = F.lit(ended).cast("timestamp_ntz")
+    # As text, so that no session time zone shifts it.
+    end = F.lit(ended.isoformat(sep=" ")).cast("timestamp_ntz")
     seconds = elapsed_seconds(F.col("fecha_inicio"), end)
     note = F.lit(error) if error else F.format_string("Duracion: %d s", seconds)
     return started.withColumns(

@@ -1,10 +1,13 @@
 """Country reports: first-match rules, medians, indicators, load and audit."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
 from tamiz.functions.text import country_key, district_key, title_case
 from tamiz.functions.units import area_km2, to_eur
+from tamiz.operators.audit import run_finished, run_started
 from tamiz.plans import country
 from tamiz.runtime import work_dir
 from tamiz.sources.payloads import COUNTRY_TYPE, country_populations, parse_payload, with_fallback
@@ -95,6 +98,17 @@ def test_load_upserts_files_and_audits(spark):
     assert country.last_run(spark, tables).first().estado == "ERROR"
 
 
+def test_run_times_do_not_depend_on_the_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Madrid")
+    try:
+        begun, ended = dt.datetime(2024, 3, 1, 10), dt.datetime(2024, 3, 1, 10, 0, 7)
+        row = run_finished(run_started(spark, 1, begun), ended, 3, 2, 1, "API").first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert (row.fecha_inicio, row.fecha_fin, row.observaciones) == (begun, ended, "Duracion: 7 s")
+
+
 def test_payload_and_fallback(spark):
     text = (
         '[{"name":{"common":"Spain"},"population":1},{"name":{"common":" spain"},"population":2},'

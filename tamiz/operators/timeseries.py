@@ -74,7 +74,10 @@ def _stretch(micros: Column, seconds: float) -> Column:
 def _stretch_seconds(
     long_series: DataFrame, hot: DataFrame, key: str, micros: Column, max_rows: int
 ) -> float:
-    """A width at which no stretch of any of the series has more than `max_rows` rows."""
+    """A width at which no stretch of any of the series has more than `max_rows` rows.
+
+    Rows of one key and one microsecond stay together; only there a stretch can be larger.
+    """
     hottest = hot.agg(F.max(F.struct("_rows", "_span")).alias("m")).first()["m"]
     largest, width = hottest["_rows"], max(hottest["_span"], 1) / 1_000_000
     while largest > max_rows and width > 1e-6:

@@ -15,9 +15,10 @@ from tamiz.fixed_values import (
     VALID_RANGES,
 )
 from tamiz.functions.rows import new_batch
-from tamiz.operators.contract import Contract, Rule
+from tamiz.operators.contract import Contract, Rule, split_by_reason
 from tamiz.operators.latest import keep_latest, newest_first
 from tamiz.operators.timeseries import daily_summary, moving_average, zscore
+from tamiz.runtime import checkpoint
 from tamiz.sinks.files import land_envelopes
 from tamiz.sinks.tables import append, merge_partitions, overwrite_partitions, path_exists
 from tamiz.sources.envelope import (
@@ -90,7 +91,8 @@ def load_clean(
     """
     spark = SparkSession.active()
     rows = flatten_envelopes(latest_batch(read_envelopes(spark, [raw], since=since)))
-    valid, rejected = clean(rows, contract)
+    # Judged once; the merge reads the valid rows twice and the quarantine the others.
+    valid, rejected = split_by_reason(checkpoint((contract or hourly_contract()).tag(rows)))
     merge_partitions(silver, with_period(valid), KEYS, newest_first(*NEWEST), PARTITIONS, rebuild)
     append(f"{silver}/{QUARANTINE}", rejected)
     return valid, rejected

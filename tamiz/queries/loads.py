@@ -32,6 +32,7 @@ from tamiz.sinks.tables import (
     publish,
     read_current,
     upsert,
+    upsert_by_bucket,
     upsert_into,
 )
 from tamiz.sources.delimited import read_staged, read_text_table
@@ -76,6 +77,17 @@ def upsert_keeping_columns(spark, sf_dir):
     return upsert(stored_customers(spark, sf_dir), incoming_customers(spark, sf_dir), ["c_custkey"])
 
 
+@query(UPSERT_SQL)
+def upsert_in_buckets(spark, sf_dir):
+    """The same upsert into a table stored by key hash, delivered twice."""
+    path, key = work_dir(spark, "buckets"), ["c_custkey"]
+    upsert_by_bucket(path, stored_customers(spark, sf_dir), key, 16)
+    refreshed = {"loaded": F.lit("2024-02-02").cast("date")}
+    for _ in range(2):
+        upsert_by_bucket(path, incoming_customers(spark, sf_dir), key, 16, refreshed)
+    return spark.read.parquet(path).select(*CUSTOMER, "loaded")
+
+
 @query("SELECT 0 AS only_left, 0 AS only_right, (SELECT count(*) FROM customer WHERE c_mktsegment <> 'FURNITURE' OR c_acctbal > 0) AS rows")
 def idempotent_reload(spark, sf_dir):
     """The same delivery upserted twice into a published table leaves the same content."""

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tamiz.operators.latest import keep_latest
 
 VERSION = "version"
+BUCKET = "bucket"
 # Touched partitions named one by one in a scan filter; more are joined instead.
 MAX_LISTED = 1000
 
@@ -120,6 +121,27 @@ def upsert_into(
     return read_current(spark, path)
 
 
+def upsert_by_bucket(
+    path: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    buckets: int,
+    refreshed: dict[str, Column] | None = None,
+) -> None:
+    """Upsert into a table stored in folders by key hash, rewriting only touched buckets.
+
+    For targets much larger than a delivery. A table keeps the number of buckets it was
+    first written with. Repeating a delivery changes nothing.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    incoming = source.withColumns({**(refreshed or {}), BUCKET: bucket})
+    if not duplicate_keys(incoming, keys).isEmpty():
+        raise ValueError(f"the source repeats keys {list(keys)}")
+    stored = _existing_partitions(path, incoming, [BUCKET])
+    merged = incoming if stored is None else upsert(stored, incoming, keys, check=False)
+    overwrite_partitions(path, merged, [BUCKET])
+
+
 def append_absent(path: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Append the rows whose key is not there yet (a quarantine that never repeats)."""
     target = read_if_exists(source.sparkSession, path, source)

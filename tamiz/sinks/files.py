@@ -10,10 +10,15 @@ from tamiz.sources.envelope import LANDING_FOLDERS
 
 
 def land_envelopes(envelopes: DataFrame, path: str) -> None:
-    """Append raw envelopes below ciudad=/fecha_ingesta=; earlier batches are never touched."""
+    """Append raw envelopes below ciudad=/fecha_ingesta=; earlier batches are never touched.
+
+    Envelopes of a folder are brought together first, or every task would write a file
+    into every folder; adaptive execution splits a folder that is large.
+    """
     day = F.substring("metadata.timestamp_ingesta_utc", 1, 10)
     keyed = envelopes.withColumns({"ciudad": F.col("metadata.ciudad"), "fecha_ingesta": day})
-    keyed.write.mode("append").partitionBy(*LANDING_FOLDERS).json(path)
+    gathered = keyed.hint("rebalance", *LANDING_FOLDERS)
+    gathered.write.mode("append").partitionBy(*LANDING_FOLDERS).json(path)
 
 
 def export_csv(df: DataFrame, path: str) -> int:

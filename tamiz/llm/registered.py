@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from tamiz.llm import mixing, rules, shards
+from tamiz.llm import compression, fingerprints, language_model, mixing, packing, rules, shards
 
 QUERIES = {
     f.__name__: f
     for f in (
+        compression.op1_compression_quality,
         shards.op2_minimax_shards,
         mixing.op4_pareto_mix,
         rules.op6_rule_ledger,
+        packing.op8_minimum_bin_slack,
+        fingerprints.op9_minhash_fingerprints,
+        language_model.op10_log_frequency_filter,
     )
 }
 CHECK_SQL = {

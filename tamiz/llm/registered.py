@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tamiz.llm import compression, fingerprints, language_model, mixing, packing, rules, shards
+from tamiz.llm import compression, fingerprints, jaccard_join, language_model, mixing, packing, rules, shards
 
 QUERIES = {
     f.__name__: f
@@ -11,6 +11,7 @@ QUERIES = {
         shards.op2_minimax_shards,
         mixing.op4_pareto_mix,
         rules.op6_rule_ledger,
+        jaccard_join.op7_set_relation_join,
         packing.op8_minimum_bin_slack,
         fingerprints.op9_minhash_fingerprints,
         language_model.op10_log_frequency_filter,

@@ -1,10 +1,62 @@
-"""The corpus pipeline: documents in, packed training sequences out."""
+"""The corpus pipeline: documents in, packed training sequences out.
+
+Every stage takes (spark, docs, sf_dir) and works on all that the stage before it kept. `run` writes
+each result as Parquet below the shared folder and gives the reread table to the next stage,
+so a lost executor costs at most one stage.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tamiz.llm import jaccard_join, lines, mixing, packing, rules
+from tamiz.llm.common import staged
+from tamiz.queries.base import table
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the current policy passes."""
+    return rules.keep_passing(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that are repeated from earlier ones."""
+    return lines.dedup_lines(docs)
+
+
+def jaccard_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return jaccard_join.one_per_group(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their places in sequences of 1024 tokens."""
+    return packing.pack(docs, packing.tokenizer_path())
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", jaccard_dedup),
+    ("mixing", source_mix),
+    ("packing", packing_stage),
+]
+
+# Packing needs a tokenizer, which SQL lacks; the tests compare run() with brute force instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+    return docs

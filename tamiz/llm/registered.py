@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tamiz.llm import compression, fingerprints, jaccard_join, language_model, mixing, packing, rules, shards
+from tamiz.llm import compression, fingerprints, jaccard_join, language_model, lines, mixing, packing, rules, shards
 
 QUERIES = {
     f.__name__: f
@@ -10,6 +10,7 @@ QUERIES = {
         compression.op1_compression_quality,
         shards.op2_minimax_shards,
         mixing.op4_pareto_mix,
+        lines.op5_winnowed_lines,
         rules.op6_rule_ledger,
         jaccard_join.op7_set_relation_join,
         packing.op8_minimum_bin_slack,

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tamiz.llm.common import SPACES, texts
 from tamiz.queries.base import table
+from tamiz.runtime import computed_once
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
@@ -162,7 +163,9 @@ def keep_passing(docs: DataFrame, policy: Policy = PROSE) -> DataFrame:
     """The documents that pass, with all their columns."""
     columns = docs.columns
     whole = docs.select("doc_id", "text", F.struct(*columns).alias("_whole"))
-    return ledger(whole, "_whole").filter(passes(policy)).select("_whole.*")
+    # A border, so that the filter does not copy the rules into itself.
+    judged = computed_once(ledger(whole, "_whole"), {"fail_bits": F.col("fail_bits")})
+    return judged.filter(passes(policy)).select("_whole.*")
 
 
 def op6_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:

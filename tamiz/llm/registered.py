@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tamiz.llm import compression, fingerprints, jaccard_join, language_model, lines, mixing, packing, rules, shards
+from tamiz.llm import compression, fingerprints, jaccard_join, language_model, lines, mixing, packing, rules, shards, substrings
 
 QUERIES = {
     f.__name__: f
     for f in (
         compression.op1_compression_quality,
         shards.op2_minimax_shards,
+        substrings.op3_collection_bwt,
         mixing.op4_pareto_mix,
         lines.op5_winnowed_lines,
         rules.op6_rule_ledger,

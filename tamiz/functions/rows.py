@@ -23,7 +23,7 @@ def raw_cell(key_name: str, key: Column, cell_name: str, cell: Column, quoted: b
     mark = "'" if quoted else ""
     return F.concat(
         F.lit(f"{key_name}="),
-        key.cast("string"),
+        F.coalesce(key.cast("string"), F.lit("None")),
         F.lit(f" {cell_name}={mark}"),
         F.coalesce(cell.cast("string"), F.lit("None")),
         F.lit(mark),

@@ -48,7 +48,10 @@ class Rule:
             )
         if self.pattern is not None:
             found.append(
-                F.when(~value.rlike(self.pattern), f"{self.column}: str_matches({self.pattern})")
+                F.when(
+                    ~value.rlike(f"^(?:{self.pattern})"),
+                    f"{self.column}: str_matches({self.pattern})",
+                )
             )
         return found
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.operators.numbering import number_rows
+from tamiz.runtime import null_safe_join
 
 
 def insert_new_members(
@@ -22,15 +23,15 @@ def insert_new_members(
     members = staged.select(*keys).distinct()
     start: int | Column = 1
     if dimension is not None:
-        members = members.join(dimension.select(*keys), keys, "left_anti")
+        members = null_safe_join(members, dimension.select(*keys), keys, "left_anti")
         start = dimension.agg(F.coalesce(F.max(id), F.lit(0)) + 1).scalar()
     return number_rows(members, keys, out=id, start=start).select(id, *keys)
 
 
 def lookup_key(df: DataFrame, dimension: DataFrame, business_key: Sequence[str], id: str) -> DataFrame:
-    """Replace a business key by its surrogate key (inner join)."""
+    """Replace a business key by its surrogate key (inner join, NULL parts match NULL)."""
     keys = list(business_key)
-    return df.join(dimension.select(id, *keys), keys).drop(*keys)
+    return null_safe_join(df, dimension.select(id, *keys), keys).drop(*keys)
 
 
 def fact_rows(

@@ -24,10 +24,12 @@ from tamiz.sinks.tables import append, merge_partitions, overwrite_partitions, p
 from tamiz.sources.envelope import (
     arbitrate_origin,
     as_envelopes,
-    envelope_type,
+    UNREAD,
     flatten_envelopes,
+    landed_type,
     latest_batch,
     read_envelopes,
+    split_envelopes,
 )
 from tamiz.streaming.incremental import stream_merge
 
@@ -35,6 +37,9 @@ KEYS = ["ciudad", "fecha_hora_utc"]
 PARTITIONS = ["ciudad", "anio", "mes"]
 NEWEST = ("timestamp_ingesta_utc", "id_lote")
 QUARANTINE = "_cuarentena"
+UNUSABLE = "_documentos_rechazados"
+# A file stream forgets files older than this, counted from the newest one: none may be.
+ANY_AGE = "36500d"
 
 
 def hourly_contract(
@@ -87,10 +92,13 @@ def load_clean(
     """Newest landed batch of every city into the partitioned clean table.
 
     `since` limits the search for newest batches to the landing folders from that day.
-    Returns (valid, quarantine) of this run; rejected rows accumulate.
+    Returns (valid, quarantine) of this run; rejected rows accumulate, and so do documents
+    that could not be used at all, beside them.
     """
     spark = SparkSession.active()
-    rows = flatten_envelopes(latest_batch(read_envelopes(spark, [raw], since=since)))
+    usable, unusable = split_envelopes(read_envelopes(spark, [raw], since=since))
+    append(f"{silver}/{UNUSABLE}", unusable)
+    rows = flatten_envelopes(latest_batch(usable))
     # Judged once; the merge reads the valid rows twice and the quarantine the others.
     valid, rejected = split_by_reason(checkpoint((contract or hourly_contract()).tag(rows)))
     merge_partitions(silver, with_period(valid), KEYS, newest_first(*NEWEST), PARTITIONS, rebuild)
@@ -104,22 +112,31 @@ def stream_clean(
     checkpoint: str,
     contract: Contract | None = None,
     files_per_batch: int = 10_000,
+    max_file_age: str = ANY_AGE,
 ):
-    """The same load as a stream over all raw files not yet taken."""
+    """The same load as a stream over all raw files not yet taken, however old they are.
+
+    Documents that cannot be used are filed per batch with their reason; the others go on.
+    """
     files = (
         SparkSession.active()
-        .readStream.schema(envelope_type())
+        .readStream.schema(landed_type())
         .option("recursiveFileLookup", "true")
+        .option("columnNameOfCorruptRecord", UNREAD)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", max_file_age)
         .json(raw)
+        .select("*", F.col("_metadata.file_path").alias("path"))
     )
 
-    def split(batch: DataFrame):
-        valid, rejected = clean(batch, contract)
+    def split(batch: DataFrame, batch_id: int):
+        usable, unusable = split_envelopes(batch)
+        unusable.write.mode("overwrite").parquet(f"{silver}/{UNUSABLE}/batch={batch_id}")
+        valid, rejected = clean(flatten_envelopes(usable), contract)
         return with_period(valid), rejected
 
     return stream_merge(
-        flatten_envelopes(files),
+        files,
         split,
         silver,
         f"{silver}/{QUARANTINE}",

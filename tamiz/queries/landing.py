@@ -314,7 +314,7 @@ def stream_latest_wins(spark, sf_dir):
         stream = spark.readStream.schema(events.schema).parquet(source)
         stream_merge(
             stream,
-            lambda batch: (batch, batch.filter("event_id IS NULL")),
+            lambda batch, _: (batch, batch.filter("event_id IS NULL")),
             target,
             f"{target}/_rejected",
             ["event_id"],

@@ -9,6 +9,10 @@ from tamiz.operators.contract import counted
 from tamiz.sources.envelope import LANDING_FOLDERS
 
 
+# Blanks around a value are kept, and a quote inside one is doubled, as CSV readers expect.
+WHOLE_TEXT = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"'}
+
+
 def land_envelopes(envelopes: DataFrame, path: str) -> None:
     """Append raw envelopes below ciudad=/fecha_ingesta=; earlier batches are never touched.
 
@@ -24,13 +28,13 @@ def land_envelopes(envelopes: DataFrame, path: str) -> None:
 def export_csv(df: DataFrame, path: str) -> int:
     """Write headed CSV; returns the number of rows, counted while they are written."""
     watched, seen = counted(df, "export")
-    watched.write.mode("overwrite").option("header", True).csv(path)
+    watched.write.mode("overwrite").options(header=True, **WHOLE_TEXT).csv(path)
     return seen.get["rows"]
 
 
 def write_staging(df: DataFrame, path: str, separator: str = "|", quoted: bool = True) -> None:
     """Replace a delimited staging file set; unquoted text must not hold the separator."""
-    writer = df.write.mode("overwrite").option("header", True).option("sep", separator)
+    writer = df.write.mode("overwrite").options(header=True, sep=separator, **WHOLE_TEXT)
     if not quoted:
         writer = writer.option("quote", "").option("emptyValue", "")
     writer.csv(path)

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tamiz.operators.latest import keep_latest
+from tamiz.runtime import null_safe_join
 
 VERSION = "version"
 BUCKET = "bucket"
-# Touched partitions named one by one in a scan filter; more are joined instead.
+BUCKET_MARKER = "_buckets_"
+# Touched partitions named one by one in a scan filter; the join decides in any case.
 MAX_LISTED = 1000
 
 
@@ -131,8 +133,11 @@ def upsert_by_bucket(
     """Upsert into a table stored in folders by key hash, rewriting only touched buckets.
 
     For targets much larger than a delivery. A table keeps the number of buckets it was
-    first written with. Repeating a delivery changes nothing.
+    first written with, which a marker beside the buckets remembers; another number is
+    refused, as equal keys would then live in two buckets. Repeating a delivery changes
+    nothing.
     """
+    _remember_buckets(source.sparkSession, path, buckets)
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     incoming = source.withColumns({**(refreshed or {}), BUCKET: bucket})
     if not duplicate_keys(incoming, keys).isEmpty():
@@ -142,6 +147,16 @@ def upsert_by_bucket(
     overwrite_partitions(path, merged, [BUCKET])
 
 
+def _remember_buckets(spark: SparkSession, path: str, buckets: int) -> None:
+    folder, files = _folder_of(spark, path)
+    names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+    known = {int(n.removeprefix(BUCKET_MARKER)) for n in names if n.startswith(BUCKET_MARKER)}
+    if known - {buckets}:
+        raise ValueError(f"the table at {path} has {min(known)} buckets, not {buckets}")
+    if not known:
+        files.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{BUCKET_MARKER}{buckets}"))
+
+
 def append_absent(path: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Append the rows whose key is not there yet (a quarantine that never repeats)."""
     target = read_if_exists(source.sparkSession, path, source)
@@ -189,8 +204,8 @@ def merge_partitions(
 def _existing_partitions(path: str, incoming: DataFrame, partitions: Sequence[str]):
     """Stored rows of the partitions that `incoming` touches, None without a table.
 
-    Up to MAX_LISTED partitions are named in a filter, which prunes their folders;
-    beyond that a semi join selects them.
+    Partition values match NULL-safely. Up to MAX_LISTED partitions are also named in a
+    filter, which prunes their folders.
     """
     stored = read_if_exists(incoming.sparkSession, path)
     if stored is None:
@@ -203,8 +218,8 @@ def _existing_partitions(path: str, incoming: DataFrame, partitions: Sequence[st
     touched = incoming.select(*partitions).distinct()
     named = touched.select(_folder(partitions)).limit(MAX_LISTED + 1).collect()
     if len(named) <= MAX_LISTED:
-        return stored.filter(_folder(partitions).isin([row[0] for row in named]))
-    return stored.join(touched, list(partitions), "left_semi")
+        stored = stored.filter(_folder(partitions).isin([row[0] for row in named]))
+    return null_safe_join(stored, touched, partitions, "left_semi")
 
 
 def _folder(partitions: Sequence[str]) -> Column:

@@ -21,7 +21,7 @@ def read_text_table(
 def read_staged(spark: SparkSession, path: str, schema: str, separator: str = "|") -> DataFrame:
     """A typed bulk load; a value that does not fit its type fails the job."""
     return spark.read.schema(schema).csv(
-        path, sep=separator, header=True, mode="FAILFAST", multiLine=False
+        path, sep=separator, header=True, mode="FAILFAST", multiLine=False, escape='"'
     )
 
 

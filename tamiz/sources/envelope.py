@@ -12,6 +12,8 @@ from tamiz.fixed_values import HOURLY_VARIABLES
 from tamiz.operators.latest import keep_latest, newest_first
 
 LANDING_FOLDERS = ["ciudad", "fecha_ingesta"]
+# Holds the text of a document that is not JSON.
+UNREAD = "_documento"
 
 
 def body_type(variables: Sequence[str] = HOURLY_VARIABLES) -> T.StructType:
@@ -30,6 +32,11 @@ def envelope_type(variables: Sequence[str] = HOURLY_VARIABLES) -> T.StructType:
     )
 
 
+def landed_type(variables: Sequence[str] = HOURLY_VARIABLES) -> T.StructType:
+    """The envelope with the text of a document that cannot be read."""
+    return T.StructType([*envelope_type(variables), T.StructField(UNREAD, T.StringType())])
+
+
 def read_envelopes(
     spark: SparkSession,
     paths: Sequence[str],
@@ -41,18 +48,18 @@ def read_envelopes(
 
     `since` (an ISO day) reads only the later fecha_ingesta= folders of a landing area.
     """
-    schema = envelope_type(variables)
+    schema = landed_type(variables)
     if not paths:
         return spark.createDataFrame([], schema).withColumn("path", F.lit(None).cast("string"))
     if since is not None:
         folders = T.StructType([T.StructField(n, T.StringType()) for n in LANDING_FOLDERS])
         docs = spark.read.schema(T.StructType([*schema, *folders])).json(
-            list(paths), multiLine=multi_line
+            list(paths), multiLine=multi_line, columnNameOfCorruptRecord=UNREAD
         )
         docs = docs.filter(F.col("fecha_ingesta") >= since)
     else:
         reader = spark.read.schema(schema).option("recursiveFileLookup", "true")
-        docs = reader.json(list(paths), multiLine=multi_line)
+        docs = reader.json(list(paths), multiLine=multi_line, columnNameOfCorruptRecord=UNREAD)
     return docs.select(*schema.names, F.col("_metadata.file_path").alias("path"))
 
 
@@ -61,19 +68,45 @@ def has_series(body: Column) -> Column:
     return F.coalesce(F.size(body["hourly"]["time"]) > 0, F.lit(False))
 
 
+def lengths_differ(variables: Sequence[str]) -> Column:
+    hourly, differ = F.col("datos_api.hourly"), F.lit(False)
+    for v in variables:
+        differ = differ | ~F.size(hourly[v]).eqNullSafe(F.size(hourly["time"]))
+    return differ
+
+
+def split_envelopes(
+    envelopes: DataFrame, variables: Sequence[str] = HOURLY_VARIABLES
+) -> tuple[DataFrame, DataFrame]:
+    """(usable, rejected) documents. Every rejected one keeps its reason, path and text.
+
+    A document is rejected if it is not JSON, has no hours, or its arrays differ in length.
+    """
+    unread = F.col(UNREAD) if UNREAD in envelopes.columns else F.lit(None).cast("string")
+    reason = (
+        F.when(unread.isNotNull(), "unreadable document")
+        .when(~has_series(F.col("datos_api")), "no hourly series")
+        .when(lengths_differ(variables), "hourly arrays differ in length")
+    )
+    judged = envelopes.withColumn("motivo_rechazo", reason)
+    rejected = judged.filter("motivo_rechazo IS NOT NULL").select(
+        "motivo_rechazo",
+        "path",
+        F.coalesce(unread, F.to_json(F.struct("metadata", "datos_api"))).alias("documento"),
+    )
+    return judged.filter("motivo_rechazo IS NULL").drop("motivo_rechazo"), rejected
+
+
 def flatten_envelopes(
     envelopes: DataFrame, variables: Sequence[str] = HOURLY_VARIABLES
 ) -> DataFrame:
     """One row per hour with the batch's metadata repeated. Array lengths must agree."""
     hourly = F.col("datos_api.hourly")
-    lengths_differ = F.lit(False)
-    for v in variables:
-        lengths_differ = lengths_differ | ~F.size(hourly[v]).eqNullSafe(F.size(hourly["time"]))
     zipped = F.arrays_zip(
         hourly["time"].alias("time"), *[hourly[v].alias(v) for v in variables]
     )
     hours = F.when(
-        lengths_differ,
+        lengths_differ(variables),
         F.raise_error(F.concat(F.lit("hourly arrays differ in length: "), "metadata.ciudad")),
     ).otherwise(zipped)
     rows = envelopes.select("metadata", F.explode(hours).alias("hour"))
@@ -88,10 +121,12 @@ def flatten_envelopes(
 
 
 def latest_batch(envelopes: DataFrame) -> DataFrame:
-    """Newest envelope per key by the ingest time stored inside, not by file name."""
-    stamped = envelopes.select("*", "metadata.ciudad", "metadata.timestamp_ingesta_utc")
-    newest = keep_latest(stamped, ["ciudad"], newest_first("timestamp_ingesta_utc", "path"))
-    return newest.drop("timestamp_ingesta_utc")
+    """Newest envelope per key by the ingest time stored inside, then the batch id."""
+    stamped = envelopes.select(
+        "*", "metadata.ciudad", "metadata.timestamp_ingesta_utc", "metadata.id_lote"
+    )
+    newest = keep_latest(stamped, ["ciudad"], newest_first("timestamp_ingesta_utc", "id_lote", "path"))
+    return newest.drop("timestamp_ingesta_utc", "id_lote")
 
 
 def existing_batches(requested: DataFrame, envelopes: DataFrame) -> DataFrame:

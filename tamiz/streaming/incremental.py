@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tamiz.sinks.tables import merge_partitions
 
-Split = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+Split = Callable[[DataFrame, int], tuple[DataFrame, DataFrame]]
 
 
 def stream_merge(
@@ -31,10 +31,12 @@ def stream_merge(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        valid, rejected = split(batch)
-        merge_partitions(path, valid, keys, newest_by, partitions)
-        rejected.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
-        batch.unpersist()
+        try:
+            valid, rejected = split(batch, batch_id)
+            merge_partitions(path, valid, keys, newest_by, partitions)
+            rejected.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

@@ -14,15 +14,16 @@ from tamiz.functions.rows import key_values
 from tamiz.functions.text import capitalise, split_first, trim_columns
 from tamiz.operators.contract import first_reason
 from tamiz.operators.star import fact_rows, insert_new_members
-from tamiz.runtime import checkpoint, computed_once
+from tamiz.runtime import checkpoint, computed_once, null_safe_join
 from tamiz.sinks.files import write_staging
-from tamiz.sinks.tables import append, append_absent, publish, read_current, upsert
+from tamiz.sinks.tables import BUCKET, append, append_absent, read_if_exists, upsert_by_bucket
 from tamiz.sources.delimited import read_staged, read_text_table
 
 SOURCE_COLUMNS = ["jugador_equipo", "partido", "goles", "asistencias", "fecha_partido"]
 PLAYER_KEY = ["nombre_jugador", "pais"]
 MATCH_KEY = ["equipo_local", "equipo_visitante", "fecha_partido"]
 MEASURES = ["goles", "asistencias"]
+FACT_BUCKETS = 16
 STAGED_TYPES = (
     "nombre_jugador string, pais string, equipo_local string, equipo_visitante string, "
     "fecha_partido date, goles int, asistencias int"
@@ -120,11 +121,25 @@ def error_file(tagged: DataFrame, source: str, detected: date | None = None) ->
 
 
 def _grow(path: str, staged: DataFrame, key: list[str], id: str) -> DataFrame:
+    """Append the members the dimension lacks; without any, nothing is written."""
     spark = staged.sparkSession
-    known = read_current(spark, path)
+    known = read_if_exists(spark, path)
     new = insert_new_members(known, staged, key, id)
-    publish(new if known is None else known.unionByName(new), path)
-    return read_current(spark, path)
+    if known is None or not new.isEmpty():
+        append(path, new)
+    return spark.read.parquet(path)
+
+
+def _merge_facts(path: str, facts: DataFrame, keys: list[str]) -> DataFrame:
+    """Upsert the facts that are new or changed into the buckets they belong to."""
+    spark = facts.sparkSession
+    stored = read_if_exists(spark, path)
+    if stored is not None:
+        facts = null_safe_join(facts, stored.select(*facts.columns), facts.columns, "left_anti")
+    changed = checkpoint(facts)
+    if stored is None or not changed.isEmpty():
+        upsert_by_bucket(path, changed, keys, FACT_BUCKETS)
+    return spark.read.parquet(path).drop(BUCKET)
 
 
 def load(staged: DataFrame, errors: DataFrame, target: str) -> dict[str, DataFrame]:
@@ -138,17 +153,14 @@ def load(staged: DataFrame, errors: DataFrame, target: str) -> dict[str, DataFra
     facts = fact_rows(
         staged, [(players, PLAYER_KEY, "jugador_id"), (matches, MATCH_KEY, "partido_id")], MEASURES
     )
-    path, spark = f"{target}/fact_estadisticas", staged.sparkSession
-    known = read_current(spark, path)
-    keys = ["jugador_id", "partido_id"]
-    publish(facts if known is None else upsert(known, facts, keys, check=False), path)
+    stored = _merge_facts(f"{target}/fact_estadisticas", facts, ["jugador_id", "partido_id"])
     filed = append_absent(
         f"{target}/tb_errores_migracion", errors, ["tabla_origen", "datos_raw", "motivo_rechazo"]
     )
     return {
         "dim_jugadores": players,
         "dim_partidos": matches,
-        "fact_estadisticas": read_current(spark, path),
+        "fact_estadisticas": stored,
         "tb_errores_migracion": filed,
     }
 

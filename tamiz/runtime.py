@@ -51,11 +51,20 @@ def work_dir(spark: SparkSession, label: str) -> str:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder and cut its lineage there."""
+    """Compute ``df`` once into the shared folder and cut its lineage there.
+
+    It is staged as Parquet, so later reads prune columns and push filters down.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = work_dir(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete all that was staged below the shared folder, for when no result is read any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tamiz")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def join_side(df: DataFrame, limit: int = BROADCAST_ROWS, weight: Column | None = None) -> DataFrame:

@@ -1,5 +1,7 @@
 """Match statistics: the 30-row source file and its expected rows."""
 
+import glob
+import os
 import datetime as dt
 
 import pytest
@@ -10,7 +12,6 @@ from tamiz.plans import matches
 from tamiz.runtime import work_dir
 from tamiz.sources.delimited import read_staged, read_text_table
 from tamiz.sinks.files import write_staging
-from tamiz.sinks.tables import read_current
 
 # The source rows that results must agree on.
 SOURCE = """\
@@ -92,6 +93,13 @@ def test_staged_rows(tagged):
     assert ("Takefusa Kubo", "Japón", "Noruega", "Japón", dt.date(2026, 6, 12), 1, 0) in rows
 
 
+def written(path):
+    """Data files of the dimensions and facts, with their times."""
+    tables = ("dim_jugadores", "dim_partidos", "fact_estadisticas")
+    found = [f for t in tables for f in glob.glob(f"{path}/{t}/**/*.parquet", recursive=True)]
+    return {f: os.stat(f).st_mtime_ns for f in found}
+
+
 def test_star_grows_once(spark, tagged):
     staged, errors, path = matches.stage_rows(tagged), matches.error_file(tagged, "lines.csv"), work_dir(spark, "star")
     first = matches.load(staged, errors, path)
@@ -100,7 +108,9 @@ def test_star_grows_once(spark, tagged):
     extra = spark.createDataFrame(
         [("Aaron", "Gales", "Gales", "Suiza", dt.date(2026, 6, 30), 4, 0)], staged.schema
     )
+    files = written(path)
     second = matches.load(staged, errors, path)
+    assert written(path) == files
     counts = {name: table.count() for name, table in second.items()}
     assert counts == {
         "dim_jugadores": 20,
@@ -118,7 +128,7 @@ def test_whole_run(spark, source):
     for _ in range(2):
         counts = matches.run(spark, source, target)
     assert counts == {"registros_leidos": 30, "registros_insertados": 22, "registros_error": 8}
-    assert read_current(spark, f"{target}/fact_estadisticas").count() == 20
+    assert spark.read.parquet(f"{target}/fact_estadisticas").count() == 20
     assert spark.read.parquet(f"{target}/tb_errores_migracion").count() == 8
     assert spark.read.parquet(f"{target}/tb_ejecuciones_etl").count() == 2
 

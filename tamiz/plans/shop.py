@@ -13,12 +13,15 @@ from tamiz.fixed_values import FASHION_CATEGORIES, USD_PER_EUR
 from tamiz.functions import parse
 from tamiz.functions.rows import raw_cell
 from tamiz.functions.text import strip_space
+from tamiz.operators.audit import change_log
 from tamiz.operators.contract import error_rows
 from tamiz.runtime import checkpoint, computed_once
 from tamiz.sinks.files import export_csv
 from tamiz.sinks.tables import append, append_absent, read_current, upsert_into
 
-TABLES = ["Categorias", "Productos", "Clientes", "Vendedores", "Ubicaciones", "Ventas"]
+# Tables whose changes are logged, as the target's triggers would.
+LOGGED = ("dim_productos", "dim_clientes", "fact_ventas")
+CHANGES = "tb_log_cambios"
 OUT_OF_SCOPE_PRODUCT = "Producto fuera de alcance (categoría no moda) o inexistente"
 REJECTED_CLIENT = "Cliente en cuarentena (RF-01) o inexistente"
 ERROR_KEYS = ["tabla_origen", "datos_raw", "motivo_rechazo"]
@@ -204,7 +207,7 @@ def star_tables(tables: dict[str, DataFrame], cleaned: Cleaned) -> dict[str, tup
 
 
 def load(tables: dict[str, DataFrame], target: str, detected: date | None = None) -> dict[str, int]:
-    """Clean, export, upsert in foreign-key order, quarantine and audit; returns counts."""
+    """Clean, export, upsert in foreign-key order, log changes, quarantine and audit; returns counts."""
     started = datetime.now()
     detected = detected or started.date()
     cleaned = clean(tables, stage=checkpoint)
@@ -216,20 +219,31 @@ def load(tables: dict[str, DataFrame], target: str, detected: date | None = None
     ):
         export_csv(rows, f"{target}/csv/{name}")
     loaded = 0
+    spark = errors.sparkSession
     for name, (rows, keys) in star_tables(tables, cleaned).items():
-        upsert_into(f"{target}/{name}", rows, keys)
+        before = read_current(spark, f"{target}/{name}")
+        after = upsert_into(f"{target}/{name}", rows, keys)
         loaded += rows.count()
+        if name in LOGGED:
+            log_changes(f"{target}/{CHANGES}", name, before, after, keys[0])
     append_absent(f"{target}/tb_errores_migracion", errors, ERROR_KEYS)
     counts = {
         "registros_leidos": sum(t.count() for t in tables.values()),
         "registros_insertados": loaded,
         "registros_error": errors.count(),
     }
-    spark = errors.sparkSession
     run = spark.createDataFrame([(started, datetime.now())], "fecha_inicio timestamp, fecha_fin timestamp")
     append(f"{target}/tb_ejecuciones_etl", run, **{k: F.lit(v) for k, v in counts.items()})
     return counts
 
 
+def log_changes(path: str, name: str, before: DataFrame | None, after: DataFrame, key: str) -> None:
+    """Append what a load inserted, updated or deleted in a table to the change log."""
+    if before is None:
+        before = after.limit(0)
+    log = change_log(before.select(*after.columns), after, key).withColumn("tabla", F.lit(name))
+    append(path, log.withColumn("clave", F.col(key).cast("string")).drop(key))
+
+
 def fact_count(spark, target: str) -> int:
     return read_current(spark, f"{target}/fact_ventas").count()

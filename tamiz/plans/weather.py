@@ -25,18 +25,21 @@ from tamiz.sources.envelope import (
     arbitrate_origin,
     as_envelopes,
     UNREAD,
+    existing_batches,
     flatten_envelopes,
     landed_type,
     latest_batch,
     read_envelopes,
     split_envelopes,
 )
+from tamiz.sources.relational import catalog_problems, flag_in_box
 from tamiz.streaming.incremental import stream_merge
 
 KEYS = ["ciudad", "fecha_hora_utc"]
 PARTITIONS = ["ciudad", "anio", "mes"]
 NEWEST = ("timestamp_ingesta_utc", "id_lote")
 QUARANTINE = "_cuarentena"
+SHOWN_PROBLEMS = 20
 UNUSABLE = "_documentos_rechazados"
 # A file stream forgets files older than this, counted from the newest one: none may be.
 ANY_AGE = "36500d"
@@ -59,14 +62,23 @@ def hourly_contract(
 
 
 def ingest(
-    requested: DataFrame, fetched: DataFrame, raw: str, batch: tuple[str, str] | None = None
+    requested: DataFrame,
+    fetched: DataFrame,
+    raw: str,
+    batch: tuple[str, str] | None = None,
+    catalog: DataFrame | None = None,
 ) -> DataFrame:
     """Land one envelope per city from fetched bodies or the newest earlier ones.
 
-    Returns the summary (ciudad, origen, ...) of the batch.
+    With a catalog (ciudad, lat, lon), requested cities that it lacks and listed ones outside
+    the peninsula are an error. Returns the summary (ciudad, origen, ...) of the batch.
     """
     batch_id, stamp = batch or new_batch()
     spark = requested.sparkSession
+    if catalog is not None:
+        problems = catalog_problems(flag_in_box(catalog), requested).take(SHOWN_PROBLEMS)
+        if problems:
+            raise ValueError("catalog: " + ", ".join(f"{p.ciudad} {p.problem}" for p in problems))
     landed = read_envelopes(spark, [raw] if path_exists(spark, raw) else [])
     summary = arbitrate_origin(requested, fetched, landed, batch_id, stamp)
     land_envelopes(as_envelopes(summary), raw)
@@ -106,6 +118,22 @@ def load_clean(
     return valid, rejected
 
 
+def reload_cities(requested: DataFrame, raw: str, silver: str, contract: Contract | None = None) -> DataFrame:
+    """Load the requested cities from what has landed; (ciudad, path, origen) tells what was found."""
+    spark = requested.sparkSession
+    usable, _ = split_envelopes(read_envelopes(spark, [raw]))
+    chosen = usable.join(
+        requested.select(F.col("ciudad").alias("_city")), F.col("metadata.ciudad") == F.col("_city"), "left_semi"
+    )
+    newest = checkpoint(latest_batch(chosen))
+    valid, rejected = split_by_reason(
+        checkpoint((contract or hourly_contract()).tag(flatten_envelopes(newest)))
+    )
+    merge_partitions(silver, with_period(valid), KEYS, newest_first(*NEWEST), PARTITIONS)
+    append(f"{silver}/{QUARANTINE}", rejected)
+    return existing_batches(requested, newest.drop("ciudad"))
+
+
 def stream_clean(
     raw: str,
     silver: str,

@@ -132,3 +132,23 @@ def test_equal_ingest_times_are_decided_by_the_batch(spark):
             out.write(document("Madrid", 2, batch))
     found = latest_batch(read_envelopes(spark, [raw])).select("metadata.id_lote").collect()
     assert [r.id_lote for r in found] == ["lote_2"]
+
+
+def test_chosen_cities_are_reloaded_from_what_has_landed(spark):
+    raw, silver = work_dir(spark, "raw"), work_dir(spark, "silver")
+    os.makedirs(raw)
+    for k, city in enumerate(("Madrid", "Bilbao", "Sevilla")):
+        with open(f"{raw}/d{k}.json", "w") as out:
+            out.write(document(city, 2 + k))
+    asked = spark.createDataFrame([("Madrid",), ("Sevilla",), ("Lugo",)], "ciudad string")
+    found = {r.ciudad: r.origen for r in weather.reload_cities(asked, raw, silver).collect()}
+    assert found == {"Madrid": "BRONZE_EXISTENTE", "Sevilla": "BRONZE_EXISTENTE", "Lugo": "SIN_DATOS"}
+    rows = spark.read.parquet(silver).groupBy("ciudad").count().collect()
+    assert {tuple(r) for r in rows} == {("Madrid", 2), ("Sevilla", 4)}
+
+
+def test_ingest_checks_the_catalog(spark):
+    catalog = spark.createDataFrame([("Madrid", 40.4, -3.7), ("Tenerife", 28.5, -16.3)], "ciudad string, lat double, lon double")
+    asked = spark.createDataFrame([("Madrid",), ("Lugo",)], "ciudad string")
+    with pytest.raises(ValueError, match="Lugo missing, Tenerife outside"):
+        weather.ingest(asked, None, work_dir(spark, "raw"), catalog=catalog)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tamiz.fixed_values import RAMP_COLOURS
 from tamiz.operators.consolidate import consolidate
 from tamiz.operators.numbering import rank_positions
 from tamiz.operators.quantiles import exact_median, exact_quantiles
@@ -68,13 +69,15 @@ def quantiles_narrowed(spark, sf_dir):
     return _as_rows(found)
 
 
-RAMP_SQL = """
+# Red, green and blue of the ramp, as the SQL sees them.
+RAMP_CHANNELS = [[int(colour[k : k + 2], 16) for colour in RAMP_COLOURS] for k in (1, 3, 5)]
+RAMP_SQL = f"""
     WITH breaks AS (SELECT quantile_cont(c_acctbal, [0.0, 0.25, 0.5, 0.75, 1.0]) AS b FROM customer),
     placed AS (SELECT c_custkey, c_acctbal AS v, b,
                  CASE WHEN c_acctbal <= b[2] THEN 1 WHEN c_acctbal <= b[3] THEN 2
                       WHEN c_acctbal <= b[4] THEN 3 ELSE 4 END AS class FROM customer, breaks),
     shares AS (SELECT *, (v - b[class]) / (b[class + 1] - b[class]) AS p,
-                 [255, 254, 253, 240, 189] AS r, [255, 217, 141, 59, 0] AS g, [178, 118, 60, 32, 38] AS bl FROM placed)
+                 {RAMP_CHANNELS[0]} AS r, {RAMP_CHANNELS[1]} AS g, {RAMP_CHANNELS[2]} AS bl FROM placed)
     SELECT c_custkey, class, lower(printf('#%02x%02x%02x',
       floor(((1 - p) * r[class] + p * r[class + 1]) / 255 * 255.9999::DOUBLE)::INT,
       floor(((1 - p) * g[class] + p * g[class + 1]) / 255 * 255.9999::DOUBLE)::INT,

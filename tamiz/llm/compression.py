@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tamiz.llm.common import bucket_of, texts
+from tamiz.llm.common import bucket_of, staged, texts
 from tamiz.queries.base import table
 
 SAMPLE = 1500
@@ -73,24 +73,24 @@ def train_dictionary(samples: list[bytes]) -> bytes:
         return b"".join(samples)[:DICTIONARY_BYTES]
 
 
-def fit(train: DataFrame, label: str, sample: int = SAMPLE) -> Model:
-    """Fit on (doc_id, text, label 0 or 1). At most 4 * sample prefixes of `SAMPLE_BYTES`
-    characters reach the driver for the dictionaries, and as many sizes for the calibration."""
+def fit(docs: DataFrame, labels: DataFrame, label: str, sample: int = SAMPLE) -> Model:
+    """Fit on the texts of `docs` and the labels (doc_id, 0 or 1). At most 2 * sample prefixes of
+    `SAMPLE_BYTES` characters reach the driver for the dictionaries, and as many sizes for the
+    calibration."""
     dice = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    ranked = texts(train.filter(F.col(label).isin(0, 1)), label).withColumn("_dice", dice)
-    part = F.conv(F.substring("_dice", 1, 1), 16, 10).cast("int") % 2
-    order = Window.partitionBy(label, "_part").orderBy("_dice", F.length("text"))
-    chosen = (
-        ranked.withColumn("_part", part)
-        .withColumn("_rank", F.row_number().over(order))
-        .filter(F.col("_rank") <= sample)
-        .select(F.col(label).alias("y"), "_part", F.when(F.col("_part") == 0, F.substring("text", 1, SAMPLE_BYTES)).otherwise(F.col("text")).alias("text"))
-    )
+    part = F.conv(F.substring(dice, 1, 1), 16, 10).cast("int") % 2
+    ids = labels.filter(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("y"), dice.alias("_dice"), part.alias("_part"))
+    order = Window.partitionBy("y", "_part").orderBy("_dice")
+    # Ids are ranked alone, and the rank filter runs before the shuffle; texts are read for the chosen ones.
+    known = ids.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= sample).drop("_rank", "_dice")
+    chosen = texts(docs).join(F.broadcast(known), "doc_id")
+    head = F.when(F.col("_part") == 0, F.substring("text", 1, SAMPLE_BYTES)).otherwise(F.col("text"))
+    chosen = staged(chosen.select("y", "_part", head.alias("text")), "compression-sample")
     seen = {y: [] for y in (0, 1)}
     for row in chosen.filter("_part = 0").select("y", "text").toLocalIterator():
         seen[row.y].append(row.text.encode())
     if not all(seen.values()):
-        share = ranked.agg(F.avg(label)).first()[0]
+        share = ids.agg(F.avg("y")).first()[0]
         odds = 0.0 if share is None else float(np.log((share + 1e-6) / (1 - share + 1e-6)))
         return Model(b"", b"", (odds, 0.0, 0.0, 0.0))
     model = Model(train_dictionary(seen[1]), train_dictionary(seen[0]), ())
@@ -157,6 +157,4 @@ def op1_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents scored, fitted on the labels outside the held-out third."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = bucket_of("doc_id", FOLDS) == HELD_OUT
-    known = labels.select("doc_id", "quality").filter(~held_out)
-    train = docs.select("doc_id", "text").join(known, "doc_id")
-    return score(docs, fit(train, "quality"), held_out)
+    return score(docs, fit(docs, labels.filter(~held_out), "quality"), held_out)

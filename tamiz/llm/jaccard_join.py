@@ -4,10 +4,11 @@ Method: set-relation skipping. A document's set holds its distinct five-word shi
 class. Classes are indexed by their prefix: the first n - ceil(0.8 n) + 1 shingles in one order of
 all shingles, frequent ones last, so that two similar sets share a prefix shingle. An index list is
 ordered by set size and cut into blocks; a block is skipped if its sizes or positions rule out
-the overlap that the threshold asks for. The pairs left are answered in two steps. First every set
-is compared with one leader, the smallest set among its candidates. The answers of the others
-derive from the leader's: sets already in one group need no comparison, nor do sets whose distances from
-a common leader differ by more than 0.2, as Jaccard distance is a metric. Only what remains is compared.
+the overlap that the threshold asks for. Long lists are answered in two steps. First every set of a list is compared with the
+list's leader, the set that has this shingle at the earliest position, which is the one that shares most. The
+answers of the others derive from the leader's: sets already in one group need no comparison, nor do
+sets whose distances from a common leader differ by more than 0.2, as Jaccard distance is a metric.
+Only what remains is compared, so a group of many near copies costs about as many comparisons as it has sets.
 
 Nulls count as empty texts; without words a document has an empty set and is linked with nothing.
 Rows with a null id take the group of the texts linked with theirs, else null; repeated rows and ids are
@@ -46,6 +47,10 @@ BLOCK_BYTES = 32 << 20
 FREQUENT = 4
 MOST_FREQUENT = 1 << 20
 LIST_BLOCK = 128
+SHORT_LIST = 8
+CELL_SETS = 256
+# Sets whose distances from a third differ by more than this cannot be linked.
+FAR = 1 - PERCENT / 100 + 1e-9
 _SALT = np.uint64(0xA24BAED4963EE407)
 
 
@@ -142,15 +147,15 @@ def prefixes(frequent, buckets: int):
     return run
 
 
-def list_pairs(first: np.ndarray, key: np.ndarray, n: np.ndarray, rest: np.ndarray):
-    """Candidate pairs (i, j) of index entries within lists. Entries are sorted by list and size; `first`
-    marks where lists begin, `rest` is how many shingles an entry's set has from here on.
+def list_pairs(first: np.ndarray, n: np.ndarray, rest: np.ndarray):
+    """Pairs (i, j) of entries within index lists that may be similar. Entries are sorted by list and
+    size; `first` marks where lists begin, `rest` is how many shingles an entry's set has from here on.
 
     Every entry meets, block by block, the entries after it in its list. A block ahead is skipped for
     a whole block of entries if its smallest size is too large, or if the most that is left from its
     positions cannot reach the overlap.
     """
-    ends = np.append(first[1:], len(key))
+    ends = np.append(first[1:], len(n))
     long = ends - first
     # Short lists: all at once, one distance between two entries at a time.
     short = np.repeat(long <= LIST_BLOCK, long)
@@ -180,9 +185,67 @@ def filtered(i: np.ndarray, j: np.ndarray, n: np.ndarray, rest: np.ndarray) -> t
     return i[fit], j[fit]
 
 
+def list_starts(gram: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.zeros(0, np.int64)
+
+
+INDEX_COLUMNS = ("x", "y", "x_size", "y_size", "matches", "fitting", "gram", "key", "n", "at")
+INDEX_SCHEMA = ", ".join(f"{c} long" for c in INDEX_COLUMNS)
+
+
+def index_rows(**given: np.ndarray) -> pa.RecordBatch:
+    """Rows with the given columns: pairs of sets, entries of long lists, or counts by set."""
+    n = len(next(iter(given.values())))
+    columns = [
+        pa.array(np.ascontiguousarray(given[c]).view(np.int64)) if c in given else pa.nulls(n, pa.int64())
+        for c in INDEX_COLUMNS
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=list(INDEX_COLUMNS))
+
+
+def short_pairs(gram: np.ndarray, key: np.ndarray, n: np.ndarray, at: np.ndarray) -> pa.RecordBatch | None:
+    """All pairs of the short lists whose sizes fit, with how many shingles they share there and at
+    how many of them their positions allow the overlap."""
+    found = [(i, j) for i, j in list_pairs(list_starts(gram), n, n)]
+    if not found:
+        return None
+    i, j = (np.concatenate(c) for c in zip(*found, strict=True))
+    fits = (np.minimum(n[i] - at[i], n[j] - at[j]) >= overlap_needed(n[i] + n[j])).astype(np.int64)
+    order = np.lexsort((key[j], key[i]))
+    i, j, fits = i[order], j[order], fits[order]
+    first = np.flatnonzero(np.concatenate([[True], (key[i[1:]] != key[i[:-1]]) | (key[j[1:]] != key[j[:-1]])]))
+    if not len(i):
+        return None
+    return index_rows(
+        x=key[i[first]], y=key[j[first]], x_size=n[i[first]], y_size=n[j[first]],
+        matches=np.diff(first, append=len(i)), fitting=np.add.reduceat(fits, first),
+    )
+
+
+def long_lists(gram: np.ndarray, key: np.ndarray, n: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """In how many long lists each set stands; the entries that may be similar to another of their
+    list; and those entries' pairs with the leader of the list."""
+    keys, counts = np.unique(key, return_counts=True)
+    yield index_rows(key=keys, n=counts)
+    useful = np.zeros(len(gram), bool)
+    for i, j in list_pairs(list_starts(gram), n, n - at):
+        useful[i] = True
+        useful[j] = True
+    gram, key, n, at = gram[useful], key[useful], n[useful], at[useful]
+    if not len(gram):
+        return
+    yield index_rows(gram=gram, key=key, n=n, at=at)
+    # The leader has the fewest shingles before this one: the set with the least of its own.
+    starts = list_starts(gram)
+    counts = np.diff(starts, append=len(gram))
+    best = np.lexsort((key, at, np.repeat(np.arange(len(starts)), counts)))
+    i, j = filtered(np.repeat(best[starts], counts), np.arange(len(gram)), n, n - at)
+    pairs = np.unique(np.stack([key[i[i != j]], key[j[i != j]]], axis=1), axis=0)
+    yield index_rows(x=pairs[:, 0], y=pairs[:, 1])
+
+
 def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of set keys that share a prefix shingle and pass the size and position tests; x is the
-    smaller set."""
+    """What the index lists of each bucket say: see `short_pairs` and `long_lists`."""
     for _, rows in grouped(batches, "bucket"):
         gram = np.concatenate([unpack_sorted(r["gram"]) for r in rows])
         key, n, at = (np.concatenate([unpack(r[c]) for r in rows]) for c in ("key", "n", "at"))
@@ -194,20 +257,53 @@ def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh = np.ones(len(gram), bool)
         fresh[1:] = (gram[1:] != gram[:-1]) | (key[1:] != key[:-1])
         gram, key, n, at = gram[fresh], key[fresh], n[fresh], at[fresh]
+        length = np.diff(list_starts(gram), append=len(gram))
+        short = np.repeat(length <= SHORT_LIST, length)
+        if short.any() and (made := short_pairs(gram[short], key[short], n[short], at[short])):
+            yield made
+        if not short.all():
+            yield from long_lists(gram[~short], key[~short], n[~short], at[~short])
+
+
+def undecided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of the long lists that the leaders' answers leave open. Entries come sorted by gram, each
+    with its group and one leader at distance d."""
+    for batch in whole_lists(batches):
+        gram, key, n, at, group, leader = (batch.column(c).to_numpy() for c in ("gram", "key", "n", "at", "group", "leader"))
+        d = batch.column("d").to_numpy()
+        order = np.lexsort((key, n, gram))
+        gram, key, n, at, group, leader, d = (c[order] for c in (gram, key, n, at, group, leader, d))
+        # A list whose sets are all in one group has nothing left to ask.
+        first = list_starts(gram)
+        length = np.diff(first, append=len(gram))
+        mixed = np.repeat(np.minimum.reduceat(group, first) != np.maximum.reduceat(group, first), length) if len(first) else gram > 0
+        gram, key, n, at, group, leader, d = (c[mixed] for c in (gram, key, n, at, group, leader, d))
         if not len(gram):
             continue
-        first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
-        found = np.zeros((0, 2), np.uint64)
         held = []
-        for i, j in list_pairs(first, key, n, n - at):
-            held.append(np.stack([key[i], key[j]], axis=1))
-            if sum(map(len, held)) > 1 << 20:
-                found, held = np.unique(np.concatenate([found, *held]), axis=0), []
-        found = np.unique(np.concatenate([found, *held]), axis=0)
-        if len(found):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found[:, k].copy().view(np.int64)) for k in (0, 1)], names=["x", "y"]
-            )
+        for i, j in list_pairs(list_starts(gram), n, n - at):
+            ask = (group[i] != group[j]) & (leader[i] != key[j]) & (leader[j] != key[i])
+            ask &= (leader[i] != leader[j]) | (np.abs(d[i] - d[j]) <= FAR)
+            held.append(np.stack([key[i[ask]], key[j[ask]]], axis=1))
+        found = np.unique(np.concatenate(held), axis=0) if held else np.zeros((0, 2), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(found[:, k].copy()) for k in (0, 1)], names=["x", "y"])
+
+
+def whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches, sorted by gram, cut only where a list ends."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        gram = batch.column("gram").to_numpy()
+        if not len(gram):
+            continue
+        cut = int(np.searchsorted(gram, gram[-1]))
+        if cut or (held and held[-1].column("gram")[0].as_py() != gram[0]):
+            done = [*held, batch.slice(0, cut)]
+            yield pa.Table.from_batches(done).combine_chunks().to_batches()[0]
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
 def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,6 +349,49 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.select("x", "y", "grams").mapInArrow(compare, "x long, y long, common long, x_size long, y_size long")
 
 
+def compare_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(x, y, common, x_size, y_size) from rows sorted by cell: its sets first, then its pairs."""
+    names = ["x", "y", "common", "x_size", "y_size"]
+    for _, rows in grouped(batches, "cell"):
+        sets = {r["x"]: np.frombuffer(r["grams"], np.uint64) for r in rows if r["grams"] is not None}
+        made = []
+        for r in rows:
+            if r["grams"] is None:
+                own, other = sets[r["x"]], sets[r["y"]]
+                at = np.minimum(np.searchsorted(own, other), len(own) - 1)
+                made.append((r["x"], r["y"], int((own[at] == other).sum()), len(own), len(other)))
+        columns = list(zip(*made, strict=True)) if made else [[]] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+
+
+def compared_by_cells(pairs: DataFrame, sets: DataFrame, leaders: DataFrame) -> DataFrame:
+    """The common sizes of many pairs among few sets. Sets with one leader are dealt into blocks of about
+    `CELL_SETS`; a pair is compared in the cell of its two blocks, and a set moves once to every cell
+    in which it has a pair, not once for every pair."""
+    nodes = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
+    led = nodes.join(leaders.select(F.col("y").alias("node"), "best.leader"), "node", "left").select(
+        "node", F.coalesce("leader", "node").alias("leader")
+    )
+    several = led.groupBy("leader").agg(F.ceil(F.count("*") / F.lit(CELL_SETS)).alias("_blocks"))
+    homes = staged(
+        led.join(several, "leader").select(
+            "node", F.xxhash64("leader", F.pmod(F.xxhash64("node"), F.col("_blocks"))).alias("block")
+        ),
+        "jaccard-blocks",
+    )
+    placed = (
+        pairs.join(homes.select(F.col("node").alias("x"), F.col("block").alias("bx")), "x")
+        .join(homes.select(F.col("node").alias("y"), F.col("block").alias("by")), "y")
+        .select(F.xxhash64("bx", "by").alias("cell"), "x", "y")
+    )
+    placed = staged(placed, "jaccard-cells")
+    used = placed.select("cell", "x").union(placed.select("cell", F.col("y"))).distinct()
+    moved = used.join(sets, used["x"] == sets["node"]).select("cell", "x", F.lit(None).cast("long").alias("y"), "grams")
+    dealt = moved.unionByName(placed.withColumn("grams", F.lit(None).cast("binary")))
+    dealt = dealt.repartition(partitions(pairs.sparkSession), "cell").sortWithinPartitions("cell")
+    return dealt.mapInArrow(compare_cells, "x long, y long, common long, x_size long, y_size long")
+
+
 def similarity_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row."""
     spark = docs.sparkSession
@@ -270,53 +409,70 @@ def similarity_groups(docs: DataFrame) -> DataFrame:
     )
     index = rows.mapInArrow(prefixes(late, buckets), "bucket int, gram binary, key binary, n binary, at binary")
     dealt = index.repartition(count, "bucket").sortWithinPartitions("bucket")
-    pairs = staged(dealt.mapInArrow(candidates, "x long, y long").distinct(), "jaccard-pairs")
-    wanted = staged(pairs.select(F.col("x").alias("key")).union(pairs.select("y")).distinct(), "jaccard-wanted")
+    listed_rows = staged(dealt.mapInArrow(candidates, INDEX_SCHEMA), "jaccard-index")
+    entries = listed_rows.filter("gram IS NOT NULL").select("gram", "key", "n", "at")
+    pairs = staged(likely_pairs(listed_rows), "jaccard-pairs")
+    wanted = pairs.select(F.col("x").alias("key")).union(pairs.select("y")).union(entries.select("key"))
+    wanted = staged(wanted.distinct(), "jaccard-wanted")
     # The text of one document per set that has a candidate; null ids are found by each other.
     ids = classes.join(wanted, "key").select("first_id").distinct()
     keyed = rows.join(ids, rows["doc_id"].eqNullSafe(ids["first_id"])).select("doc_id", "text")
     sets = keyed.mapInArrow(listed, "node long, grams binary")
     sets = staged(sets.join(wanted, sets["node"] == wanted["key"], "left_semi").dropDuplicates(["node"]), "jaccard-grams")
-    # Step one: each set against its leader, the smallest set it is a candidate with.
-    leaders = pairs.groupBy("y").agg(F.min("x").alias("x"))
-    near = staged(compared(leaders.select("x", "y"), sets), "jaccard-leaders")
-    linked = F.expr(f"100 * common >= {PERCENT} * (x_size + y_size - common)")
-    groups = staged(connected_components(near.filter(linked).select(F.col("x").alias("a"), F.col("y").alias("b")), "jaccard-near"), "jaccard-near")
-    far = near.select(
-        F.col("y").alias("node"), F.col("x").alias("leader"), (1 - F.col("common") / (F.col("x_size") + F.col("y_size") - F.col("common"))).alias("d")
-    )
-    known = groups.join(far, "node", "full_outer")
-    # Step two: pairs that the leaders' answers do not decide.
-    asked = (
-        pairs.join(leaders.withColumnRenamed("x", "_leader"), "y")
-        .filter("x <> _leader")
-        .drop("_leader")
-        .join(known.select(F.col("node").alias("x"), F.col("component").alias("cx"), F.col("leader").alias("lx"), F.col("d").alias("dx")), "x", "left")
-        .join(known.select(F.col("node").alias("y"), F.col("component").alias("cy"), F.col("leader").alias("ly"), F.col("d").alias("dy")), "y", "left")
-        .filter("NOT (cx <=> cy) OR cx IS NULL")
-        .filter(f"NOT (lx <=> ly) OR lx IS NULL OR abs(dx - dy) <= {1 - PERCENT / 100 + 1e-9}")
-        .select("x", "y", F.coalesce("cx", "x").alias("cx"), F.coalesce("cy", "y").alias("cy"))
-    )
-    asked = staged(asked, "jaccard-asked")
-    more = compared(asked.select("x", "y"), sets).filter(linked)
-    bridges = more.join(asked, ["x", "y"]).select(F.col("cx").alias("a"), F.col("cy").alias("b"))
-    joined = connected_components(bridges, "jaccard-far").withColumnRenamed("component", "whole")
-    final = groups.select("node", "component").unionByName(
-        joined.select("node").join(groups.select("node"), "node", "left_anti").withColumn("component", F.col("node"))
-    )
-    final = final.join(joined.withColumnRenamed("node", "_n"), F.col("component") == F.col("_n"), "left").select(
-        "node", F.coalesce("whole", "component").alias("component")
+    # Step one: short lists whole, long ones against their leaders.
+    first = staged(compared(pairs, sets), "jaccard-first")
+    similar = F.expr(f"100 * common >= {PERCENT} * (x_size + y_size - common)")
+    links = first.filter(similar).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    groups = staged(connected_components(links, "jaccard-near"), "jaccard-near")
+    distance = 1 - F.col("common") / (F.col("x_size") + F.col("y_size") - F.col("common"))
+    leaders = first.groupBy("y").agg(F.min(F.struct(distance.alias("d"), F.col("x").alias("leader"))).alias("best"))
+    # Step two: pairs of long lists that step one does not decide.
+    told = entries.join(groups, entries["key"] == groups["node"], "left").drop("node")
+    told = told.join(leaders, told["key"] == leaders["y"], "left").select(
+        "gram", "key", "n", "at", F.coalesce("component", "key").alias("group"),
+        F.coalesce("best.leader", "key").alias("leader"), F.coalesce("best.d", F.lit(0.0)).alias("d"),
     )
+    open_pairs = told.repartition(count, "gram").sortWithinPartitions("gram").mapInArrow(undecided, "x long, y long")
+    open_pairs = staged(open_pairs.distinct(), "jaccard-open")
+    more = compared_by_cells(open_pairs, sets, leaders).filter(similar).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    spans = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    final = connected_components(spans.union(more), "jaccard-all")
     whole = classes.join(final, classes["key"] == final["node"], "left").select(
         "key", "first_id", F.coalesce("component", "key").alias("component")
     )
     lowest = whole.groupBy("component").agg(F.min("first_id").alias("component_id"))
     answer = whole.join(lowest, "component").select(F.col("key").alias("_key"), "component_id")
-    return signed.join(answer, signed["key"] == F.when(signed["n_shingles"] > 0, F.col("_key")), "left").select(
+    # Documents without words have no class, so nothing is found for them.
+    asking = signed.withColumn("_asked", F.when(F.col("n_shingles") > 0, F.col("key")))
+    return asking.join(answer, F.col("_asked") == F.col("_key"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
+def likely_pairs(listed_rows: DataFrame) -> DataFrame:
+    """(x, y): the pairs of short lists that can still reach the overlap, and all pairs with leaders.
+
+    Beyond the shared shingles of their prefixes two sets can have no more in common than the longer
+    of their rests; shared shingles in long lists are not counted pair by pair, so as many as
+    the set with fewer of them has are granted.
+    """
+    often = listed_rows.filter("gram IS NULL AND key IS NOT NULL").groupBy("key").agg(F.sum("n").alias("long"))
+    short = listed_rows.filter("matches IS NOT NULL").groupBy("x", "y").agg(
+        F.first("x_size").alias("x_size"), F.first("y_size").alias("y_size"),
+        F.sum("matches").alias("matches"), F.sum("fitting").alias("fitting"),
+    ).filter("fitting > 0")
+    granted = (
+        short.join(often.select(F.col("key").alias("x"), F.col("long").alias("x_long")), "x", "left")
+        .join(often.select(F.col("key").alias("y"), F.col("long").alias("y_long")), "y", "left")
+        .withColumn("granted", F.least(F.coalesce("x_long", F.lit(0)), F.coalesce("y_long", F.lit(0))))
+    )
+    rest = f"greatest(ceil({PERCENT} * x_size / 100), ceil({PERCENT} * y_size / 100)) - 1"
+    needed = f"ceil({PERCENT} * (x_size + y_size) / {100 + PERCENT})"
+    fit = granted.filter(f"matches + granted + {rest} >= {needed}").select("x", "y")
+    led = listed_rows.filter("x IS NOT NULL AND matches IS NULL").select("x", "y")
+    return fit.union(led).distinct()
+
+
 def one_per_group(docs: DataFrame) -> DataFrame:
     """The documents whose id is the smallest of their group, with all their columns. Rows with one id
     stay or go together, and rows without id stay."""

@@ -40,6 +40,7 @@ from tamiz.llm.kernels import (
 )
 from tamiz.llm.language_model import grouped, split
 from tamiz.queries.base import table
+from tamiz.runtime import small_side
 
 # Two sets are linked if 100 * common >= PERCENT * union.
 PERCENT = 80
@@ -335,11 +336,11 @@ def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The common sizes of the pairs (x, y). A pair moves the set of y to x; that of x is sent once."""
-    first = sets.join(pairs.select("x").distinct(), sets["node"] == F.col("x")).select(
-        "x", F.lit(None).cast("long").alias("y"), "grams"
-    )
-    rest = pairs.join(sets, pairs["y"] == sets["node"]).select("x", "y", "grams")
+    """The common sizes of the pairs (x, y). A pair moves the set of y to x; that of x is sent once. The
+    pairs go to the sets if there are few, so that only what is compared is shuffled."""
+    asked = small_side(staged(pairs.select("x").distinct(), "jaccard-x"))
+    first = sets.join(asked, sets["node"] == F.col("x")).select("x", F.lit(None).cast("long").alias("y"), "grams")
+    rest = sets.join(small_side(pairs), F.col("y") == sets["node"]).select("x", "y", "grams")
     count = partitions(pairs.sparkSession)
     # Pairs of one x beyond a few thousand go to several tasks, each with its own copy of the set of x.
     several = pairs.groupBy("x").agg(F.ceil(F.count("*") / F.lit(2048)).cast("int").alias("_parts"))
@@ -385,8 +386,8 @@ def compared_by_cells(pairs: DataFrame, sets: DataFrame, leaders: DataFrame) ->
         .select(F.xxhash64("bx", "by").alias("cell"), "x", "y")
     )
     placed = staged(placed, "jaccard-cells")
-    used = placed.select("cell", "x").union(placed.select("cell", F.col("y"))).distinct()
-    moved = used.join(sets, used["x"] == sets["node"]).select("cell", "x", F.lit(None).cast("long").alias("y"), "grams")
+    used = small_side(staged(placed.select("cell", "x").union(placed.select("cell", F.col("y"))).distinct(), "jaccard-used"))
+    moved = sets.join(used, F.col("x") == sets["node"]).select("cell", "x", F.lit(None).cast("long").alias("y"), "grams")
     dealt = moved.unionByName(placed.withColumn("grams", F.lit(None).cast("binary")))
     dealt = dealt.repartition(partitions(pairs.sparkSession), "cell").sortWithinPartitions("cell")
     return dealt.mapInArrow(compare_cells, "x long, y long, common long, x_size long, y_size long")
@@ -417,8 +418,8 @@ def similarity_groups(docs: DataFrame) -> DataFrame:
     # The text of one document per set that has a candidate; null ids are found by each other.
     ids = classes.join(wanted, "key").select("first_id").distinct()
     keyed = rows.join(ids, rows["doc_id"].eqNullSafe(ids["first_id"])).select("doc_id", "text")
-    sets = keyed.mapInArrow(listed, "node long, grams binary")
-    sets = staged(sets.join(wanted, sets["node"] == wanted["key"], "left_semi").dropDuplicates(["node"]), "jaccard-grams")
+    # Rows that share an id may add sets nobody asks for, or one set twice; neither changes an answer.
+    sets = staged(keyed.mapInArrow(listed, "node long, grams binary"), "jaccard-grams")
     # Step one: short lists whole, long ones against their leaders.
     first = staged(compared(pairs, sets), "jaccard-first")
     similar = F.expr(f"100 * common >= {PERCENT} * (x_size + y_size - common)")

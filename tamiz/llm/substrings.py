@@ -41,7 +41,7 @@ LONGEST = 255
 MANY = 4096
 CHUNK_BYTES = 1 << 20
 BLOCK_BYTES = 32 << 20
-COLLECTION_BYTES = 1 << 20
+COLLECTION_BYTES = 1 << 18
 
 _SYMBOL = np.random.default_rng(3).integers(0, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _POWER = np.uint64(0x9E3779B97F4A7C15)
@@ -237,61 +237,67 @@ def fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def collection_order(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All suffixes of the strings in order: (string, suffix length, common prefix with the suffix before).
 
-    Row r of the transform holds the symbol before suffix r, or 0 where the string begins. In a round,
-    the symbol before the newest suffix of every string makes the next longer suffix. Counting sort of the
-    transform gives its place; with the previous row of the same symbol it shares one
-    symbol more than the least common prefix on the way there.
+    The transform holds, for the row of every suffix, the symbol before it. It is kept as the sorted rows of each
+    symbol, one symbol after the other, which is at once the map to the rows of the suffixes one
+    longer: entry k stands for row n + k, after the n empty suffixes. In a round, the symbol before the
+    newest suffix of every string makes the next longer suffix at its place. That shares with the suffix of
+    the previous row of the same symbol one more than the least common prefix on the way there.
     """
     n = len(strings)
     lengths = np.array([len(s) for s in strings], np.int64)
     ends = np.cumsum(lengths)
-    # Symbols are shifted by one, as 0 marks the beginning of a string.
-    flat = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint16) + 1
-    used = np.unique(flat)
-    flat = np.append(np.searchsorted(used, flat) + 1, 0).astype(np.uint8 if len(used) < 256 else np.uint16)
-    before = np.where(lengths > 0, flat[np.maximum(ends - 1, 0)], 0).astype(flat.dtype)
-    common = np.zeros(n, np.int16)
-    owner = np.arange(n, dtype=np.int32)
-    length = np.zeros(n, np.int16)
-    newest = np.arange(n)
-    strings_left = np.flatnonzero(lengths > 0)
-    newest = newest[strings_left]
-    size = 0
-    while len(strings_left):
+    used, flat = np.unique(np.frombuffer(b"".join(strings), np.uint8), return_inverse=True)
+    # Collections are small, so rows, and string and length in one number, fit 32 bits.
+    width = int(lengths.max(initial=1)).bit_length()
+    if (n << width) + ends[-1] + n >> 31:
+        raise ValueError("the collection is too large")
+    common, code = np.zeros(n, np.int16), np.arange(n, dtype=np.int32) << width
+    alive = np.flatnonzero(lengths > 0).astype(np.int32)
+    starts = np.zeros(len(used) + 1, np.int64)
+    rows, size = np.zeros(0, np.int32), 0
+    symbol, place = flat[ends[alive] - 1], alive
+    while len(alive):
+        rows, own = merged_rows(rows, starts, symbol, place)
         size += 1
-        order = np.argsort(before, kind="stable")
-        none = int(np.count_nonzero(before == 0))
-        rank = np.empty(len(before), np.int64)
-        rank[order] = np.arange(len(before))
-        # Rows of empty suffixes come first; then one row per symbol in the transform.
-        own = rank[newest]
-        place = n + own - none
-        symbols = before[order]
-        total = n + len(before) - none
-        # Common prefixes of the new rows and of the rows after them.
-        same_before = (own > none) & (symbols[np.maximum(own - 1, 0)] == symbols[own])
-        following = np.minimum(own + 1, len(order) - 1)
-        same_after = (own + 1 < len(order)) & (symbols[following] == symbols[own])
-        low = np.concatenate([order[own[same_before] - 1], newest[same_after]]) + 1
-        high = np.concatenate([newest[same_before], order[following[same_after]]])
-        target = np.concatenate([place[same_before], place[same_after] + 1])
+        # Common prefixes of the new suffixes and of those after them; rows are still the old ones.
+        newest = rows[own]
+        same_before, same_after = own > starts[symbol], own + 1 < starts[symbol + 1]
+        low = np.concatenate([rows[own[same_before] - 1], newest[same_after]]) + 1
+        high = np.concatenate([newest[same_before], rows[own[same_after] + 1]])
         shared = 1 + range_minima(common, low, high)
-        # The new array: old rows keep their order around the new ones.
-        old = np.ones(total, bool)
+        place = n + own
+        old = np.ones(n + len(rows), bool)
         old[place] = False
-        next_symbol = ends[strings_left] - size - 1
-        more = lengths[strings_left] > size
-        symbol = np.where(more, flat[np.maximum(next_symbol, 0)], 0)
-        before = inserted(before, old, place, symbol.astype(before.dtype))
-        owner = inserted(owner, old, place, strings_left.astype(np.int32))
-        length = inserted(length, old, place, np.full(len(place), size, np.int16))
-        common = inserted(common, old, place, np.zeros(len(place), np.int16))
-        common[target] = shared
-        newest, strings_left = place[more], strings_left[more]
-    return owner, length, common
-
-
-def inserted(values: np.ndarray, old: np.ndarray, place: np.ndarray, new: np.ndarray) -> np.ndarray:
+        code = inserted(code, old, place, (alive << width) | size)
+        common = inserted(common, old, place, np.int16(0))
+        common[np.concatenate([place[same_before], place[same_after] + 1])] = shared
+        rows = np.flatnonzero(old).astype(np.int32)[rows]
+        more = lengths[alive] > size
+        alive, place = alive[more], place[more].astype(np.int32)
+        symbol = flat[ends[alive] - size - 1]
+    return code >> width, code & ((1 << width) - 1), common
+
+
+def merged_rows(rows: np.ndarray, starts: np.ndarray, symbol: np.ndarray, place: np.ndarray):
+    """Put new rows into the sorted rows of their symbols; also where each one now stands. `starts`,
+    the border of every symbol's rows, is brought up to date."""
+    order = np.lexsort((place, symbol))
+    symbol, place = symbol[order], place[order]
+    first = np.flatnonzero(np.concatenate([[True], symbol[1:] != symbol[:-1]]))
+    at = np.empty(len(order), np.int64)
+    for begin, end in zip(first, np.append(first[1:], len(order)), strict=True):
+        low, high = starts[symbol[begin]], starts[symbol[begin] + 1]
+        at[begin:end] = low + rows[low:high].searchsorted(place[begin:end])
+    at += np.arange(len(at))
+    old = np.ones(len(rows) + len(at), bool)
+    old[at] = False
+    own = np.empty(len(at), np.int64)
+    own[order] = at
+    starts[1:] += np.cumsum(np.bincount(symbol, minlength=len(starts) - 1))
+    return inserted(rows, old, at, place), own
+
+
+def inserted(values: np.ndarray, old: np.ndarray, place: np.ndarray, new) -> np.ndarray:
     out = np.empty(len(old), values.dtype)
     out[old] = values
     out[place] = new

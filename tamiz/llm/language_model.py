@@ -31,7 +31,7 @@ from tamiz.llm.common import bucket_of, partitions, staged, texts
 from tamiz.llm.kernels import chunks, counted, mix, pack, pack_sorted, text_bytes, unpack, unpack_sorted, words
 from tamiz.queries.base import table
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 FILTER_BITS = 1 << 29
 PROBES = 8
 FOLDS, HELD_OUT = 7, 2

@@ -34,6 +34,7 @@ from tamiz.queries.base import table
 SIZE = 1024
 END = 0
 CACHED_WORDS = 500_000
+CHUNK_BYTES = 1 << 20
 
 
 class Encoder:
@@ -147,7 +148,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE, with_ids: bool = F
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(tokenizer)
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, limit=CHUNK_BYTES):
                 ids, begins = encode(part.column("text").to_pylist())
                 rows = [[] for _ in range(6)]
                 for doc, a, b in zip(part.column("doc_id").to_pylist(), begins[:-1], begins[1:], strict=True):

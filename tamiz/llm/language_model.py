@@ -3,12 +3,13 @@
 Method: log-frequency Bloom filter. Word pairs of the training texts are counted exactly on Spark. A
 pair with count c is put into the filter once for every level 1 .. 1 + floor(log2(c / floor)); a
 reader probes level after level until one is missing and takes the last level's count, which is
-never above the true one but for false positives. The filter has a fixed number of bits, in one segment per
-hash bucket, and is broadcast. `floor` is 1 unless a bucket's pairs would fill more than half of its
-segment; then its rarest pairs are left to the smoothing, whatever the input's size.
+never above the true one but for false positives. The filter has one segment per hash bucket, which stays in
+its bucket. Its size follows from the levels of the bucket's pairs, so that at most half of it is filled, and
+the number of buckets from the training tokens: every pair is in the filter, however many there are.
 
-Single words are counted exactly: each block of texts asks for the counts of its own distinct
-words, so a word costs a block one request however often it occurs, and answers go back to the block.
+Each block of texts asks the buckets for the counts of its own distinct words, which are exact, and of its
+distinct word pairs, which the filter answers. So a word or pair costs a block one request however often it
+occurs, and answers go back to the block.
 Probabilities are smoothed towards them, P(w | h) = s c(h, w) / c(h) + (1 - s) P(w) with
 P(w) = (c(w) + 1) / (N + V + 1); 1 - s is the share of training tokens whose pair occurs only once, which is
 Good and Turing's estimate of how often a pair is new. A text ends with an end token.
@@ -32,7 +33,9 @@ from tamiz.llm.kernels import chunks, counted, mix, pack, pack_sorted, text_byte
 from tamiz.queries.base import table
 
 BLOCK_BYTES = 16 << 20
+# The least size of the whole filter; it grows with the pairs.
 FILTER_BITS = 1 << 29
+BUCKET_TOKENS = 1 << 22
 PROBES = 8
 FOLDS, HELD_OUT = 7, 2
 END = np.uint64(0x5DEECE66D1234567)
@@ -67,8 +70,8 @@ def split(values: np.ndarray, bits: int, buckets: int) -> np.ndarray:
 
 
 def block_rows(buckets: int):
-    """For mapInArrow: a block's texts as numbers into its sorted distinct tokens, and per bucket those tokens with
-    their counts in the block's training texts."""
+    """For mapInArrow: a block's sorted distinct tokens with its texts as numbers into them, and per bucket those
+    tokens with their counts in the block's training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, block, hashes, firsts in blocks(batches):
@@ -88,7 +91,7 @@ def block_rows(buckets: int):
                 ],
                 pa.struct([("doc_id", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64())), ("tokens", pa.binary())]),
             )
-            yield rows_of([number], [-1], [b""], [b""], [int(trained.sum())], text)
+            yield rows_of([number], [-1], [pack_sorted(distinct)], [b""], [int(trained.sum())], text)
             some = np.flatnonzero(np.diff(borders))
             yield rows_of(
                 [number] * len(some),
@@ -146,16 +149,23 @@ def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for bucket, rows in grouped(batches, "bucket"):
         asked = [unpack_sorted(r["tokens"]) for r in rows]
         distinct, counts = counted(np.concatenate(asked), np.concatenate([unpack(r["counts"]) for r in rows]))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([-1, *(r["block"] for r in rows)], pa.int64()),
-                pa.array([bucket] * (len(rows) + 1), pa.int32()),
-                pa.array([b"", *(r["tokens"] for r in rows)], pa.binary()),
-                pa.array([b"", *(pack(counts[np.searchsorted(distinct, a)]) for a in asked)], pa.binary()),
-                pa.array([int((counts > 0).sum())] + [0] * len(rows), pa.int64()),
-            ],
-            names=["block", "bucket", "tokens", "counts", "total"],
-        )
+        yield answers_of(bucket, rows, asked, distinct, counts, int((counts > 0).sum()))
+
+
+ANSWER_SCHEMA = "block long, bucket int, counts binary, total long"
+
+
+def answers_of(bucket: int, rows: list[dict], asked: list[np.ndarray], distinct: np.ndarray, counts: np.ndarray, total: int) -> pa.RecordBatch:
+    """The total in a row with block -1, and the counts of what each block asked for, in its order."""
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([-1, *(r["block"] for r in rows)], pa.int64()),
+            pa.array([bucket] * (len(rows) + 1), pa.int32()),
+            pa.array([b"", *(pack(counts[np.searchsorted(distinct, a)]) for a in asked)], pa.binary()),
+            pa.array([total] + [0] * len(rows), pa.int64()),
+        ],
+        names=["block", "bucket", "counts", "total"],
+    )
 
 
 def pair_hashes(hashes: np.ndarray, firsts: np.ndarray, bits: int) -> np.ndarray:
@@ -166,24 +176,39 @@ def pair_hashes(hashes: np.ndarray, firsts: np.ndarray, bits: int) -> np.ndarray
     return mix(before * np.uint64(0xD6E8FEB86659FD93) + hashes) >> np.uint64(64 - bits)
 
 
-def pair_counts(bits: int, buckets: int):
-    """For mapInArrow: the pairs of each block's training texts with their counts, by bucket."""
+def told_tokens(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct tokens, numbers into them, tokens per text and token offsets of a block's row of texts."""
+    sizes = np.array(row["texts"]["sizes"], np.int64)
+    local = unpack(row["texts"]["tokens"]).astype(np.int64)
+    return unpack_sorted(row["tokens"]), local, sizes, np.concatenate([[0], np.cumsum(sizes)])
+
+
+def pair_rows(bits: int, buckets: int):
+    """For mapInArrow over the rows of texts: by bucket each block's distinct pairs, with their counts in its
+    training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, block, hashes, firsts in blocks(batches):
-            pairs = np.sort(pair_hashes(hashes, firsts, bits)[training(block, firsts)])
-            first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])) if len(pairs) else np.zeros(0, int)
-            distinct, counts = pairs[first], np.diff(first, append=len(pairs)).astype(np.uint64)
-            borders = split(distinct, bits, buckets)
-            some = np.flatnonzero(np.diff(borders))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(some, pa.int32()),
-                    pa.array([pack_sorted(distinct[borders[b] : borders[b + 1]]) for b in some], pa.binary()),
-                    pa.array([pack(counts[borders[b] : borders[b + 1]]) for b in some], pa.binary()),
-                ],
-                names=["bucket", "pairs", "counts"],
-            )
+        for batch in batches:
+            for at in range(batch.num_rows):
+                (row,) = batch.slice(at, 1).to_pylist()
+                known, local, sizes, firsts = told_tokens(row)
+                pairs = pair_hashes(known[local], firsts, bits)
+                used = np.repeat(~np.array(row["texts"]["held_out"], bool), sizes)
+                trained, times = np.unique(pairs[used], return_counts=True)
+                distinct = np.unique(pairs)
+                counts = np.zeros(len(distinct), np.uint64)
+                counts[np.searchsorted(distinct, trained)] = times
+                borders = split(distinct, bits, buckets)
+                some = np.flatnonzero(np.diff(borders))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(some), row["block"]), pa.int64()),
+                        pa.array(some, pa.int32()),
+                        pa.array([pack_sorted(distinct[borders[b] : borders[b + 1]]) for b in some], pa.binary()),
+                        pa.array([pack(counts[borders[b] : borders[b + 1]]) for b in some], pa.binary()),
+                    ],
+                    names=["block", "bucket", "pairs", "counts"],
+                )
 
     return run
 
@@ -213,22 +238,25 @@ def segment(pairs: np.ndarray, counts: np.ndarray, size: int, probes: int = PROB
     return floor, np.packbits(bits, bitorder="little")
 
 
-def segments(size: int):
+def room_for(counts: np.ndarray, probes: int = PROBES) -> int:
+    """Bits of a segment that all levels of these counts fill by half at most: about 12 for each."""
+    levels = int(np.floor(np.log2(counts)).sum()) + len(counts)
+    return -(-int(np.ceil((levels + 1) * probes / np.log(2))) // 8) * 8
+
+
+def answer_pairs(hash_bits: int, least: int, first: int):
+    """For mapInArrow: each bucket's segment is filled, and read for the pairs that the blocks ask for. Buckets
+    are numbered from `first` in the answers; one row with block -1 tells how many pairs occur once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in grouped(batches, "bucket"):
-            pairs, counts = counted(
-                np.concatenate([unpack_sorted(r["pairs"]) for r in rows]), np.concatenate([unpack(r["counts"]) for r in rows])
-            )
+            asked = [unpack_sorted(r["pairs"]) for r in rows]
+            distinct, counts = counted(np.concatenate(asked), np.concatenate([unpack(r["counts"]) for r in rows]))
+            pairs, counts = distinct[counts > 0], counts[counts > 0]
+            size = max(least, room_for(counts))
             floor, bits = segment(pairs, counts, size)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([bucket], pa.int32()),
-                    pa.array([floor], pa.int64()),
-                    pa.array([int((counts == 1).sum())], pa.int64()),
-                    pa.array([bits.tobytes()], pa.binary()),
-                ],
-                names=["bucket", "floor", "singles", "bits"],
-            )
+            found = Filter(bits, np.array([floor]), hash_bits, size).counts(distinct).astype(np.uint64)
+            yield answers_of(first + bucket, rows, asked, distinct, found, int((counts == 1).sum()))
 
     return run
 
@@ -259,32 +287,24 @@ class Filter:
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def scorer(shared, hash_bits: int, size: int, n: int, v: int, documents: int, seen: float):
-    """For mapInArrow over rows sorted by block and bucket: the texts come first, then the
-    counts of their tokens, in the order of the tokens."""
+def scorer(hash_bits: int, buckets: int, n: int, v: int, documents: int, seen: float):
+    """For mapInArrow over rows sorted by block and bucket: the texts come first, then the counts of their
+    tokens and, from bucket number `buckets` on, of their pairs, each in the order of their hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, floors = shared.value
-        model = Filter(np.frombuffer(bits, np.uint8), floors, hash_bits, size)
         for _, rows in grouped(batches, "block"):
-            found, answers = rows[0]["texts"], rows[1:]
-            distinct = np.concatenate([unpack_sorted(r["tokens"]) for r in answers])
-            counts = np.concatenate([unpack(r["counts"]) for r in answers]).astype(float)
-            local = unpack(found["tokens"]).astype(np.int64)
-            sizes = np.array(found["sizes"], np.int64)
-            firsts = np.concatenate([[0], np.cumsum(sizes)])
+            found = rows[0]["texts"]
+            distinct, local, sizes, firsts = told_tokens(rows[0])
+            counts, pair_counts = (
+                np.concatenate([unpack(r["counts"]) for r in rows[1:] if (r["bucket"] >= buckets) == paired]).astype(float)
+                for paired in (False, True)
+            )
             base = np.log10((counts + 1) / (n + v + 1))
             own = counts[local]
             history = np.empty(len(local))
             history[1:] = own[:-1]
             history[firsts[:-1]] = documents
-            pair = np.empty(len(local))
-            for at in range(0, len(local), 1 << 20):
-                # The token before a stretch is hashed along, so stretches do not change the pairs.
-                end, lead = min(at + (1 << 20), len(local)), min(at, 1)
-                inside = firsts[:-1][(firsts[:-1] >= at - lead) & (firsts[:-1] < end)] - (at - lead)
-                hashed = pair_hashes(distinct[local[at - lead : end]], np.append(inside, 0), hash_bits)[lead:]
-                pair[at:end] = model.counts(hashed)
+            pair = pair_counts[np.unique(pair_hashes(distinct[local], firsts, hash_bits), return_inverse=True)[1]]
             # A pair cannot be more frequent than either of its tokens.
             pair = np.minimum(pair, np.minimum(history, own))
             weight = np.where(history > 0, seen, 0.0)
@@ -307,7 +327,7 @@ def scorer(shared, hash_bits: int, size: int, n: int, v: int, documents: int, se
 
 def score(docs: DataFrame, held_out: Column, filter_bits: int = FILTER_BITS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every text;
-    texts that are not held out are the training texts."""
+    texts that are not held out are the training texts. The filter has `filter_bits` bits at least."""
     spark = docs.sparkSession
     count = partitions(spark)
     buckets = max(64, 1 << (2 * count - 1).bit_length())
@@ -316,34 +336,32 @@ def score(docs: DataFrame, held_out: Column, filter_bits: int = FILTER_BITS) ->
     )
     told = staged(rows.mapInArrow(block_rows(buckets), BLOCK_SCHEMA), "lm-blocks")
     asked = told.filter("bucket >= 0").drop("texts", "total").repartition(count, "bucket").sortWithinPartitions("bucket")
-    answers = staged(
-        asked.mapInArrow(answer, "block long, bucket int, tokens binary, counts binary, total long"), "lm-counts"
-    )
+    answers = staged(asked.mapInArrow(answer, ANSWER_SCHEMA), "lm-counts")
     n = told.agg(F.sum("total")).first()[0] or 0
     v = answers.filter("block = -1").agg(F.sum("total")).first()[0] or 0
     documents = rows.filter("NOT held_out").count()
     # Pairs are told apart by enough bits that chance collisions stay far below the filter's own errors.
     hash_bits = min(64, max(40, n.bit_length() + 14))
-    size = max(8, filter_bits // buckets // 8 * 8)
-    pairs = rows.mapInArrow(pair_counts(hash_bits, buckets), "bucket int, pairs binary, counts binary")
-    made = (
+    # More training tokens make more buckets, not larger ones.
+    pair_buckets = max(buckets, 1 << (n // BUCKET_TOKENS).bit_length())
+    least = max(8, filter_bits // pair_buckets // 8 * 8)
+    pairs = told.filter("bucket = -1").select("block", "tokens", "texts").mapInArrow(
+        pair_rows(hash_bits, pair_buckets), "block long, bucket int, pairs binary, counts binary"
+    )
+    paired = staged(
         pairs.repartition(count, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(segments(size), "bucket int, floor long, singles long, bits binary")
+        .mapInArrow(answer_pairs(hash_bits, least, buckets), ANSWER_SCHEMA),
+        "lm-pairs",
     )
-    floors, bits, singles = np.zeros(buckets, np.int64), np.zeros(buckets * size // 8, np.uint8), 0
-    # The filter has `filter_bits` bits in all, whatever the input.
-    for row in made.toLocalIterator():
-        floors[row.bucket], singles = row.floor, singles + row.singles
-        bits[row.bucket * size // 8 : (row.bucket + 1) * size // 8] = np.frombuffer(row.bits, np.uint8)
-    shared = spark.sparkContext.broadcast((bits.tobytes(), floors))
+    singles = paired.filter("block = -1").agg(F.sum("total")).first()[0] or 0
     back = (
         told.filter("bucket = -1")
-        .unionByName(answers.filter("block >= 0"), allowMissingColumns=True)
+        .unionByName(answers.union(paired).filter("block >= 0"), allowMissingColumns=True)
         .repartition(count, "block")
         .sortWithinPartitions("block", "bucket")
     )
-    return back.mapInArrow(scorer(shared, hash_bits, size, n, v, documents, 1 - singles / max(n, 1)), RESULT)
+    return back.mapInArrow(scorer(hash_bits, buckets, n, v, documents, 1 - singles / max(n, 1)), RESULT)
 
 
 def op10_log_frequency_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -325,6 +325,20 @@ def test_full_filter_drops_the_rarest_pairs():
     assert (model.counts(pairs[300:]) > 0).mean() < 0.02
 
 
+def test_a_small_filter_grows_with_the_pairs(odd_docs):
+    held = bucket_of("doc_id", 7) == 2
+    wide, narrow = (
+        sorted((r.doc_id, r.n_tokens, r.score) for r in language_model.score(odd_docs, held, bits).collect())
+        for bits in (language_model.FILTER_BITS, 64)
+    )
+    assert [r[:2] for r in wide] == [r[:2] for r in narrow]
+    # No pair is left out, so a text can only score higher, by false positives.
+    assert all(b >= a - 1e-6 for (_, _, a), (_, _, b) in zip(wide, narrow))
+    counts = np.random.default_rng(4).integers(1, 1000, 5000).astype(np.uint64)
+    floor, _ = language_model.segment(np.arange(5000, dtype=np.uint64), counts, language_model.room_for(counts))
+    assert floor == 1
+
+
 # Compression classifier
 
 

@@ -3,7 +3,8 @@
 Method: the lines of a document that have a word are hashed. From every line a window reaches over as many
 lines as are needed for `MIN_WORDS` words, so equal runs of lines have equal windows wherever they
 stand. Each window selects the line with its smallest hash (the leftmost of ties) as fingerprint: any
-repeated run of at least that many words is guaranteed to hold a fingerprint in common. Fingerprint
+repeated run of at least that many words is guaranteed to hold a fingerprint in common. With `extend` windows
+also reach back from every line, so that all lines of such a run lie in windows inside it. Fingerprint
 positions are joined over the whole corpus, and those that occur once drop out. Around the others the
 match is extended to both sides: every window that selected the fingerprint is compared as a whole
 with its earliest occurrence, and windows that follow each other with the same distance
@@ -32,20 +33,33 @@ MIN_WORDS = 10
 NO_ID = (1 << 63) - 1
 
 
-def windows_of(lines: list[bytes], min_words: int = MIN_WORDS) -> list[tuple[int, int, int, int]]:
-    """(fingerprint, window hash, first line, last line) of every window; lines are counted from 0."""
+def windows_of(lines: list[bytes], min_words: int = MIN_WORDS, extend: bool = False) -> list[tuple[int, int, int, int]]:
+    """(fingerprint, window hash, first line, last line) of every window; lines are counted from 0. With
+    `extend`, also of the windows that reach back from a line: each line of a run of `min_words` words lies in a
+    window inside the run that starts at it, ends at it, or starts where the run does."""
     held = [(k, n, xxhash.xxh3_64_intdigest(line)) for k, line in enumerate(lines) if (n := len(line.split()))]
-    found, end, words = [], 0, 0
+    spans, end, words = set(), 0, 0
     for begin in range(len(held)):
         while end < len(held) and words < min_words:
             words += held[end][1]
             end += 1
         if words < min_words:
             break
+        spans.add((begin, end))
+        words -= held[begin][1]
+    begin, words = 0, 0
+    for end in range(1, len(held) + 1 if extend else 0):
+        words += held[end - 1][1]
+        while words - held[begin][1] >= min_words:
+            words -= held[begin][1]
+            begin += 1
+        if words >= min_words:
+            spans.add((begin, end))
+    found = []
+    for begin, end in sorted(spans):
         hashes = [h for _, _, h in held[begin:end]]
         whole = xxhash.xxh3_64_intdigest(b"".join(h.to_bytes(8, "little") for h in hashes), seed=len(hashes))
         found.append((min(hashes), whole, held[begin][0], held[end - 1][0]))
-        words -= held[begin][1]
     return found
 
 
@@ -53,13 +67,13 @@ def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def all_windows(docs: DataFrame, min_words: int) -> DataFrame:
+def all_windows(docs: DataFrame, min_words: int, extend: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc", "fingerprint", "whole", "first", "last"]
         for batch in batches:
             made = [[] for _ in names]
             for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text").cast(pa.binary()), strict=True):
-                for mark, whole, first, last in windows_of(text.as_py().split(b"\n"), min_words):
+                for mark, whole, first, last in windows_of(text.as_py().split(b"\n"), min_words, extend):
                     for column, value in zip(made, (doc, signed(mark), signed(whole), first, last), strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in made], names=names)
@@ -72,23 +86,24 @@ def doc_key() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
 
 
-def repeated_windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_windows(docs: DataFrame, min_words: int = MIN_WORDS, extend: bool = False) -> DataFrame:
     """doc, first, last, source, source_first of every window that occurs earlier."""
-    found = staged(all_windows(docs, min_words), "line-windows")
+    found = staged(all_windows(docs, min_words, extend), "line-windows")
     often = found.groupBy("fingerprint").agg(F.count("*").alias("n")).filter("n > 1").select("fingerprint")
-    matched = found.join(often, "fingerprint", "left_semi")
+    # Merge joins at every size, so that what is shuffled grows with the input alone.
+    matched = found.join(often.hint("merge"), "fingerprint", "left_semi")
     sources = matched.groupBy("whole").agg(F.min(F.struct("doc", "first")).alias("source"), F.count("*").alias("n"))
     sources = sources.filter("n > 1").drop("n")
     return (
-        matched.join(sources, "whole")
+        matched.join(sources.hint("merge"), "whole")
         .filter("doc <> source.doc OR first <> source.first")
         .select("doc", "first", "last", F.col("source.doc").alias("source"), F.col("source.first").alias("source_first"))
     )
 
 
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, extend: bool = False) -> DataFrame:
     """doc, first, last, source, source_first: windows joined into runs of lines with one source."""
-    found = repeated_windows(docs, min_words).withColumn("_gap", F.col("first") - F.col("source_first"))
+    found = repeated_windows(docs, min_words, extend).withColumn("_gap", F.col("first") - F.col("source_first"))
     order = Window.partitionBy("doc", "source", "_gap").orderBy("first")
     reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     opened = found.withColumn("_new", F.when(F.col("first") <= reach + 1, 0).otherwise(1))
@@ -98,20 +113,22 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ).drop("_gap", "_run")
 
 
-def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, extend: bool = False) -> DataFrame:
     """doc and the numbers of its deleted lines."""
-    runs = repeated_runs(docs, min_words)
+    runs = repeated_runs(docs, min_words, extend)
     spans = F.collect_list(F.sequence("first", "last"))
     return runs.groupBy("doc").agg(F.array_distinct(F.flatten(spans)).alias("_covered"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, detail: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, detail: bool = False, extend: bool = False) -> DataFrame:
     """The documents without their repeated runs, with all their columns. n_chars, if there,
     follows the text. Documents that lose all their words are left out; others without words stay.
+    With `extend`, runs reach to their last equal line; otherwise lines at the end of a run that have fewer than
+    `min_words` words together, behind a line of as many, stay.
     With `detail`, doc_id, n_lines, removed (line numbers) and the text of all documents instead."""
-    gone = staged(removed_lines(docs, min_words), "line-runs").withColumnRenamed("doc", "_doc")
+    gone = staged(removed_lines(docs, min_words, extend), "line-runs").withColumnRenamed("doc", "_doc")
     columns = docs.columns
-    joined = docs.select("doc_id", "text", F.struct(*columns).alias("_whole")).join(gone, doc_key() == F.col("_doc"), "left")
+    joined = docs.select("doc_id", "text", F.struct(*columns).alias("_whole")).join(gone.hint("merge"), doc_key() == F.col("_doc"), "left")
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
     blank = F.transform(F.col("_lines"), lambda line: ~line.rlike(r"[^\x20\x09-\x0D]"))
     covered = F.filter(F.col("_covered"), lambda k: ~F.get(F.col("_blank"), k.cast("int")))
@@ -139,6 +156,6 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, detail: bool = Fals
 
 def op5_winnowed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which lines of all documents go, and the hash of the text that stays."""
-    return dedup_lines(table(spark, sf_dir, "documents"), detail=True).select(
+    return dedup_lines(table(spark, sf_dir, "documents"), detail=True, extend=True).select(
         "doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )

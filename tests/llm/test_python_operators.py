@@ -175,6 +175,34 @@ def test_lines(odd_docs, odd_rows):
         assert r.n_chars == (None if r.text is None else len(r.text))
 
 
+def brute_runs(texts, least):
+    """Per text the lines in maximal equal runs of `least` words with a place that stands earlier."""
+    own = [[(k, line) for k, line in enumerate(t.split("\n")) if words(line)] for t in texts]
+    at = [(d, i) for d, held in enumerate(own) for i in range(len(held))]
+    gone = [set() for _ in texts]
+    for (s, j), (d, i) in itertools.combinations(at, 2):
+        if i and j and own[s][j - 1][1] == own[d][i - 1][1]:
+            continue
+        n = 0
+        while j + n < len(own[s]) and i + n < len(own[d]) and own[s][j + n][1] == own[d][i + n][1]:
+            n += 1
+        if sum(len(words(line)) for _, line in own[d][i : i + n]) >= least:
+            gone[d].update(k for k, _ in own[d][i : i + n])
+    return gone
+
+
+def test_runs_reach_to_their_last_equal_line(spark):
+    rng = random.Random(8)
+    pool = [" ".join(f"v{k}" for _ in range(n)) for k, n in enumerate((1, 2, 3, 4, 6, 9, 10, 12, 15))] + ["", " "]
+    texts = ["\n".join(rng.choice(pool) for _ in range(rng.randint(0, 9))) for _ in range(40)]
+    texts += [f"{pool[7]} x\n{pool[3]} x\n{end}" for end in ("one", "two")]
+    want = brute_runs(texts, 10)
+    assert want[-1] == {0, 1}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = lines.dedup_lines(docs, 10, detail=True, extend=True).collect()
+    assert {r.doc_id: set(r.removed) for r in found} == dict(enumerate(want))
+
+
 def test_line_runs_reach_over_all_matching_lines(spark):
     shared = "\n".join(f"shared line {k} with six words" for k in range(9))
     docs = spark.createDataFrame([(1, f"first own line\n{shared}"), (2, f"{shared}\nlast own line")], "doc_id long, text string")

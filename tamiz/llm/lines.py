@@ -13,8 +13,9 @@ doc_id (null last) and line.
 
 Lines without a word are neither compared nor deleted, unless nothing else is left. A line repeated very
 often is counted per task before the shuffle, and only its window hash and place move. Nulls
-count as empty texts and have no lines to compare; rows with one doc_id count as the same document, and rows
-without id as one more.
+count as empty texts and have no lines to compare. Repeated rows (same id, same text) are one document and
+answered alike; rows with one id and different texts are different documents, in the order of the texts' hashes. Each row
+without id is a document of its own, in the order of the input.
 """
 
 from __future__ import annotations
@@ -23,10 +24,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tamiz.llm.common import staged, texts
+from tamiz.llm.common import staged
 from tamiz.queries.base import table
 
 MIN_WORDS = 10
@@ -67,57 +68,71 @@ def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def all_windows(docs: DataFrame, min_words: int, extend: bool) -> DataFrame:
+def keyed(docs: DataFrame) -> DataFrame:
+    """The rows with _doc and _part, which together name a document. Rows without id are staged, so that their
+    numbers stay the same."""
+    own = F.xxhash64(F.coalesce("text", F.lit("")))
+    named = docs.filter("doc_id IS NOT NULL").withColumn("_part", own)
+    loose = docs.filter("doc_id IS NULL").withColumn("_part", F.monotonically_increasing_id())
+    rows = named.union(staged(loose, "line-rows"))
+    return rows.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
+
+
+def all_windows(rows: DataFrame, min_words: int, extend: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc", "fingerprint", "whole", "first", "last"]
+        names = ["doc", "part", "fingerprint", "whole", "first", "last"]
         for batch in batches:
             made = [[] for _ in names]
-            for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text").cast(pa.binary()), strict=True):
+            keys = (batch.column(c).to_pylist() for c in ("doc", "part"))
+            for doc, part, text in zip(*keys, batch.column("text").cast(pa.binary()), strict=True):
                 for mark, whole, first, last in windows_of(text.as_py().split(b"\n"), min_words, extend):
-                    for column, value in zip(made, (doc, signed(mark), signed(whole), first, last), strict=True):
+                    for column, value in zip(made, (doc, part, signed(mark), signed(whole), first, last), strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in made], names=names)
 
-    rows = texts(docs).select(doc_key().alias("doc"), "text")
-    return rows.mapInArrow(run, "doc long, fingerprint long, whole long, first long, last long")
-
-
-def doc_key() -> Column:
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    found = rows.select(F.col("_doc").alias("doc"), F.col("_part").alias("part"), F.coalesce("text", F.lit("")).alias("text"))
+    return found.mapInArrow(run, "doc long, part long, fingerprint long, whole long, first long, last long")
 
 
-def repeated_windows(docs: DataFrame, min_words: int = MIN_WORDS, extend: bool = False) -> DataFrame:
-    """doc, first, last, source, source_first of every window that occurs earlier."""
-    found = staged(all_windows(docs, min_words, extend), "line-windows")
+def repeated_windows(rows: DataFrame, min_words: int = MIN_WORDS, extend: bool = False) -> DataFrame:
+    """doc, part, first, last, source, source_part, source_first of every window of keyed rows that occurs earlier."""
+    found = staged(all_windows(rows, min_words, extend), "line-windows")
     often = found.groupBy("fingerprint").agg(F.count("*").alias("n")).filter("n > 1").select("fingerprint")
     # Merge joins at every size, so that what is shuffled grows with the input alone.
     matched = found.join(often.hint("merge"), "fingerprint", "left_semi")
-    sources = matched.groupBy("whole").agg(F.min(F.struct("doc", "first")).alias("source"), F.count("*").alias("n"))
+    sources = matched.groupBy("whole").agg(F.min(F.struct("doc", "part", "first")).alias("source"), F.count("*").alias("n"))
     sources = sources.filter("n > 1").drop("n")
     return (
         matched.join(sources.hint("merge"), "whole")
-        .filter("doc <> source.doc OR first <> source.first")
-        .select("doc", "first", "last", F.col("source.doc").alias("source"), F.col("source.first").alias("source_first"))
+        .filter("doc <> source.doc OR part <> source.part OR first <> source.first")
+        .select(
+            "doc", "part", "first", "last",
+            F.col("source.doc").alias("source"), F.col("source.part").alias("source_part"), F.col("source.first").alias("source_first"),
+        )
     )
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, extend: bool = False) -> DataFrame:
-    """doc, first, last, source, source_first: windows joined into runs of lines with one source."""
-    found = repeated_windows(docs, min_words, extend).withColumn("_gap", F.col("first") - F.col("source_first"))
-    order = Window.partitionBy("doc", "source", "_gap").orderBy("first")
+    """doc, part, first, last, source, source_part, source_first: windows joined into runs of lines with one source."""
+    return runs_of(keyed(docs), min_words, extend)
+
+
+def runs_of(rows: DataFrame, min_words: int, extend: bool) -> DataFrame:
+    found = repeated_windows(rows, min_words, extend).withColumn("_gap", F.col("first") - F.col("source_first"))
+    order = Window.partitionBy("doc", "part", "source", "source_part", "_gap").orderBy("first")
     reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     opened = found.withColumn("_new", F.when(F.col("first") <= reach + 1, 0).otherwise(1))
     numbered = opened.withColumn("_run", F.sum("_new").over(order))
-    return numbered.groupBy("doc", "source", "_gap", "_run").agg(
+    return numbered.groupBy("doc", "part", "source", "source_part", "_gap", "_run").agg(
         F.min("first").alias("first"), F.max("last").alias("last"), F.min("source_first").alias("source_first")
     ).drop("_gap", "_run")
 
 
-def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, extend: bool = False) -> DataFrame:
-    """doc and the numbers of its deleted lines."""
-    runs = repeated_runs(docs, min_words, extend)
+def removed_lines(rows: DataFrame, min_words: int = MIN_WORDS, extend: bool = False) -> DataFrame:
+    """doc and part of keyed rows, and the numbers of their deleted lines."""
+    runs = runs_of(rows, min_words, extend)
     spans = F.collect_list(F.sequence("first", "last"))
-    return runs.groupBy("doc").agg(F.array_distinct(F.flatten(spans)).alias("_covered"))
+    return runs.groupBy("doc", "part").agg(F.array_distinct(F.flatten(spans)).alias("_covered"))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, detail: bool = False, extend: bool = False) -> DataFrame:
@@ -126,9 +141,9 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, detail: bool = Fals
     With `extend`, runs reach to their last equal line; otherwise lines at the end of a run that have fewer than
     `min_words` words together, behind a line of as many, stay.
     With `detail`, doc_id, n_lines, removed (line numbers) and the text of all documents instead."""
-    gone = staged(removed_lines(docs, min_words, extend), "line-runs").withColumnRenamed("doc", "_doc")
-    columns = docs.columns
-    joined = docs.select("doc_id", "text", F.struct(*columns).alias("_whole")).join(gone.hint("merge"), doc_key() == F.col("_doc"), "left")
+    columns, rows = docs.columns, keyed(docs)
+    gone = staged(removed_lines(rows, min_words, extend), "line-runs").withColumnsRenamed({"doc": "_doc", "part": "_part"})
+    joined = rows.select("_doc", "_part", "doc_id", "text", F.struct(*columns).alias("_whole")).join(gone.hint("merge"), ["_doc", "_part"], "left")
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
     blank = F.transform(F.col("_lines"), lambda line: ~line.rlike(r"[^\x20\x09-\x0D]"))
     covered = F.filter(F.col("_covered"), lambda k: ~F.get(F.col("_blank"), k.cast("int")))

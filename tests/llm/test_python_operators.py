@@ -203,6 +203,21 @@ def test_runs_reach_to_their_last_equal_line(spark):
     assert {r.doc_id: set(r.removed) for r in found} == dict(enumerate(want))
 
 
+def test_rows_without_an_id_are_judged_row_by_row(spark):
+    shared, other = ("one line of eleven words that stands in " + w + " rows here" for w in ("many", "few"))
+    own = [f"line {k} of its own with more than ten words in it {k}" for k in range(6)]
+    texts = [f"{own[0]}\n{shared}", f"{shared}\n{own[1]}", f"{own[2]}\n{own[3]}", f"{shared}\n{own[4]}", f"{other}\n{own[5]}", other]
+    for key in (None, 7):
+        docs = spark.createDataFrame([(key, t) for t in [*texts, texts[2], texts[2]]], "doc_id long, text string")
+        found = lines.dedup_lines(docs, 10, detail=True).collect()
+        left = [r.text.split("\n") for r in found if r.text]
+        # With an id, repeated rows are one document, so each keeps what the first keeps.
+        copies = 3 if key else 1
+        assert sorted(sum(left, [])) == sorted([shared, other, *own[:2], *own[4:], *own[2:4] * copies])
+        assert len(found) == len(texts) + 2
+    assert lines.dedup_lines(docs.withColumn("doc_id", F.lit(None).cast("long")), 10).count() == 5
+
+
 def test_line_runs_reach_over_all_matching_lines(spark):
     shared = "\n".join(f"shared line {k} with six words" for k in range(9))
     docs = spark.createDataFrame([(1, f"first own line\n{shared}"), (2, f"{shared}\nlast own line")], "doc_id long, text string")

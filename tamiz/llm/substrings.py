@@ -154,7 +154,11 @@ def block_runs(buckets: int):
                 columns = [c[order] for c in columns]
                 first = np.ones(len(order), bool)
                 first[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
-                later = [c[~first] for c in columns]
+                # A repeated row has the very place of the first one and is not later than it.
+                head = np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
+                doc, start = columns[2], columns[3]
+                later = ~first & ((doc != doc[head]) | (start != start[head]))
+                later = [c[later] for c in columns]
                 columns = [c[first] for c in columns]
                 borders = split(columns[0], 64, buckets)
                 made = [row(b, columns, slice(borders[b], borders[b + 1]), True) for b in np.flatnonzero(np.diff(borders)).tolist()]

@@ -125,6 +125,16 @@ def test_substrings(spark, monkeypatch, many):
     assert sum(v[1] for v in want.values()) > 2000
 
 
+def test_repeated_rows_in_one_partition_keep_their_text(spark):
+    rows = [(1, "q" * 60 + " one text of its own " * 9), (2, sample()[1][1]), (3, "ab" * 300), (4, sample()[1][1] + " more")]
+    want = brute_substrings(rows)
+    docs = spark.createDataFrame(rows * 3, "doc_id long, text string").coalesce(1)
+    found = substrings.remove_repeats(docs).collect()
+    assert len(found) == 3 * len(rows) and want[2][1] == 0 < want[4][1]
+    for r in found:
+        assert (r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest()) == want[r.doc_id]
+
+
 def test_collection_order():
     rng = random.Random(1)
     for _ in range(40):

@@ -4,8 +4,9 @@ Method: each text's set of five-word shingles (A-Z lower-cased) is hashed to 64
 universal hash functions h(x) = ((a x + b) mod 2^64) >> 32 with odd a, the fingerprint keeps each
 one's minimum over the set, vectorised in numpy. The share of equal minima estimates the
 Jaccard similarity. Near duplicates are found by joining bands of the signature in Spark: every
-text is compared with the smallest document of each of its band buckets, so a bucket of n
-texts gives n comparisons, and the pair is verified by the exact Jaccard similarity of the sets.
+text is compared with the leader of each of its band buckets, so a bucket of n texts gives n
+comparisons, and the pair is verified by the exact Jaccard similarity of the sets. Texts of a bucket that
+are still in different groups are then compared with each other, in cells of bounded size.
 
 Nulls count as empty texts, which have no shingle and all minima at their maximum: empty texts
 are alike, and unlike all others. A text with fewer than five words has its whole sequence as its only
@@ -24,10 +25,12 @@ from pyspark.sql import functions as F
 
 from tamiz.llm.common import connected_components, partitions, staged, texts
 from tamiz.llm.kernels import chunks, of_rows, shingles, text_bytes, words
+from tamiz.llm.language_model import grouped
 from tamiz.queries.base import table
 
 PERMUTATIONS = 64
 BANDS = 16
+CELL_SETS = 256
 NEAR = 0.8
 _DRAWN = np.random.default_rng(9).integers(0, 1 << 63, (2, PERMUTATIONS), dtype=np.uint64)
 _A, _B = _DRAWN[0] * np.uint64(2) + np.uint64(1), _DRAWN[1]
@@ -65,19 +68,51 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(sign, "doc_id long, text_hash string, signature binary")
 
 
+def link_cells(near: float):
+    """For mapInArrow over rows sorted by cell: links between its sets of different groups. In a cell of two
+    blocks only sets of different blocks are compared."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in grouped(batches, "cell"):
+            sets = [np.frombuffer(r["raw"], np.int64) for r in rows]
+            group = np.array([r["group"] for r in rows])
+            blocks = np.array([r["block"] for r in rows])
+            sizes = np.array([len(x) for x in sets])
+            crossing = blocks.min() != blocks.max()
+            made = []
+            for i in range(len(rows) - 1):
+                fits = np.minimum(sizes[i], sizes[i + 1 :]) >= near * np.maximum(sizes[i], sizes[i + 1 :]) - 1e-9
+                fits &= group[i + 1 :] != group[i]
+                if crossing:
+                    fits &= blocks[i + 1 :] != blocks[i]
+                for j in (np.flatnonzero(fits) + i + 1).tolist():
+                    if group[i] == group[j]:
+                        continue
+                    common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if common >= near * (sizes[i] + sizes[j] - common):
+                        made.append((rows[i]["node"], rows[j]["node"]))
+                        group[group == group[j]] = group[i]
+            yield pa.RecordBatch.from_arrays([pa.array([m[k] for m in made], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, near: float = NEAR, bands: int = BANDS) -> DataFrame:
-    """doc_id and component (smallest doc_id reached) of every document. Equal texts are one; others
-    are linked if a band bucket puts one next to the smallest of the bucket and their exact
-    similarity is at least `near`. With 16 bands of 4 minima a pair at 0.8 shares a bucket
-    with probability 0.9998. Documents without id are left out."""
-    named = docs.filter("doc_id IS NOT NULL")
-    signed = staged(fingerprints(named), "fingerprints")
-    classes = signed.groupBy("text_hash").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"))
+    """doc_id and component (smallest doc_id reached) of every row. Equal texts are one; others are
+    linked if they share a band bucket and their exact similarity is at least `near`: first each text
+    with the leader of its bucket, then all that are still in different groups. With 16 bands of
+    4 minima a pair at 0.8 shares a bucket with probability 0.9998. Rows without id take part; their component
+    is null if no id is reached. The worst case is quadratic: a large bucket of texts in different groups."""
+    spark = docs.sparkSession
+    signed = staged(fingerprints(docs).withColumn("node", F.xxhash64("text_hash")), "fingerprints")
+    classes = signed.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"))
     width = 4 * PERMUTATIONS // bands
     pieces = F.array(*[F.struct(F.lit(k).alias("band"), F.substring("signature", 1 + k * width, width).alias("piece")) for k in range(bands)])
-    banded = classes.filter(F.expr(f"signature <> unhex('{'ff' * 4 * PERMUTATIONS}')")).select("rep", F.inline(pieces))
-    hubs = banded.groupBy("band", "piece").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    pairs = banded.join(hubs, ["band", "piece"]).filter("rep <> hub").select("rep", "hub").distinct()
+    banded = classes.filter(F.expr(f"signature <> unhex('{'ff' * 4 * PERMUTATIONS}')")).select("node", F.inline(pieces))
+    banded = staged(banded, "fingerprint-bands")
+    hubs = banded.groupBy("band", "piece").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1")
+    members = staged(banded.join(hubs, ["band", "piece"]), "fingerprint-buckets")
+    pairs = staged(members.filter("node <> hub").select("node", "hub").distinct(), "fingerprint-pairs")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -85,28 +120,44 @@ def near_duplicates(docs: DataFrame, near: float = NEAR, bands: int = BANDS) ->
                 values, begins = shingles(*words(*text_bytes(part.column("text"))))
                 found = [np.unique(values[a:b]).view(np.int64) for a, b in zip(begins[:-1], begins[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "grams"]
+                    [part.column("node"), pa.array(found, pa.list_(pa.int64())), pa.array([f.tobytes() for f in found], pa.binary())],
+                    names=["node", "grams", "raw"],
                 )
 
-    pairs = staged(pairs, "fingerprint-pairs")
-    wanted = pairs.select(F.col("rep").alias("doc_id")).union(pairs.select("hub")).distinct()
+    wanted = members.select("node").distinct()
+    own = F.xxhash64(F.md5(F.col("text").cast("binary")))
     grams = staged(
-        texts(named).select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id").dropDuplicates(["doc_id"])
-        .mapInArrow(sets, "doc_id long, grams array<long>"),
+        texts(docs).select(own.alias("node"), "text").join(wanted, "node").dropDuplicates(["node"])
+        .mapInArrow(sets, "node long, grams array<long>, raw binary"),
         "fingerprint-sets",
     )
     common = F.size(F.array_intersect("x", "y"))
     links = (
-        pairs.join(grams.select(F.col("doc_id").alias("rep"), F.col("grams").alias("x")), "rep")
-        .join(grams.select(F.col("doc_id").alias("hub"), F.col("grams").alias("y")), "hub")
+        pairs.join(grams.select("node", F.col("grams").alias("x")), "node")
+        .join(grams.select(F.col("node").alias("hub"), F.col("grams").alias("y")), "hub")
         .filter(common >= near * (F.size("x") + F.size("y") - common))
-        .select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    )
-    groups = connected_components(links, "fingerprint-groups")
-    members = signed.select("doc_id", "text_hash").join(classes.select("text_hash", "rep"), "text_hash")
-    return members.join(groups, members["rep"] == groups["node"], "left").select(
-        "doc_id", F.coalesce("component", "rep").alias("component")
+        .select(F.col("node").alias("a"), F.col("hub").alias("b"))
     )
+    groups = staged(connected_components(links, "fingerprint-led"), "fingerprint-led")
+    # What the leaders leave open: buckets with several groups, dealt into cells of two blocks of sets.
+    told = members.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
+    told = staged(told, "fingerprint-open")
+    left = told.groupBy("band", "piece").agg(F.min("group").alias("_low"), F.max("group").alias("_high")).filter("_low <> _high")
+    blocks = F.ceil(F.col("n") / F.lit(CELL_SETS)).cast("int")
+    # The leader itself has been compared with all.
+    rest = told.filter("node <> hub").join(left.select("band", "piece"), ["band", "piece"]).withColumn("_blocks", blocks)
+    rest = rest.withColumn("block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
+    rest = rest.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    cell = F.xxhash64("band", "piece", F.least("block", "_other"), F.greatest("block", "_other"))
+    dealt = rest.select(cell.alias("cell"), "block", "node", "group").join(grams.select("node", "raw"), "node")
+    dealt = dealt.repartition(partitions(spark), "cell").sortWithinPartitions("cell")
+    more = dealt.mapInArrow(link_cells(near), "a long, b long")
+    spans = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    final = connected_components(spans.union(more), "fingerprint-groups")
+    whole = classes.select("node", "rep").join(final, "node", "left").withColumn("_group", F.coalesce("component", "node"))
+    lowest = whole.groupBy("_group").agg(F.min("rep").alias("lowest"))
+    named = whole.select("node", "_group").join(lowest, "_group").select("node", F.col("lowest").alias("component"))
+    return signed.select("doc_id", "node").join(named, "node").select("doc_id", "component")
 
 
 EDITED_SCHEMA = (

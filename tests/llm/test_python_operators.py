@@ -337,6 +337,33 @@ def test_near_duplicates(odd_docs, odd_rows):
             assert x & y or found[a] != a
 
 
+@pytest.mark.parametrize("cell", [fingerprints.CELL_SETS, 1])
+def test_pairs_behind_a_less_similar_leader_are_linked(spark, monkeypatch, cell):
+    monkeypatch.setattr(fingerprints, "CELL_SETS", cell)
+    texts = []
+    for k in range(80):
+        base = [f"t{k}w{i}" for i in range(116)]
+        # The long one holds all of the other two, which are at 0.9 and more to each other but not to it.
+        texts += [" ".join(base), " ".join(base[:104]), " ".join(base[5:109])]
+    ids = [None if i % 7 == 3 else i for i in range(len(texts))]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    raw = [t.encode() for t in texts]
+    signed = fingerprints.signatures(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]).astype(np.int64))
+    signed = signed.reshape(len(texts), 8, -1)
+    sets, links = [gram_set(t) for t in texts], []
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if len(sets[a] & sets[b]) >= 0.9 * len(sets[a] | sets[b]) and (signed[a] == signed[b]).all(axis=1).any():
+            links.append((a, b))
+    assert len(links) > 70
+    root = reached(range(len(texts)), links)
+    lowest = defaultdict(list)
+    for i, r in root.items():
+        lowest[r].append(ids[i])
+    want = [(ids[i], min((d for d in lowest[r] if d is not None), default=None)) for i, r in root.items()]
+    found = [(r.doc_id, r.component) for r in fingerprints.near_duplicates(docs, near=0.9, bands=8).collect()]
+    assert Counter(found) == Counter(want)
+
+
 # Language model
 
 

@@ -28,7 +28,7 @@ from tamiz.llm.common import bucket_of, staged, texts
 from tamiz.queries.base import table
 
 SAMPLE = 1500
-SAMPLE_BYTES = 4096
+SLICES = 256
 DICTIONARY_BYTES = 32 << 10
 LEVEL = 1
 FOLDS, HELD_OUT = 3, 1
@@ -74,18 +74,20 @@ def train_dictionary(samples: list[bytes]) -> bytes:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, sample: int = SAMPLE) -> Model:
-    """Fit on the texts of `docs` and the labels (doc_id, 0 or 1). At most 2 * sample prefixes of
-    `SAMPLE_BYTES` characters reach the driver for the dictionaries, and as many sizes for the
-    calibration."""
+    """Fit on the texts of `docs` and the labels (doc_id, 0 or 1). At most 2 * sample whole
+    texts reach the driver for the dictionaries, and as many sizes for the calibration."""
     dice = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     part = F.conv(F.substring(dice, 1, 1), 16, 10).cast("int") % 2
     ids = labels.filter(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("y"), dice.alias("_dice"), part.alias("_part"))
-    order = Window.partitionBy("y", "_part").orderBy("_dice")
-    # Ids are ranked alone, and the rank filter runs before the shuffle; texts are read for the chosen ones.
-    known = ids.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= sample).drop("_rank", "_dice")
+    # Ids are ranked alone, first in slices of their hashes, then among the first of each slice, so that no task gets
+    # a whole class; texts are read for the chosen ones.
+    cut = ids.withColumn("_slice", F.conv(F.substring("_dice", -2, 2), 16, 10).cast("int") % SLICES)
+    for columns in (["y", "_part", "_slice"], ["y", "_part"]):
+        order = Window.partitionBy(*columns).orderBy("_dice")
+        cut = cut.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= sample).drop("_rank")
+    known = cut.drop("_dice", "_slice")
     chosen = texts(docs).join(F.broadcast(known), "doc_id")
-    head = F.when(F.col("_part") == 0, F.substring("text", 1, SAMPLE_BYTES)).otherwise(F.col("text"))
-    chosen = staged(chosen.select("y", "_part", head.alias("text")), "compression-sample")
+    chosen = staged(chosen.select("y", "_part", "text"), "compression-sample")
     seen = {y: [] for y in (0, 1)}
     for row in chosen.filter("_part = 0").select("y", "text").toLocalIterator():
         seen[row.y].append(row.text.encode())

@@ -439,6 +439,20 @@ def test_compression_scores(spark):
     assert len({r.score for r in alone}) == 1 and len(alone) == len(rows)
 
 
+def test_dictionaries_know_the_later_parts_of_texts(spark):
+    rng = random.Random(6)
+    marks = [[f"{kind}{rng.getrandbits(60):x}" for _ in range(60)] for kind in ("b", "g")]
+    rows = []
+    for k in range(240):
+        body = " ".join(f"{rng.getrandbits(30):x}" for _ in range(700))
+        assert len(body) > 4500
+        rows.append((k, f"{body} {' '.join(rng.sample(marks[k % 2], 40))}", k % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    held = bucket_of("doc_id", 3) == 1
+    made = compression.score(docs, compression.fit(docs, docs.filter(~held), "y"), held).filter("held_out").collect()
+    assert sum(r.predicted == r.doc_id % 2 for r in made) >= 0.95 * len(made) > 60
+
+
 # Empty tables and tables of nulls
 
 

@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from tamiz.llm import compression, fingerprints, jaccard_join, language_model, lines, mixing, packing, rules, shards, substrings
+from tamiz.llm import (
+    clustering,
+    compression,
+    fingerprints,
+    hard_negatives,
+    jaccard_join,
+    language_model,
+    lines,
+    mixing,
+    packing,
+    rules,
+    shards,
+    substrings,
+    warc,
+)
 
 QUERIES = {
     f.__name__: f
@@ -17,9 +31,15 @@ QUERIES = {
         packing.op8_minimum_bin_slack,
         fingerprints.op9_minhash_fingerprints,
         language_model.op10_log_frequency_filter,
+        clustering.op11_ns_bounds,
+        warc.op12_transaction_assembly,
+        hard_negatives.op13_str_tree_negatives,
     )
 }
 CHECK_SQL = {
     "op4_pareto_mix": mixing.OP4_SQL,
     "op6_rule_ledger": rules.OP6_SQL,
+    "op11_ns_bounds": clustering.OP11_SQL,
+    "op12_transaction_assembly": warc.OP12_SQL,
+    "op13_str_tree_negatives": hard_negatives.OP13_SQL,
 }

@@ -8,11 +8,15 @@ the overlap that the threshold asks for. Long lists are answered in two steps. F
 list's leader, the set that has this shingle at the earliest position, which is the one that shares most. The
 answers of the others derive from the leader's: sets already in one group need no comparison, nor do
 sets whose distances from a common leader differ by more than 0.2, as Jaccard distance is a metric.
-Only what remains is compared, so a group of many near copies costs about as many comparisons as it has sets.
+Every set also has a sketch, a bitmap of two to four bits per shingle. A bit that only one of two sets has stands for a shingle that the
+other lacks, so sketches bound the common size from above; a pair below the threshold by that is dropped before any set moves.
+Only what remains is compared, so a group of many near copies costs about as many comparisons as it has sets. Pairs are
+compared in cells of a few hundred sets around a common partner, and a set moves once to each of its cells.
 
 Nulls count as empty texts; without words a document has an empty set and is linked with nothing.
 Rows with a null id take the group of the texts linked with theirs, else null; repeated rows and ids are
-answered row by row. Sets are told apart by 64-bit hashes.
+answered row by row. Sets are told apart by 64-bit hashes. An empty table has an empty result, texts of any length are read whole, and
+other columns are carried along or ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -52,6 +56,8 @@ SHORT_LIST = 8
 CELL_SETS = 256
 # Sets whose distances from a third differ by more than this cannot be linked.
 FAR = 1 - PERCENT / 100 + 1e-9
+# Sketches are compared in slices of about this many bytes.
+SKETCH_BYTES = 4 << 20
 _SALT = np.uint64(0xA24BAED4963EE407)
 
 
@@ -78,8 +84,65 @@ def gram_sets(part: pa.RecordBatch, frequent: np.ndarray | None = None):
     return values, begins, keys
 
 
+def sketches(values: np.ndarray, begins: np.ndarray) -> pa.Array:
+    """A bitmap of each row's shingles as binary: a power of two of bits, two to four times their number, 64 at least."""
+    n = np.diff(begins)
+    bits = np.int64(1) << np.ceil(np.log2(np.maximum(2 * n, 64))).astype(np.int64)
+    bits[n == 0] = 0
+    ends = np.concatenate([[0], np.cumsum(bits)])
+    row = np.repeat(np.arange(len(n)), n)
+    flags = np.zeros(ends[-1], bool)
+    flags[ends[row] + (values & (bits[row] - 1).astype(np.uint64)).astype(np.int64)] = True
+    data = np.packbits(flags, bitorder="little")
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((ends // 8).astype(np.int32)), pa.py_buffer(data)])
+
+
+def folded(sketch: np.ndarray, size: int) -> np.ndarray:
+    """Sketches, one per row, with their bits folded to `size` bytes."""
+    while sketch.shape[1] > size:
+        half = sketch.shape[1] // 2
+        sketch = sketch[:, :half] | sketch[:, half:]
+    return sketch
+
+
+class Sketches:
+    """The sketches of some sets, and an upper bound of what two of them have in common."""
+
+    def __init__(self, raw: list[bytes], n: np.ndarray):
+        self.n, self.size = n, np.array([len(r) for r in raw], np.int64)
+        self.by, self.place = {}, np.zeros(len(raw), np.int64)
+        for size in np.unique(self.size):
+            own = np.flatnonzero(self.size == size)
+            self.place[own] = np.arange(len(own))
+            self.by[int(size)] = np.frombuffer(b"".join(raw[k] for k in own), np.uint8).reshape(len(own), size)
+
+    def rows(self, at: np.ndarray, size: int) -> np.ndarray:
+        made = np.empty((len(at), size), np.uint8)
+        for wide in np.unique(self.size[at]):
+            own = self.size[at] == wide
+            made[own] = folded(self.by[int(wide)][self.place[at[own]]], size)
+        return made
+
+    def may_link(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether the sketches of the pairs (i, j) allow the overlap that a link needs."""
+        fit = np.zeros(len(i), bool)
+        both = np.minimum(self.size[i], self.size[j])
+        for size in np.unique(both):
+            every = np.flatnonzero(both == size)
+            step = max(1, SKETCH_BYTES // int(size))
+            for start in range(0, len(every), step):
+                at = every[start : start + step]
+                a, b = self.rows(i[at], int(size)), self.rows(j[at], int(size))
+                common = np.minimum(
+                    self.n[i[at]] - np.bitwise_count(a & ~b).sum(1, dtype=np.int64),
+                    self.n[j[at]] - np.bitwise_count(b & ~a).sum(1, dtype=np.int64),
+                )
+                fit[at] = common >= overlap_needed(self.n[i[at]] + self.n[j[at]])
+        return fit
+
+
 def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per document with its set's size and key, and rows with the shingles that occur
+    """A row per document with its set's size, key and sketch, and rows with the shingles that occur
     in `FREQUENT` documents of a block or more."""
     for batch in batches:
         for block in chunks(batch, limit=BLOCK_BYTES):
@@ -93,8 +156,9 @@ def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         pa.array(np.diff(begins)),
                         pa.array(keys.view(np.int64)),
                         pa.nulls(part.num_rows, pa.int64()),
+                        sketches(values, begins),
                     ],
-                    names=["doc_id", "n_shingles", "key", "gram"],
+                    names=["doc_id", "n_shingles", "key", "gram", "sketch"],
                 )
             grams, counts = counted(np.concatenate(seen), np.ones(sum(map(len, seen)), np.int64))
             often = counts >= FREQUENT
@@ -104,8 +168,9 @@ def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(counts[often]),
                     pa.nulls(int(often.sum()), pa.int64()),
                     pa.array(grams[often].view(np.int64)),
+                    pa.nulls(int(often.sum()), pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "key", "gram"],
+                names=["doc_id", "n_shingles", "key", "gram", "sketch"],
             )
 
 
@@ -267,25 +332,29 @@ def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def undecided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of the long lists that the leaders' answers leave open. Entries come sorted by gram, each
-    with its group and one leader at distance d."""
+    """Pairs of the long lists that the leaders' answers and the sketches leave open. Entries come sorted by gram, each
+    with its group, its sketch and one leader at distance d."""
     for batch in whole_lists(batches):
         gram, key, n, at, group, leader = (batch.column(c).to_numpy() for c in ("gram", "key", "n", "at", "group", "leader"))
-        d = batch.column("d").to_numpy()
+        d, sketch = batch.column("d").to_numpy(), batch.column("sketch")
         order = np.lexsort((key, n, gram))
-        gram, key, n, at, group, leader, d = (c[order] for c in (gram, key, n, at, group, leader, d))
         # A list whose sets are all in one group has nothing left to ask.
-        first = list_starts(gram)
+        first = list_starts(gram[order])
         length = np.diff(first, append=len(gram))
-        mixed = np.repeat(np.minimum.reduceat(group, first) != np.maximum.reduceat(group, first), length) if len(first) else gram > 0
-        gram, key, n, at, group, leader, d = (c[mixed] for c in (gram, key, n, at, group, leader, d))
+        own = group[order]
+        mixed = np.repeat(np.minimum.reduceat(own, first) != np.maximum.reduceat(own, first), length) if len(first) else gram > 0
+        order = order[mixed]
+        gram, key, n, at, group, leader, d = (c[order] for c in (gram, key, n, at, group, leader, d))
         if not len(gram):
             continue
+        known = Sketches([sketch[int(k)].as_py() for k in order], n)
         held = []
         for i, j in list_pairs(list_starts(gram), n, n - at):
             ask = (group[i] != group[j]) & (leader[i] != key[j]) & (leader[j] != key[i])
             ask &= (leader[i] != leader[j]) | (np.abs(d[i] - d[j]) <= FAR)
-            held.append(np.stack([key[i[ask]], key[j[ask]]], axis=1))
+            i, j = i[ask], j[ask]
+            fit = known.may_link(i, j)
+            held.append(np.stack([key[i[fit]], key[j[fit]]], axis=1))
         found = np.unique(np.concatenate(held), axis=0) if held else np.zeros((0, 2), np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(found[:, k].copy()) for k in (0, 1)], names=["x", "y"])
 
@@ -314,50 +383,18 @@ def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             values, begins, keys = gram_sets(part)
             rows = [values[a:b].tobytes() for a, b in zip(begins[:-1], begins[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(rows, pa.binary())], names=["node", "grams"]
+                [pa.array(keys.view(np.int64)), pa.array(rows, pa.binary())], names=["node", "data"]
             )
 
 
-def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(x, y, common, x_size, y_size) from rows sorted by x: the set of x first, then those compared with it."""
-    own, names = None, ["x", "y", "common", "x_size", "y_size"]
-    for batch in batches:
-        made = [[] for _ in names]
-        for x, y, raw in zip(*(batch.column(c) for c in ("x", "y", "grams")), strict=True):
-            grams = np.frombuffer(raw.as_buffer(), np.uint64)
-            if not y.is_valid:
-                own = grams
-                continue
-            at = np.minimum(np.searchsorted(own, grams), len(own) - 1)
-            row = (x.as_py(), y.as_py(), int((own[at] == grams).sum()), len(own), len(grams))
-            for column, value in zip(made, row, strict=True):
-                column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in made], names=names)
-
-
-def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The common sizes of the pairs (x, y). A pair moves the set of y to x; that of x is sent once. The
-    pairs go to the sets if there are few, so that only what is compared is shuffled."""
-    asked = small_side(staged(pairs.select("x").distinct(), "jaccard-x"))
-    first = sets.join(asked, sets["node"] == F.col("x")).select("x", F.lit(None).cast("long").alias("y"), "grams")
-    rest = sets.join(small_side(pairs), F.col("y") == sets["node"]).select("x", "y", "grams")
-    count = partitions(pairs.sparkSession)
-    # Pairs of one x beyond a few thousand go to several tasks, each with its own copy of the set of x.
-    several = pairs.groupBy("x").agg(F.ceil(F.count("*") / F.lit(2048)).cast("int").alias("_parts"))
-    spread = rest.join(several, "x").withColumn("_part", F.pmod(F.xxhash64("y"), F.col("_parts")).cast("int")).drop("_parts")
-    copied = first.join(several, "x").withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
-    dealt = copied.unionByName(spread).repartition(count, "x", "_part").sortWithinPartitions("x", "_part", F.col("y").asc_nulls_first())
-    return dealt.select("x", "y", "grams").mapInArrow(compare, "x long, y long, common long, x_size long, y_size long")
-
-
 def compare_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(x, y, common, x_size, y_size) from rows sorted by cell: its sets first, then its pairs."""
     names = ["x", "y", "common", "x_size", "y_size"]
     for _, rows in grouped(batches, "cell"):
-        sets = {r["x"]: np.frombuffer(r["grams"], np.uint64) for r in rows if r["grams"] is not None}
+        sets = {r["x"]: np.frombuffer(r["data"], np.uint64) for r in rows if r["data"] is not None}
         made = []
         for r in rows:
-            if r["grams"] is None:
+            if r["data"] is None:
                 own, other = sets[r["x"]], sets[r["y"]]
                 at = np.minimum(np.searchsorted(own, other), len(own) - 1)
                 made.append((r["x"], r["y"], int((own[at] == other).sum()), len(own), len(other)))
@@ -365,32 +402,70 @@ def compare_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
 
-def compared_by_cells(pairs: DataFrame, sets: DataFrame, leaders: DataFrame) -> DataFrame:
-    """The common sizes of many pairs among few sets. Sets with one leader are dealt into blocks of about
-    `CELL_SETS`; a pair is compared in the cell of its two blocks, and a set moves once to every cell
-    in which it has a pair, not once for every pair."""
-    nodes = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
-    led = nodes.join(leaders.select(F.col("y").alias("node"), "best.leader"), "node", "left").select(
-        "node", F.coalesce("leader", "node").alias("leader")
-    )
-    several = led.groupBy("leader").agg(F.ceil(F.count("*") / F.lit(CELL_SETS)).alias("_blocks"))
-    homes = staged(
-        led.join(several, "leader").select(
-            "node", F.xxhash64("leader", F.pmod(F.xxhash64("node"), F.col("_blocks"))).alias("block")
-        ),
-        "jaccard-blocks",
+def sketch_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs (x, y) that their sketches leave open, from rows sorted by cell: its sketches first, then its pairs."""
+    for _, rows in grouped(batches, "cell"):
+        held = [r for r in rows if r["data"] is not None]
+        place = {r["x"]: k for k, r in enumerate(held)}
+        known = Sketches([r["data"] for r in held], np.array([r["n"] for r in held], np.int64))
+        pairs = [(r["x"], r["y"]) for r in rows if r["data"] is None]
+        i, j = (np.array([place[p[k]] for p in pairs], np.int64) for k in (0, 1))
+        kept = [p for p, fit in zip(pairs, known.may_link(i, j), strict=True) if fit]
+        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in kept], pa.int64()) for k in (0, 1)], names=["x", "y"])
+
+
+def in_cells(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (x, y) and the sets (node, n, data) they compare, dealt into cells and sorted, sets first.
+
+    Each set belongs to its partner with the most pairs, or to itself if it has more, and so to one of the blocks of about `CELL_SETS`
+    of that centre. A pair is compared in the cell of its two blocks, and a set moves once to every cell in which it has
+    a pair, not once for every pair. The joins are the same at every size.
+    """
+    ends = pairs.select(F.col("x").alias("node"), F.col("y").alias("other")).union(pairs.select("y", "x"))
+    degree = ends.groupBy("node").agg(F.count("*").alias("_links"))
+    partners = ends.join(degree.withColumnRenamed("node", "other"), "other").groupBy("node").agg(
+        F.max(F.struct("_links", F.col("other").alias("centre"))).alias("_best")
     )
+    own = F.struct("_links", F.col("node").alias("centre"))
+    homes = degree.join(partners, "node").select("node", F.greatest(own, "_best")["centre"].alias("centre"))
+    several = homes.groupBy("centre").agg(F.ceil(F.count("*") / F.lit(CELL_SETS)).alias("_blocks"))
+    block = F.xxhash64("centre", F.pmod(F.xxhash64("node"), F.col("_blocks")))
+    blocks = staged(homes.join(several, "centre").select("node", block.alias("block")), "jaccard-blocks")
     placed = (
-        pairs.join(homes.select(F.col("node").alias("x"), F.col("block").alias("bx")), "x")
-        .join(homes.select(F.col("node").alias("y"), F.col("block").alias("by")), "y")
-        .select(F.xxhash64("bx", "by").alias("cell"), "x", "y")
+        pairs.join(blocks.select(F.col("node").alias("x"), F.col("block").alias("_bx")), "x")
+        .join(blocks.select(F.col("node").alias("y"), F.col("block").alias("_by")), "y")
+        .select(F.xxhash64(F.least("_bx", "_by"), F.greatest("_bx", "_by")).alias("cell"), "x", "y")
     )
     placed = staged(placed, "jaccard-cells")
-    used = small_side(staged(placed.select("cell", "x").union(placed.select("cell", F.col("y"))).distinct(), "jaccard-used"))
-    moved = sets.join(used, F.col("x") == sets["node"]).select("cell", "x", F.lit(None).cast("long").alias("y"), "grams")
-    dealt = moved.unionByName(placed.withColumn("grams", F.lit(None).cast("binary")))
-    dealt = dealt.repartition(partitions(pairs.sparkSession), "cell").sortWithinPartitions("cell")
-    return dealt.mapInArrow(compare_cells, "x long, y long, common long, x_size long, y_size long")
+    used = placed.select("cell", "x").union(placed.select("cell", F.col("y"))).distinct()
+    moved = sets.join(used.hint("merge"), F.col("x") == sets["node"]).select("cell", "x", F.lit(None).cast("long").alias("y"), "n", "data")
+    asked = placed.select("cell", "x", "y", F.lit(None).cast("long").alias("n"), F.lit(None).cast("binary").alias("data"))
+    return moved.unionByName(asked).repartition(partitions(pairs.sparkSession), "cell").sortWithinPartitions("cell")
+
+
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The common size of the sets of each pair."""
+    return in_cells(pairs, sets).mapInArrow(compare_cells, "x long, y long, common long, x_size long, y_size long")
+
+
+def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs that their sketches leave open."""
+    known = classes.select(F.col("key").alias("node"), "n", F.col("sketch").alias("data"))
+    return in_cells(pairs, known).mapInArrow(sketch_cells, "x long, y long")
+
+
+def sets_of(nodes: DataFrame, classes: DataFrame, rows: DataFrame, few: bool = False) -> DataFrame:
+    """The sets of some classes, from the text of one document of each; null ids are found by each other. With `few`
+    the ids are counted, and texts stay in place if a broadcast can hold them."""
+    ids = classes.join(nodes, classes["key"] == nodes["node"]).select("first_id").distinct()
+    ids = small_side(staged(ids, "jaccard-ids")) if few else ids.hint("merge")
+    keyed = rows.join(ids, rows["doc_id"].eqNullSafe(ids["first_id"])).select("doc_id", "text")
+    # Rows that share an id may add sets nobody asks for, or one set twice; neither changes an answer.
+    return keyed.mapInArrow(listed, "node long, data binary").withColumn("n", F.shiftright(F.octet_length("data"), 3).cast("long"))
+
+
+def nodes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
 
 
 def similarity_groups(docs: DataFrame) -> DataFrame:
@@ -399,43 +474,43 @@ def similarity_groups(docs: DataFrame) -> DataFrame:
     rows = texts(docs).select(F.col("doc_id").cast("long"), "text")
     count = partitions(spark)
     buckets = max(64, 1 << (2 * count - 1).bit_length())
-    told = staged(rows.mapInArrow(describe, "doc_id long, n_shingles long, key long, gram long"), "jaccard-sets")
-    signed = told.filter("gram IS NULL").drop("gram")
+    kinds = "doc_id long, n_shingles long, key long, gram long, sketch binary"
+    told = staged(rows.mapInArrow(describe, kinds), "jaccard-sets")
+    signed = told.filter("gram IS NULL").select("doc_id", "n_shingles", "key")
     # The most frequent shingles, at most MOST_FREQUENT of them: they only move to the end of the order.
     often = told.filter("gram IS NOT NULL").groupBy("gram").agg(F.sum("n_shingles").alias("n"))
     top = often.orderBy(F.desc("n"), "gram").limit(MOST_FREQUENT).select("gram").toPandas()["gram"]
     late = spark.sparkContext.broadcast(np.sort(top.to_numpy(np.int64).view(np.uint64)))
+    # Copies are combined before the shuffle.
+    whole = told.filter("n_shingles > 0 AND gram IS NULL").groupBy("key")
     classes = staged(
-        signed.filter("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("first_id")), "jaccard-classes"
+        whole.agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "jaccard-classes"
     )
     index = rows.mapInArrow(prefixes(late, buckets), "bucket int, gram binary, key binary, n binary, at binary")
     dealt = index.repartition(count, "bucket").sortWithinPartitions("bucket")
     listed_rows = staged(dealt.mapInArrow(candidates, INDEX_SCHEMA), "jaccard-index")
     entries = listed_rows.filter("gram IS NOT NULL").select("gram", "key", "n", "at")
-    pairs = staged(likely_pairs(listed_rows), "jaccard-pairs")
-    wanted = pairs.select(F.col("x").alias("key")).union(pairs.select("y")).union(entries.select("key"))
-    wanted = staged(wanted.distinct(), "jaccard-wanted")
-    # The text of one document per set that has a candidate; null ids are found by each other.
-    ids = classes.join(wanted, "key").select("first_id").distinct()
-    keyed = rows.join(ids, rows["doc_id"].eqNullSafe(ids["first_id"])).select("doc_id", "text")
-    # Rows that share an id may add sets nobody asks for, or one set twice; neither changes an answer.
-    sets = staged(keyed.mapInArrow(listed, "node long, grams binary"), "jaccard-grams")
     # Step one: short lists whole, long ones against their leaders.
+    pairs = staged(plausible(staged(likely_pairs(listed_rows), "jaccard-pairs"), classes), "jaccard-plausible")
+    sets = staged(sets_of(nodes_of(pairs), classes, rows), "jaccard-grams")
     first = staged(compared(pairs, sets), "jaccard-first")
     similar = F.expr(f"100 * common >= {PERCENT} * (x_size + y_size - common)")
     links = first.filter(similar).select(F.col("x").alias("a"), F.col("y").alias("b"))
     groups = staged(connected_components(links, "jaccard-near"), "jaccard-near")
     distance = 1 - F.col("common") / (F.col("x_size") + F.col("y_size") - F.col("common"))
     leaders = first.groupBy("y").agg(F.min(F.struct(distance.alias("d"), F.col("x").alias("leader"))).alias("best"))
-    # Step two: pairs of long lists that step one does not decide.
+    # Step two: pairs of long lists that neither step one nor the sketches decide.
     told = entries.join(groups, entries["key"] == groups["node"], "left").drop("node")
-    told = told.join(leaders, told["key"] == leaders["y"], "left").select(
+    told = told.join(leaders, told["key"] == leaders["y"], "left").join(classes.select("key", "sketch"), "key").select(
         "gram", "key", "n", "at", F.coalesce("component", "key").alias("group"),
-        F.coalesce("best.leader", "key").alias("leader"), F.coalesce("best.d", F.lit(0.0)).alias("d"),
+        F.coalesce("best.leader", "key").alias("leader"), F.coalesce("best.d", F.lit(0.0)).alias("d"), "sketch",
     )
     open_pairs = told.repartition(count, "gram").sortWithinPartitions("gram").mapInArrow(undecided, "x long, y long")
     open_pairs = staged(open_pairs.distinct(), "jaccard-open")
-    more = compared_by_cells(open_pairs, sets, leaders).filter(similar).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    # These are few; the texts of sets that step one has not read are read for them.
+    unread = nodes_of(open_pairs).join(nodes_of(pairs), "node", "left_anti")
+    sets = sets.unionByName(staged(sets_of(unread, classes, rows, few=True), "jaccard-rest"))
+    more = compared(open_pairs, sets).filter(similar).select(F.col("x").alias("a"), F.col("y").alias("b"))
     spans = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
     final = connected_components(spans.union(more), "jaccard-all")
     whole = classes.join(final, classes["key"] == final["node"], "left").select(
@@ -478,7 +553,9 @@ def one_per_group(docs: DataFrame) -> DataFrame:
     """The documents whose id is the smallest of their group, with all their columns. Rows with one id
     stay or go together, and rows without id stay."""
     kept = similarity_groups(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.filter("doc_id IS NULL").unionByName(docs.join(kept, docs["doc_id"] == F.col("_kept")).drop("_kept"))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"))
+    led = rows.join(kept, F.col("_id") == F.col("_kept")).select("_row.*")
+    return docs.filter("doc_id IS NULL").unionByName(led)
 
 
 def op7_set_relation_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,12 +16,14 @@ without words take nothing.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tamiz.llm.common import running_sums, staged
 from tamiz.queries.base import table
+from tamiz.runtime import small_side
 
 LIMIT = 3
 WEIGHTS = (1, 2, 3)
@@ -64,47 +66,51 @@ def source_targets(
     return leveled.select("source", "source_size", target.cast("double").alias("target"))
 
 
-def pareto_mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, limit: int = LIMIT) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies and taken (size times copies)."""
-    rows = staged(
-        docs.select(
-            "doc_id",
-            "source",
-            F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            draw("doc_id", "source").alias("_u"),
-        ),
-        "mix",
-    )
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = staged(source_targets(sizes, weights, limit), "mix-targets")
-    # One row per source; the optimizer broadcasts it if it is small, else joins by shuffle.
-    matched = rows.join(
-        targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))
-    ).drop("_source")
+def sized(docs: DataFrame, *columns: str) -> DataFrame:
+    """The columns, the words of each text and its random number."""
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    return docs.select(*columns, size.alias("size"), draw("doc_id", "source").alias("_u"))
+
+
+def ranked(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """Sized rows with their source's size and target, the certain copies _whole and the rank _odds of one more."""
+    same = F.col("source").eqNullSafe(F.col("_source"))
+    # One row per source: broadcast if a count allows it, else joined by shuffle.
+    matched = rows.join(small_side(targets.withColumnRenamed("source", "_source")), same).drop("_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     p = F.col("_rate") - F.col("_whole")
-    ranked = (
+    odds = (F.col("_u") / (1 - F.col("_u"))) / (p / (1 - p))
+    return (
         matched.withColumn("_rate", rate)
         .withColumn("_whole", F.floor("_rate"))
-        .withColumn(
-            "_odds",
-            F.when(p > 0, (F.col("_u") / (1 - F.col("_u"))) / (p / (1 - p))).otherwise(F.lit(float("inf"))),
-        )
+        .withColumn("_odds", F.when(p > 0, odds).otherwise(F.lit(float("inf"))))
     )
+
+
+def placed(docs: DataFrame, weights: Sequence[int], limit: int) -> tuple[DataFrame, DataFrame]:
+    """(the ranked rows with `_inside`: whether one more copy is taken; source, source_size and target of each source)."""
+    rows = staged(sized(docs, "doc_id", "source"), "mix")
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    targets = staged(source_targets(sizes, weights, limit), "mix-targets")
     order = [F.col("source").asc_nulls_last(), F.col("_odds"), F.col("doc_id"), F.col("size")]
-    summed = running_sums(ranked, order, {"_before": "size"}, "mix-order")
+    summed = running_sums(ranked(rows, targets), order, {"_before": "size"}, "mix-order")
     # Words of the sources before this one, to turn the running total into one within the source.
     ahead = Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     starts = targets.select(
         F.col("source").alias("_source"),
         F.coalesce(F.sum("source_size").over(ahead), F.lit(0)).alias("_start"),
     )
-    placed = summed.join(starts, F.col("source").eqNullSafe(F.col("_source")))
+    found = summed.join(starts, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     rest = F.col("target") - F.col("_whole") * F.col("source_size")
-    # Taken if more than half of the document lies before the cut.
-    inside = 2 * (F.col("_before") - F.col("_start")) + F.col("size") < 2 * rest
-    copies = F.least(F.col("_whole") + F.when(inside, 1).otherwise(0), F.lit(limit)).cast("long")
-    return placed.select(
+    # Taken if more than half of the document lies before the cut, which holds for a first part of each source's order.
+    return found.withColumn("_inside", 2 * (F.col("_before") - F.col("_start")) + F.col("size") < 2 * rest), targets
+
+
+def pareto_mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, limit: int = LIMIT) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies and taken (size times copies)."""
+    found, _ = placed(docs, weights, limit)
+    copies = F.least(F.col("_whole") + F.col("_inside").cast("int"), F.lit(limit)).cast("long")
+    return found.select(
         "doc_id",
         "source",
         "size",
@@ -115,23 +121,59 @@ def pareto_mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, limit: int = L
     )
 
 
+KEY = ("_odds", "doc_id", "size")
+
+
+def source_cuts(found: DataFrame) -> DataFrame:
+    """For each source that takes more copies: `_cut`, the key of its last row that does, how many rows have this key
+    (`_equal`) and how many of them take one (`_taking`)."""
+    key = F.struct(*KEY)
+    cuts = found.filter("_inside").groupBy("source").agg(F.max(key).alias("_cut"))
+    cuts = cuts.withColumnRenamed("source", "_source")
+    at = found.join(cuts, F.col("source").eqNullSafe(F.col("_source"))).filter(same_key())
+    return at.groupBy("_source", "_cut").agg(F.count("*").alias("_equal"), F.sum(F.col("_inside").cast("int")).alias("_taking"))
+
+
+def same_key() -> Column:
+    return total_and([F.col(c).eqNullSafe(F.col(f"_cut.{c}")) for c in KEY])
+
+
+def total_and(columns: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, columns)
+
+
 def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, limit: int = LIMIT) -> DataFrame:
     """The documents of the mix, each repeated `copies` times, with all their columns.
 
-    The sample is joined back by the document's own key, so rows that agree in doc_id, source and size
-    must agree in their copies: of such repeated rows the mean, rounded, is used.
+    The copies of a document follow from its own rank and the cut of its source, so texts stay where they are.
+    Rows that agree in id, source and size have one rank; where a source's cut falls among such rows, they are numbered, and the
+    mix takes as many of them as `pareto_mix` does.
     """
-    chosen = pareto_mix(docs, weights, limit).select("doc_id", "source", "size", "copies")
-    key = {"_d": F.col("doc_id"), "_s": F.col("source")}
-    per_row = chosen.groupBy(*[v.alias(k) for k, v in key.items()], F.col("size").alias("_n")).agg(
-        F.round(F.avg("copies")).cast("int").alias("_copies")
-    )
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (size == F.col("_n"))
     columns = docs.columns
-    repeated = F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    joined = docs.select(F.struct(*columns).alias("_doc"), "doc_id", "source", "text").join(per_row, same)
-    return joined.filter("_copies > 0").select("_doc", repeated.alias("_copy")).select("_doc.*")
+    found, targets = placed(docs, weights, limit)
+    cuts = staged(source_cuts(staged(found, "mix-placed")), "mix-cuts")
+    whole = docs.select(F.struct(*columns).alias("_doc"), "doc_id", "source", "text")
+    own = ranked(sized(whole, "_doc", "doc_id", "source"), targets).join(
+        small_side(cuts), F.col("source").eqNullSafe(F.col("_source")), "left"
+    )
+    divided = same_key() & (F.col("_taking") < F.col("_equal"))
+    below = F.coalesce(F.struct(*KEY) <= F.col("_cut"), F.lit(False))
+    own = own.withColumn("_more", F.when(F.coalesce(divided, F.lit(False)), F.lit(None)).otherwise(below))
+    decided = own.filter("_more IS NOT NULL").select("_doc", "_whole", "_more")
+    if cuts.filter("_taking < _equal").count():
+        tied = own.filter("_more IS NULL").withColumn("_one", F.lit(1))
+        order = [F.col("source").asc_nulls_last(), F.xxhash64(F.col("_doc.text"))]
+        numbered = running_sums(tied, order, {"_place": "_one"}, "mix-tied")
+        ahead = Window.orderBy(F.col("_source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+        starts = cuts.filter("_taking < _equal").select(
+            F.col("_source").alias("_of"), F.coalesce(F.sum("_equal").over(ahead), F.lit(0)).alias("_start")
+        )
+        chosen = numbered.join(starts, F.col("source").eqNullSafe(F.col("_of")))
+        decided = decided.union(chosen.select("_doc", "_whole", (F.col("_place") - F.col("_start") < F.col("_taking")).alias("_more")))
+    copies = F.least(F.col("_whole") + F.col("_more").cast("int"), F.lit(limit)).cast("int")
+    repeated = F.explode(F.sequence(F.lit(1), "_copies"))
+    taken = decided.select("_doc", copies.alias("_copies")).filter("_copies > 0")
+    return taken.select("_doc", repeated.alias("_copy")).select("_doc.*")
 
 
 def op4_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

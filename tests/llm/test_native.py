@@ -106,13 +106,30 @@ def test_odds_rank_by_inclusion(spark):
         assert abs(sum(copies) * 3 - own[0].target) <= 3
 
 
+def copies_of(rows, text=None):
+    made = Counter()
+    for r in rows:
+        made[r.doc_id, r.source, len(words(r.text)) if text else r["size"]] += 1 if text else r.copies
+    return +made
+
+
 def test_mixed_repeats_whole_documents(odd_docs):
-    want = Counter()
-    for r in mixing.pareto_mix(odd_docs.dropDuplicates(["doc_id"])).collect():
-        want[r.doc_id] += r.copies
-    made = mixing.mixed(odd_docs.dropDuplicates(["doc_id"]))
-    assert made.columns == odd_docs.columns
-    assert Counter(r.doc_id for r in made.collect()) == +want
+    """Rows of one id and source, too: the mix has as many words as the query says."""
+    made = mixing.mixed(odd_docs)
+    assert made.columns == odd_docs.columns and dict(made.dtypes) == dict(odd_docs.dtypes)
+    assert copies_of(made.collect(), "text") == copies_of(mixing.pareto_mix(odd_docs).collect())
+
+
+@pytest.mark.parametrize("ids", [[7], [7, 8], [None]])
+def test_a_cut_among_repeated_rows_is_exact(spark, ids):
+    rows = [(ids[k % len(ids)], " ".join(f"w{k % 3}" for _ in range(10)), s, "x", 1, "y") for s, n in (("a", 40), ("b", 40), (None, 9)) for k in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _copy string, _odds int, _doc string").repartition(4)
+    made, want = mixing.mixed(docs), mixing.pareto_mix(docs).collect()
+    assert made.columns == docs.columns
+    assert copies_of(made.collect(), "text") == copies_of(want)
+    for s in ("a", "b", None):
+        own = [r for r in want if r.source == s]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 10
 
 
 def brute_rules(text):

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import corpus_pipeline
 import numpy as np
 from test_native import brute_rules
-from test_python_operators import brute_lines, gram_set, reached
+from test_python_operators import brute_runs, gram_set, reached
 
 from tamiz.llm import mixing, packing
 from tamiz.llm.common import staged
@@ -33,7 +33,8 @@ def test_stages(spark, odd_docs, tmp_path):
         if name == "quality rules":
             assert {r.doc_id for r in rows} == {d for d, t in before.items() if not rejected(t)}
         elif name == "line dedup":
-            gone = brute_lines(list(before.items()), 10)
+            order = sorted(before)
+            gone = dict(zip(order, brute_runs([before[d] or "" for d in order], 10), strict=True))
             cut = {d: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[d]) for d, t in before.items()}
             assert {r.doc_id: r.text for r in rows} == {d: t for d, t in cut.items() if t.split() or not gone[d]}
             assert all(r.n_chars == len(r.text) for r in rows)

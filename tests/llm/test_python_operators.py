@@ -78,6 +78,63 @@ def test_long_index_lists_skip_blocks_without_losing_pairs():
         assert found == want
 
 
+def test_sketches_bound_the_common_size():
+    rng = np.random.default_rng(6)
+    sets = []
+    for n in (1, 2, 5, 30, 31, 33, 120, 127, 129, 500, 640):
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for share in (1.0, 0.95, 0.9, 0.8, 0.5, 0.0):
+            other = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+            sets.append(np.unique(np.where(rng.random(n) < share, base, other)))
+    begins = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    raw = jaccard_join.sketches(np.concatenate(sets), begins).to_pylist()
+    known = jaccard_join.Sketches(raw, np.diff(begins))
+    i, j = (np.array(x) for x in zip(*itertools.combinations(range(len(sets)), 2)))
+    fit, far = known.may_link(i, j), 0
+    for a, b, open_ in zip(i, j, fit):
+        common = len(np.intersect1d(sets[a], sets[b]))
+        linked = 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common)
+        assert open_ or not linked
+        far += open_ and common < 0.6 * len(sets[a])
+    assert far < 0.05 * len(i)
+
+
+@pytest.mark.parametrize("block,cell", [(128, 256), (8, 4)])
+def test_long_lists_of_many_families(spark, monkeypatch, block, cell):
+    """Families of near copies that share frequent passages, so that index lists are long and mixed."""
+    monkeypatch.setattr(jaccard_join, "LIST_BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "CELL_SETS", cell)
+    rng = random.Random(5)
+    passage = [f"p{k}" for k in range(12)]
+    rows = []
+    for family in range(7):
+        base = [f"f{family}w{k}" for k in range(60)] if family % 2 else [f"g{k}" for k in range(10 * family, 10 * family + 60)]
+        for k in range(22):
+            own = list(base)
+            for _ in range(rng.randrange(4)):
+                own[rng.randrange(60)] = f"x{rng.randrange(9)}"
+            at = rng.randrange(60)
+            rows.append((1000 * family + k, " ".join(own[:at] + passage[: rng.randrange(12)] + own[at:])))
+    sets = {d: gram_set(t) for d, t in rows}
+    links = [(a, b) for a, b in itertools.combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r.component_id for r in jaccard_join.similarity_groups(docs).collect()}
+    assert found == reached(sets, links) and 7 < len(set(found.values())) < 150
+
+
+def test_clashing_columns_are_carried_along(spark):
+    """Columns named like the ones used inside come back as they were."""
+    names = ["_doc", "_part", "_kept", "_row", "_id", "_whole", "_covered", "key", "sketch", "node"]
+    shared = " ".join(f"word{k}" for k in range(30))
+    rows = [(k, shared if k < 3 else f"{shared} tail {k}\nown {k}" if k < 6 else f"text {k}", *(f"{c}{k}" for c in names)) for k in range(8)]
+    rows.append((None, "no id", *(f"{c}x" for c in names)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in names))
+    for made in (jaccard_join.one_per_group(docs), lines.dedup_lines(docs, 10)):
+        assert made.columns == docs.columns
+        found = made.collect()
+        assert found and all(r[c] == f"{c}{'x' if r.doc_id is None else r.doc_id}" for r in found for c in names)
+
+
 def test_chains_of_links_are_followed(spark):
     """Each text is near the next one but far from those beyond."""
     body = [f"t{k}" for k in range(400)]
@@ -149,29 +206,26 @@ def test_collection_order():
 # Lines
 
 
-def brute_lines(rows, least):
-    seen, removed = set(), {}
-    for doc, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
-        own = (text or "").split("\n")
-        held = [k for k, line in enumerate(own) if words(line)]
-        gone = removed.setdefault(doc, set())
-        for a in range(len(held)):
-            b, n = a, 0
-            while b < len(held) and n < least:
-                n += len(words(own[held[b]]))
-                b += 1
-            if n < least:
-                break
-            window = tuple(own[k] for k in held[a:b])
-            gone.update(held[a:b] if window in seen else ())
-            seen.add(window)
-    return removed
+def brute_runs(texts, least):
+    """Per text the lines in maximal equal runs of `least` words with a place that stands earlier."""
+    own = [[(k, line) for k, line in enumerate(t.split("\n")) if words(line)] for t in texts]
+    at = [(d, i) for d, held in enumerate(own) for i in range(len(held))]
+    gone = [set() for _ in texts]
+    for (s, j), (d, i) in itertools.combinations(at, 2):
+        if i and j and own[s][j - 1][1] == own[d][i - 1][1]:
+            continue
+        n = 0
+        while j + n < len(own[s]) and i + n < len(own[d]) and own[s][j + n][1] == own[d][i + n][1]:
+            n += 1
+        if sum(len(words(line)) for _, line in own[d][i : i + n]) >= least:
+            gone[d].update(k for k, _ in own[d][i : i + n])
+    return gone
 
 
 def test_lines(odd_docs, odd_rows):
-    rows = list(dict.fromkeys((d, t) for d, t, _ in odd_rows))
+    rows = sorted(dict.fromkeys((d, t) for d, t, _ in odd_rows), key=lambda r: r[0])
     for least in (1, 10, 25):
-        want = brute_lines(rows, least)
+        want = dict(zip([d for d, _ in rows], brute_runs([t or "" for _, t in rows], least), strict=True))
         made = lines.dedup_lines(odd_docs, least, detail=True).collect()
         assert len(made) == len(odd_rows)
         texts = dict(rows)
@@ -185,22 +239,6 @@ def test_lines(odd_docs, odd_rows):
         assert r.n_chars == (None if r.text is None else len(r.text))
 
 
-def brute_runs(texts, least):
-    """Per text the lines in maximal equal runs of `least` words with a place that stands earlier."""
-    own = [[(k, line) for k, line in enumerate(t.split("\n")) if words(line)] for t in texts]
-    at = [(d, i) for d, held in enumerate(own) for i in range(len(held))]
-    gone = [set() for _ in texts]
-    for (s, j), (d, i) in itertools.combinations(at, 2):
-        if i and j and own[s][j - 1][1] == own[d][i - 1][1]:
-            continue
-        n = 0
-        while j + n < len(own[s]) and i + n < len(own[d]) and own[s][j + n][1] == own[d][i + n][1]:
-            n += 1
-        if sum(len(words(line)) for _, line in own[d][i : i + n]) >= least:
-            gone[d].update(k for k, _ in own[d][i : i + n])
-    return gone
-
-
 def test_runs_reach_to_their_last_equal_line(spark):
     rng = random.Random(8)
     pool = [" ".join(f"v{k}" for _ in range(n)) for k, n in enumerate((1, 2, 3, 4, 6, 9, 10, 12, 15))] + ["", " "]
@@ -209,7 +247,7 @@ def test_runs_reach_to_their_last_equal_line(spark):
     want = brute_runs(texts, 10)
     assert want[-1] == {0, 1}
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    found = lines.dedup_lines(docs, 10, detail=True, extend=True).collect()
+    found = lines.dedup_lines(docs, 10, detail=True).collect()
     assert {r.doc_id: set(r.removed) for r in found} == dict(enumerate(want))
 
 

@@ -20,16 +20,15 @@ from tamiz.operators.latest import keep_latest, newest_first
 from tamiz.operators.timeseries import daily_summary, moving_average, zscore
 from tamiz.runtime import checkpoint
 from tamiz.sinks.files import land_envelopes
-from tamiz.sinks.tables import append, merge_partitions, overwrite_partitions, path_exists
+from tamiz.sinks.tables import append, append_absent, merge_partitions, overwrite_partitions
 from tamiz.sources.envelope import (
     arbitrate_origin,
     as_envelopes,
-    UNREAD,
+    envelopes_of,
     existing_batches,
     flatten_envelopes,
-    landed_type,
-    latest_batch,
-    read_envelopes,
+    has_series,
+    newest_usable,
     split_envelopes,
 )
 from tamiz.sources.relational import catalog_problems, flag_in_box
@@ -79,8 +78,11 @@ def ingest(
         problems = catalog_problems(flag_in_box(catalog), requested).take(SHOWN_PROBLEMS)
         if problems:
             raise ValueError("catalog: " + ", ".join(f"{p.ciudad} {p.problem}" for p in problems))
-    landed = read_envelopes(spark, [raw] if path_exists(spark, raw) else [])
-    summary = arbitrate_origin(requested, fetched, landed, batch_id, stamp)
+    # Only cities without a usable body need what landed before; if there is none, no file is opened.
+    answered = fetched.filter(has_series(F.col("datos_api"))).select("ciudad")
+    waiting = [r.ciudad for r in requested.select("ciudad").distinct().join(answered, "ciudad", "left_anti").collect()]
+    landed, _ = newest_usable(spark, raw, waiting)
+    summary = checkpoint(arbitrate_origin(requested, fetched, landed.drop("ciudad"), batch_id, stamp))
     land_envelopes(as_envelopes(summary), raw)
     return summary.select("ciudad", "origen", "id_lote", "timestamp_ingesta_utc")
 
@@ -103,14 +105,13 @@ def load_clean(
 ) -> tuple[DataFrame, DataFrame]:
     """Newest landed batch of every city into the partitioned clean table.
 
-    `since` limits the search for newest batches to the landing folders from that day.
-    Returns (valid, quarantine) of this run; rejected rows accumulate, and so do documents
-    that could not be used at all, beside them.
+    Day folders are searched newest first until every city has a usable batch; `since` limits the
+    search to the folders from that day. Returns (valid, quarantine) of this run; rejected rows accumulate. Documents
+    met on the way that could not be used at all are filed beside them, each once.
     """
-    spark = SparkSession.active()
-    usable, unusable = split_envelopes(read_envelopes(spark, [raw], since=since))
-    append(f"{silver}/{UNUSABLE}", unusable)
-    rows = flatten_envelopes(latest_batch(usable))
+    newest, unusable = newest_usable(SparkSession.active(), raw, since=since)
+    append_absent(f"{silver}/{UNUSABLE}", unusable, ["path", "documento"])
+    rows = flatten_envelopes(newest)
     # Judged once; the merge reads the valid rows twice and the quarantine the others.
     valid, rejected = split_by_reason(checkpoint((contract or hourly_contract()).tag(rows)))
     merge_partitions(silver, with_period(valid), KEYS, newest_first(*NEWEST), PARTITIONS, rebuild)
@@ -120,12 +121,8 @@ def load_clean(
 
 def reload_cities(requested: DataFrame, raw: str, silver: str, contract: Contract | None = None) -> DataFrame:
     """Load the requested cities from what has landed; (ciudad, path, origen) tells what was found."""
-    spark = requested.sparkSession
-    usable, _ = split_envelopes(read_envelopes(spark, [raw]))
-    chosen = usable.join(
-        requested.select(F.col("ciudad").alias("_city")), F.col("metadata.ciudad") == F.col("_city"), "left_semi"
-    )
-    newest = checkpoint(latest_batch(chosen))
+    names = [r.ciudad for r in requested.select("ciudad").distinct().collect()]
+    newest, _ = newest_usable(requested.sparkSession, raw, names)
     valid, rejected = split_by_reason(
         checkpoint((contract or hourly_contract()).tag(flatten_envelopes(newest)))
     )
@@ -148,13 +145,10 @@ def stream_clean(
     """
     files = (
         SparkSession.active()
-        .readStream.schema(landed_type())
-        .option("recursiveFileLookup", "true")
-        .option("columnNameOfCorruptRecord", UNREAD)
+        .readStream.option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
         .option("maxFileAge", max_file_age)
-        .json(raw)
-        .select("*", F.col("_metadata.file_path").alias("path"))
+        .text(raw, wholetext=True)
     )
 
     def split(batch: DataFrame, batch_id: int):
@@ -164,7 +158,7 @@ def stream_clean(
         return with_period(valid), rejected
 
     return stream_merge(
-        files,
+        envelopes_of(files),
         split,
         silver,
         f"{silver}/{QUARANTINE}",

@@ -12,12 +12,14 @@ from tamiz.sinks.files import land_envelopes
 from tamiz.sources import payloads
 from tamiz.sources.envelope import (
     arbitrate_origin,
+    envelopes_of,
     existing_batches,
     flatten_envelopes,
     has_series,
     latest_batch,
     origin_counts,
     read_envelopes,
+    split_envelopes,
 )
 from tamiz.sources.relational import (
     read_first_available,
@@ -77,6 +79,56 @@ def landed_envelopes(spark, sf_dir):
     return flatten_envelopes(read_envelopes(spark, [path]))
 
 
+DOCUMENT_SQL = f"""
+    SELECT path_kind, resultado, count(*) AS documentos, sum(horas)::BIGINT AS horas FROM (
+        SELECT CASE event_id % 3 WHEN 0 THEN 'lines' ELSE 'indented' END AS path_kind,
+          CASE WHEN event_id % 7 = 3 THEN 'unreadable document' ELSE 'usable' END AS resultado,
+          CASE WHEN event_id % 7 = 3 THEN 0 ELSE {HOURS} END AS horas FROM events)
+    GROUP BY ALL"""
+
+
+def _raw_documents(spark, sf_dir):
+    """Files with a document in each line, and files with indented documents; every seventh document is cut short."""
+    raw = work_dir(spark, "documents")
+    envelope = F.struct("metadata", "datos_api")
+    shown = event_envelopes(spark, sf_dir).select(
+        F.regexp_extract("path", "([0-9]+)$", 1).cast("long").alias("event_id"),
+        F.to_json(envelope).alias("flat"), F.to_json(envelope, {"pretty": "true"}).alias("indented"),
+    )
+    lines = F.col("event_id") % 3 == 0
+    text = F.when(lines, F.col("flat")).otherwise(F.col("indented"))
+    cut = F.when(F.col("event_id") % 7 == 3, F.expr("substring(text, 1, length(text) - 30)")).otherwise(F.col("text"))
+    texts = shown.withColumn("text", text).select(F.when(lines, "lines").otherwise("indented").alias("kind"), cut.alias("value"))
+    for kind in ("lines", "indented"):
+        texts.filter(F.col("kind") == kind).select("value").write.text(f"{raw}/{kind}")
+    return raw
+
+
+def _documents_told(usable, rejected):
+    """Documents and hours by kind of file and outcome."""
+    kind = F.regexp_extract("path", "/(lines|indented)/[^/]*$", 1)
+    good = usable.select(kind.alias("path_kind"), F.lit("usable").alias("resultado"), F.size("datos_api.hourly.time").alias("horas"))
+    bad = rejected.select(kind.alias("path_kind"), F.col("motivo_rechazo").alias("resultado"), F.lit(0).alias("horas"))
+    grouped = good.unionByName(bad).groupBy("path_kind", "resultado")
+    return grouped.agg(F.count("*").alias("documentos"), F.sum("horas").alias("horas"))
+
+
+@query(DOCUMENT_SQL)
+def whole_documents(spark, sf_dir):
+    """Line-wise, indented and truncated documents: every landed document is usable or rejected."""
+    return _documents_told(*split_envelopes(read_envelopes(spark, [_raw_documents(spark, sf_dir)])))
+
+
+@query(DOCUMENT_SQL)
+def streamed_documents(spark, sf_dir):
+    """The same through the streamed reader."""
+    raw, out, state = _raw_documents(spark, sf_dir), work_dir(spark, "read"), work_dir(spark, "state")
+    files = spark.readStream.option("recursiveFileLookup", "true").text(raw, wholetext=True)
+    writer = envelopes_of(files).writeStream.format("parquet").option("checkpointLocation", state)
+    writer.trigger(availableNow=True).start(out).awaitTermination()
+    return _documents_told(*split_envelopes(spark.read.parquet(out)))
+
+
 @query(
     """SELECT user_id::VARCHAR AS ciudad, 'lote_' || max_by(event_id, (ts, event_id)) AS id_lote
     FROM events GROUP BY user_id"""

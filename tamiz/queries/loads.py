@@ -35,7 +35,7 @@ from tamiz.sinks.tables import (
     upsert_by_bucket,
     upsert_into,
 )
-from tamiz.sources.delimited import read_staged, read_text_table
+from tamiz.sources.delimited import read_staged, read_text_table, split_text_table
 
 CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
@@ -228,6 +228,27 @@ def empty_text_fields(spark, sf_dir):
     return read.select(F.col("event_id").cast("long"), "kind", F.length("kind").alias("letters"))
 
 
+@query(
+    """SELECT CASE event_id % 5 WHEN 1 THEN '2 fields instead of 3' WHEN 2 THEN '4 fields instead of 3' ELSE 'whole' END AS resultado,
+      event_id || CASE event_id % 5 WHEN 1 THEN ';' || event_type WHEN 2 THEN ';' || event_type || ';;x' WHEN 3 THEN ';;'
+                  ELSE ';' || event_type || ';' || user_id END AS datos_raw FROM events"""
+)
+def ragged_lines(spark, sf_dir):
+    """Lines with too few or too many fields are filed with their text, the others read."""
+    path, kind = work_dir(spark, "ragged"), F.col("event_id") % 5
+    events = table(spark, sf_dir, "events")
+    whole = F.concat_ws(";", "event_id", "event_type", "user_id")
+    line = (
+        F.when(kind == 1, F.concat_ws(";", "event_id", "event_type")).when(kind == 2, F.concat_ws(";", "event_id", "event_type", F.lit(""), F.lit("x")))
+        .when(kind == 3, F.concat("event_id", F.lit(";;"))).otherwise(whole)
+    )
+    header = events.limit(1).select(F.lit("event_id;kind;user_id").alias("line"))
+    header.unionByName(events.select(line.alias("line"))).write.text(path)
+    rows, ragged = split_text_table(spark, path, ["event_id", "kind", "user_id"])
+    good = rows.select(F.lit("whole").alias("resultado"), F.concat_ws(";", *rows.columns).alias("datos_raw"))
+    return good.unionByName(ragged.withColumnRenamed("motivo_rechazo", "resultado"))
+
+
 @query("SELECT o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS o_day FROM orders")
 def bulk_staging(spark, sf_dir):
     """A typed pipe-separated bulk load; the staging area is replaced on every run."""

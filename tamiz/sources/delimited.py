@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,21 @@ def read_text_table(
     return rows.fillna("")
 
 
+def split_text_table(
+    spark: SparkSession, path: str, columns: Sequence[str], separator: str = ";"
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, ragged) of headed UTF-8 text without quoting. Lines with too few or too many fields keep their
+    text and a reason; blank lines and the header of each file are neither."""
+    lines = spark.read.text(path).withColumn("datos_raw", F.regexp_replace("value", "^\uFEFF|\r$", ""))
+    lines = lines.filter((F.trim("datos_raw") != "") & (F.col("datos_raw") != separator.join(columns)))
+    fields = F.split("datos_raw", re.escape(separator), -1)
+    found = lines.select("datos_raw", fields.alias("_fields"), F.size(fields).alias("_count"))
+    told = F.concat(F.col("_count").cast("string"), F.lit(f" fields instead of {len(columns)}"))
+    ragged = found.filter(F.col("_count") != len(columns)).select(told.alias("motivo_rechazo"), "datos_raw")
+    whole = found.filter(F.col("_count") == len(columns))
+    return whole.select(*[F.col("_fields")[k].alias(c) for k, c in enumerate(columns)]), ragged
+
+
 def read_staged(spark: SparkSession, path: str, schema: str, separator: str = "|") -> DataFrame:
     """A typed bulk load; a value that does not fit its type fails the job."""
     return spark.read.schema(schema).csv(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from pyspark.sql import types as T
 
 from tamiz.fixed_values import HOURLY_VARIABLES
 from tamiz.operators.latest import keep_latest, newest_first
+from tamiz.runtime import checkpoint, computed_once
+from tamiz.sinks.tables import path_exists
 
 LANDING_FOLDERS = ["ciudad", "fecha_ingesta"]
 # Holds the text of a document that is not JSON.
@@ -41,26 +44,106 @@ def read_envelopes(
     spark: SparkSession,
     paths: Sequence[str],
     variables: Sequence[str] = HOURLY_VARIABLES,
-    multi_line: bool = False,
     since: str | None = None,
 ) -> DataFrame:
-    """Envelopes, one per line or (`multi_line`) one per file; no paths give an empty frame.
+    """All envelopes of the files below `paths`, however they are laid out; no paths give an empty frame.
 
-    `since` (an ISO day) reads only the later fecha_ingesta= folders of a landing area.
+    A file is read as one text and may hold one indented document, a document in each line, or
+    several of either kind. `since` (an ISO day) reads only the later fecha_ingesta= folders of a landing area.
     """
-    schema = landed_type(variables)
     if not paths:
-        return spark.createDataFrame([], schema).withColumn("path", F.lit(None).cast("string"))
+        empty = spark.createDataFrame([], landed_type(variables))
+        return empty.withColumn("path", F.lit(None).cast("string"))
+    reader = spark.read
     if since is not None:
-        folders = T.StructType([T.StructField(n, T.StringType()) for n in LANDING_FOLDERS])
-        docs = spark.read.schema(T.StructType([*schema, *folders])).json(
-            list(paths), multiLine=multi_line, columnNameOfCorruptRecord=UNREAD
-        )
-        docs = docs.filter(F.col("fecha_ingesta") >= since)
+        folders = ", ".join(f"{n} string" for n in LANDING_FOLDERS)
+        files = reader.schema(f"value string, {folders}").text(list(paths), wholetext=True)
+        files = files.filter(F.col("fecha_ingesta") >= since)
     else:
-        reader = spark.read.schema(schema).option("recursiveFileLookup", "true")
-        docs = reader.json(list(paths), multiLine=multi_line, columnNameOfCorruptRecord=UNREAD)
-    return docs.select(*schema.names, F.col("_metadata.file_path").alias("path"))
+        files = reader.option("recursiveFileLookup", "true").text(list(paths), wholetext=True)
+    return envelopes_of(files, variables)
+
+
+# A line that is a whole document or closes an indented one ends a document; a brace at the
+# start of a line begins one. Only line feeds end lines, as JSON texts may hold other separators.
+DOCUMENT_END = r"(?md)^(\{.*\}|\})[ \t\r]*$"
+DOCUMENT_START = r"(?md)^\{"
+BORDER = "\x01"
+
+
+def split_documents(text: Column) -> Column:
+    """The JSON documents in a file's text, and whatever stands between them. A file of blanks is one
+    document; files without any byte are skipped by the reader."""
+    ended = F.regexp_replace(text, DOCUMENT_END, f"$1{BORDER}")
+    pieces = F.split(F.regexp_replace(ended, DOCUMENT_START, f"{BORDER}{{"), BORDER, -1)
+    shown = F.filter(pieces, lambda piece: piece.rlike(r"\S"))
+    return F.when(F.size(shown) > 0, shown).otherwise(F.array(text))
+
+
+def envelopes_of(files: DataFrame, variables: Sequence[str] = HOURLY_VARIABLES) -> DataFrame:
+    """Envelopes with their path from the texts (`value`) of whole files, batch or stream.
+
+    A document that does not fit the envelope, is cut short or goes on after its end keeps its text in `UNREAD`.
+    """
+    schema = landed_type(variables)
+    pieces = files.select(
+        F.explode(split_documents(F.col("value"))).alias("_piece"), F.col("_metadata.file_path").alias("path")
+    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNREAD}
+    parsed = computed_once(pieces, {"_envelope": F.from_json("_piece", schema, options)})
+    envelope = F.col("_envelope")
+    closed = F.rtrim(F.regexp_replace("_piece", r"\s+$", "")).endswith("}")
+    unread = F.when(envelope.isNull() | envelope[UNREAD].isNotNull() | ~closed, F.col("_piece"))
+    names = [f.name for f in schema if f.name != UNREAD]
+    return parsed.select(*[envelope[n].alias(n) for n in names], unread.alias(UNREAD), "path")
+
+
+def landing_folders(spark: SparkSession, raw: str) -> dict[str, list[str]]:
+    """The day folders of each city in a landing area, newest first; only folder names are read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(raw)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    city, day = (f"{n}=" for n in LANDING_FOLDERS)
+    found: dict[str, list[str]] = {}
+    for folder in files.listStatus(path) if files.exists(path) else []:
+        name = folder.getPath().getName()
+        if name.startswith(city):
+            days = [d.getPath() for d in files.listStatus(folder.getPath())]
+            days = [(d.getName(), d.toString()) for d in days if d.getName().startswith(day)]
+            found[unquote(name.removeprefix(city))] = [p for _, p in sorted(days, reverse=True)]
+    return found
+
+
+def newest_usable(
+    spark: SparkSession, raw: str, cities: Sequence[str] | None = None, since: str | None = None,
+    variables: Sequence[str] = HOURLY_VARIABLES,
+) -> tuple[DataFrame, DataFrame]:
+    """(the newest usable envelope of each city, with `ciudad`; the rejected documents of the folders read).
+
+    Day folders are opened newest first, for the cities that have none yet, twice as many days in each round; older
+    ones stay closed. `cities` limits the search, None takes all that have landed. An area without city folders is
+    read whole.
+    """
+    folders = landing_folders(spark, raw)
+    if not folders:
+        usable, rejected = split_envelopes(read_envelopes(spark, [raw] if cities != [] and path_exists(spark, raw) else [], variables), variables)
+        wanted = usable if cities is None else usable.filter(F.col("metadata.ciudad").isin(list(cities)))
+        return checkpoint(latest_batch(wanted)), rejected
+    if since is not None:
+        first = f"{LANDING_FOLDERS[1]}={since}"
+        folders = {c: [d for d in days if d.rstrip("/").rsplit("/", 1)[-1] >= first] for c, days in folders.items()}
+    missing = [c for c in (folders if cities is None else cities) if folders.get(c)]
+    start, step = 0, 1
+    usable, rejected = split_envelopes(read_envelopes(spark, [], variables), variables)
+    newest = latest_batch(usable)
+    while missing:
+        opened = [d for c in missing for d in folders[c][start : start + step]]
+        usable, unusable = split_envelopes(checkpoint(read_envelopes(spark, opened, variables)), variables)
+        found = checkpoint(latest_batch(usable.filter(F.col("metadata.ciudad").isin(missing))))
+        newest, rejected = newest.unionByName(found), rejected.unionByName(unusable)
+        there = {r.ciudad for r in found.select("ciudad").collect()}
+        start, step = start + step, 2 * step
+        missing = [c for c in missing if c not in there and len(folders[c]) > start]
+    return newest, rejected
 
 
 def has_series(body: Column) -> Column:

@@ -16,7 +16,9 @@ from tamiz.plans import weather
 from tamiz.runtime import work_dir
 from tamiz.sinks import tables
 from tamiz.sinks.files import export_csv, write_staging
-from tamiz.sources.delimited import read_staged
+from tamiz.sinks.tables import append_absent, read_current, upsert, upsert_into
+from tamiz.sources import envelope
+from tamiz.sources.delimited import read_staged, split_text_table
 from tamiz.sources.envelope import latest_batch, read_envelopes, split_envelopes
 
 NAN = float("nan")
@@ -152,3 +154,87 @@ def test_ingest_checks_the_catalog(spark):
     asked = spark.createDataFrame([("Madrid",), ("Lugo",)], "ciudad string")
     with pytest.raises(ValueError, match="Lugo missing, Tenerife outside"):
         weather.ingest(asked, None, work_dir(spark, "raw"), catalog=catalog)
+
+
+def indented(text):
+    return json.dumps(json.loads(text), indent=2, ensure_ascii=False)
+
+
+def test_documents_are_found_however_files_are_laid_out(spark):
+    raw, silver, state = (work_dir(spark, label) for label in ("raw", "silver", "state"))
+    os.makedirs(raw)
+    files = [
+        indented(document("Madrid", 3)),
+        document("Bilbao", 2) + "\n" + document("Sevilla", 4) + "\n",
+        indented(document("Valencia", 5))[:-60],
+        indented(document("Valencia", 2)) + "\r\n" + indented(document("Barcelona", 1)) + "\n\n",
+        document("Madrid", 2, "old", "2020-01-01") + "\nnot json\n" + document("Bilbao", 1, "old", "2020-01-01"),
+        " \n",
+        document("Madrid", 1) + " and more",
+    ]
+    for k, text in enumerate(files):
+        with open(f"{raw}/d{k}.json", "w", newline="") as out:
+            out.write(text)
+    usable, rejected = split_envelopes(read_envelopes(spark, [raw]))
+    assert usable.count() == 7 and rejected.count() == 4
+    assert {r.motivo_rechazo for r in rejected.collect()} == {"unreadable document"}
+    weather.stream_clean(raw, silver, state).awaitTermination()
+    streamed = spark.read.parquet(silver).groupBy("ciudad").count().collect()
+    assert {tuple(r) for r in streamed} == {("Madrid", 3), ("Bilbao", 2), ("Sevilla", 4), ("Valencia", 2), ("Barcelona", 1)}
+    assert spark.read.parquet(f"{silver}/{weather.UNUSABLE}").count() == 4
+    batch = work_dir(spark, "batch")
+    for _ in range(2):
+        valid, _ = weather.load_clean(raw, batch)
+        assert valid.count() == 12
+    # Documents that cannot be used are filed once, not on every run.
+    assert spark.read.parquet(f"{batch}/{weather.UNUSABLE}").count() == 4
+
+
+def test_only_needed_day_folders_are_opened(spark, monkeypatch):
+    raw, opened = work_dir(spark, "raw"), []
+    for day in range(1, 7):
+        for city in ("Madrid", "Vigo=a b", "Lugo"):
+            folder = f"{raw}/ciudad={city.replace('=', '%3D')}/fecha_ingesta=2026-01-0{day}"
+            os.makedirs(folder)
+            hours = 2 if city == "Madrid" or (city == "Vigo=a b" and day == 2) else 0
+            with open(f"{folder}/d.json", "w") as out:
+                out.write(indented(document(city, hours, f"b{day}", f"2026-01-0{day}T05:00:00")))
+    real = envelope.read_envelopes
+    monkeypatch.setattr(envelope, "read_envelopes", lambda spark, paths, *a, **k: opened.append(list(paths)) or real(spark, paths, *a, **k))
+    newest, rejected = envelope.newest_usable(spark, raw, ["Madrid"])
+    assert [r.metadata.id_lote for r in newest.collect()] == ["b6"] and [len(p) for p in opened] == [0, 1]
+    opened.clear()
+    newest, rejected = envelope.newest_usable(spark, raw)
+    assert {r.ciudad: r.metadata.id_lote for r in newest.collect()} == {"Madrid": "b6", "Vigo=a b": "b2"}
+    assert [len(p) for p in opened] == [0, 3, 4, 6] and rejected.count() == 11
+    opened.clear()
+    fetched = spark.createDataFrame([(json.loads(document("Madrid", 3)),)], "d struct<datos_api:" + envelope.body_type().simpleString() + ">")
+    fetched = fetched.select(F.lit("Madrid").alias("ciudad"), "d.datos_api")
+    asked = spark.createDataFrame([("Madrid",)], "ciudad string")
+    summary = weather.ingest(asked, fetched, raw, ("b7", "2026-01-07T05:00:00"))
+    assert [r.origen for r in summary.collect()] == ["API"] and opened == [[]]
+    asked = spark.createDataFrame([("Madrid",), ("Vigo=a b",), ("Lugo",)], "ciudad string")
+    summary = weather.ingest(asked, fetched, raw, ("b8", "2026-01-08T05:00:00"))
+    assert {r.ciudad: r.origen for r in summary.collect()} == {"Madrid": "API", "Vigo=a b": "FALLBACK", "Lugo": "SIN_DATOS"}
+
+
+def test_null_keys_are_updated_not_repeated(spark):
+    path, quarantine = work_dir(spark, "target"), work_dir(spark, "errors")
+    rows = spark.createDataFrame([(1, "a", 1.0), (None, "b", 2.0), (None, None, 3.0)], "k int, j string, v double")
+    for turn in range(3):
+        upsert_into(path, rows.withColumn("v", F.col("v") + turn), ["k", "j"])
+        append_absent(quarantine, rows, ["k", "j"])
+    assert sorted(r.v for r in read_current(spark, path).collect()) == [3.0, 4.0, 5.0]
+    assert spark.read.parquet(quarantine).count() == 3
+    assert {r.v for r in upsert(rows, rows.select("k", "j"), ["k", "j"]).collect()} == {1.0, 2.0, 3.0}
+
+
+def test_ragged_lines_are_filed(spark):
+    path = work_dir(spark, "lines")
+    os.makedirs(path)
+    for name, lines in (("a", ["\ufeffx;y", "1;2", "3", "4;5;6", "", ";", "7;8\r"]), ("b", ["x;y", "9;é"])):
+        with open(f"{path}/{name}.csv", "w", newline="") as out:
+            out.write("\n".join(lines))
+    rows, ragged = split_text_table(spark, path, ["x", "y"])
+    assert sorted(map(tuple, rows.collect())) == [("", ""), ("1", "2"), ("7", "8"), ("9", "é")]
+    assert sorted(map(tuple, ragged.collect())) == [("1 fields instead of 2", "3"), ("3 fields instead of 2", "4;5;6")]

@@ -203,7 +203,7 @@ def test_single_document_files(spark):
         f'"{v}": [1.0]' for v in weather.HOURLY_VARIABLES
     ) + "}}\n}"
     spark.createDataFrame([(doc,)], "value string").write.text(path)
-    rows = flatten_envelopes(read_envelopes(spark, [path], multi_line=True)).collect()
+    rows = flatten_envelopes(read_envelopes(spark, [path])).collect()
     assert [(r.ciudad, r.fecha_hora_utc, r.surface_pressure) for r in rows] == [("X", "t", 1.0)]
 
 

@@ -93,7 +93,8 @@ def null_safe_join(
     same = F.lit(True)
     for c in columns:
         same = same & F.col(c).eqNullSafe(F.col(f"_right_{c}"))
-    return left.join(renamed, same, how).drop(*[f"_right_{c}" for c in columns])
+    joined = left.join(renamed, same, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_right_{c}" for c in columns])
 
 
 def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:

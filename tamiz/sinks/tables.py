@@ -33,7 +33,8 @@ def upsert(
     """The target after inserting new keys and overwriting existing ones.
 
     Target columns the source lacks keep their value. `refreshed` columns are set on
-    every written row. A source with repeated keys is an error, as in a database.
+    every written row. A source with repeated keys is an error, as in a database. NULL in a key
+    equals NULL, so such a row is updated, not inserted again.
     """
     keys = list(keys)
     if check and not duplicate_keys(source, keys).isEmpty():
@@ -41,17 +42,17 @@ def upsert(
     incoming = source.withColumns(refreshed or {})
     kept = [c for c in target.columns if c not in incoming.columns]
     if kept:
-        incoming = incoming.join(target.select(*keys, *kept), keys, "left")
-    untouched = target.join(source.select(*keys), keys, "left_anti")
+        incoming = null_safe_join(incoming, target.select(*keys, *kept), keys, "left")
+    untouched = null_safe_join(target, source.select(*keys), keys, "left_anti")
     return untouched.unionByName(incoming.select(*target.columns))
 
 
 def absent_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One source row per key that the target lacks (insert, ignore conflicts)."""
+    """One source row per key that the target lacks (insert, ignore conflicts); NULL keys are equal."""
     fresh = source.dropDuplicates(list(keys))
     if target is None:
         return fresh
-    return fresh.join(target.select(*keys), list(keys), "left_anti")
+    return null_safe_join(fresh, target.select(*keys), keys, "left_anti")
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame | None:

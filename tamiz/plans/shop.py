@@ -17,7 +17,7 @@ from tamiz.operators.audit import change_log
 from tamiz.operators.contract import error_rows
 from tamiz.runtime import checkpoint, computed_once
 from tamiz.sinks.files import export_csv
-from tamiz.sinks.tables import append, append_absent, read_current, upsert_into
+from tamiz.sinks.tables import append, append_absent, current_version, read_current, upsert, upsert_into
 
 # Tables whose changes are logged, as the target's triggers would.
 LOGGED = ("dim_productos", "dim_clientes", "fact_ventas")
@@ -221,11 +221,16 @@ def load(tables: dict[str, DataFrame], target: str, detected: date | None = None
     loaded = 0
     spark = errors.sparkSession
     for name, (rows, keys) in star_tables(tables, cleaned).items():
-        before = read_current(spark, f"{target}/{name}")
-        after = upsert_into(f"{target}/{name}", rows, keys)
-        loaded += rows.count()
+        path, rows = f"{target}/{name}", checkpoint(rows)
         if name in LOGGED:
-            log_changes(f"{target}/{CHANGES}", name, before, after, keys[0])
+            # A version's changes are logged before it is published: after a failure in between, the
+            # table is as it was, and the next run writes that version's log again.
+            before = read_current(spark, path)
+            after = rows if before is None else upsert(before, rows, keys)
+            version = (current_version(spark, path) or 0) + 1
+            log_changes(f"{target}/{CHANGES}", name, before, after, keys[0], version)
+        upsert_into(path, rows, keys)
+        loaded += rows.count()
     append_absent(f"{target}/tb_errores_migracion", errors, ERROR_KEYS)
     counts = {
         "registros_leidos": sum(t.count() for t in tables.values()),
@@ -237,12 +242,13 @@ def load(tables: dict[str, DataFrame], target: str, detected: date | None = None
     return counts
 
 
-def log_changes(path: str, name: str, before: DataFrame | None, after: DataFrame, key: str) -> None:
-    """Append what a load inserted, updated or deleted in a table to the change log."""
+def log_changes(path: str, name: str, before: DataFrame | None, after: DataFrame, key: str, version: int) -> None:
+    """Write what a version inserts, updates or deletes in a table to its folder of the change log."""
     if before is None:
         before = after.limit(0)
-    log = change_log(before.select(*after.columns), after, key).withColumn("tabla", F.lit(name))
-    append(path, log.withColumn("clave", F.col(key).cast("string")).drop(key))
+    log = change_log(before.select(*after.columns), after, key)
+    shown = log.withColumn("clave", F.col(key).cast("string")).drop(key)
+    shown.write.mode("overwrite").parquet(f"{path}/tabla={name}/version={version}")
 
 
 def fact_count(spark, target: str) -> int:

@@ -72,6 +72,17 @@ def change_log(
         marks = touched.select(key).distinct().withColumn("_touched", F.lit(True))
         both = both.join(marks, key, "left")
         changed = changed | F.coalesce(F.col("_touched"), F.lit(False))
+    return log_rows(both.filter(changed), [key], columns, user, at)
+
+
+def log_rows(
+    changed: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    user: str | Column = "current_user",
+    at: Column | None = None,
+) -> DataFrame:
+    """Log entries of changed rows, given as images `_old` and `_new` (NULL where there is none)."""
     operation = (
         F.when(F.col("_old").isNull(), "INSERT")
         .when(F.col("_new").isNull(), "DELETE")
@@ -81,9 +92,12 @@ def change_log(
     def image(name: str) -> Column:
         return F.when(F.col(name).isNotNull(), row_json(*[f"{name}.{c}" for c in columns]))
 
-    return both.filter(changed).select(
+    def key(name: str) -> Column:
+        return F.when(F.col("_new").isNull(), F.col(f"_old.{name}")).otherwise(F.col(f"_new.{name}"))
+
+    return changed.select(
         operation.alias("operacion"),
-        key,
+        *[key(k).alias(k) for k in keys],
         image("_old").alias("datos_anteriores"),
         image("_new").alias("datos_nuevos"),
         (F.expr(f"{user}()") if isinstance(user, str) else user).alias("usuario_bd"),

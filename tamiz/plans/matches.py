@@ -14,9 +14,10 @@ from tamiz.functions.rows import key_values
 from tamiz.functions.text import capitalise, split_first, trim_columns
 from tamiz.operators.contract import first_reason
 from tamiz.operators.star import fact_rows, insert_new_members
-from tamiz.runtime import checkpoint, computed_once, null_safe_join
+from tamiz.runtime import checkpoint, computed_once
 from tamiz.sinks.files import write_staging
-from tamiz.sinks.tables import BUCKET, append, append_absent, read_if_exists, upsert_by_bucket
+from tamiz.sinks.folders import insert_absent_folders, read_folders, upsert_folders
+from tamiz.sinks.tables import append, read_if_exists
 from tamiz.sources.delimited import read_staged, read_text_table
 
 SOURCE_COLUMNS = ["jugador_equipo", "partido", "goles", "asistencias", "fecha_partido"]
@@ -24,6 +25,7 @@ PLAYER_KEY = ["nombre_jugador", "pais"]
 MATCH_KEY = ["equipo_local", "equipo_visitante", "fecha_partido"]
 MEASURES = ["goles", "asistencias"]
 FACT_BUCKETS = 16
+ERROR_BUCKETS = 16
 STAGED_TYPES = (
     "nombre_jugador string, pais string, equipo_local string, equipo_visitante string, "
     "fecha_partido date, goles int, asistencias int"
@@ -131,15 +133,9 @@ def _grow(path: str, staged: DataFrame, key: list[str], id: str) -> DataFrame:
 
 
 def _merge_facts(path: str, facts: DataFrame, keys: list[str]) -> DataFrame:
-    """Upsert the facts that are new or changed into the buckets they belong to."""
-    spark = facts.sparkSession
-    stored = read_if_exists(spark, path)
-    if stored is not None:
-        facts = null_safe_join(facts, stored.select(*facts.columns), facts.columns, "left_anti")
-    changed = checkpoint(facts)
-    if stored is None or not changed.isEmpty():
-        upsert_by_bucket(path, changed, keys, FACT_BUCKETS)
-    return spark.read.parquet(path).drop(BUCKET)
+    """Upsert the facts that are new or differ; only the buckets they belong to are read."""
+    upsert_folders(path, facts, keys, FACT_BUCKETS)
+    return read_folders(facts.sparkSession, path)
 
 
 def load(staged: DataFrame, errors: DataFrame, target: str) -> dict[str, DataFrame]:
@@ -154,9 +150,9 @@ def load(staged: DataFrame, errors: DataFrame, target: str) -> dict[str, DataFra
         staged, [(players, PLAYER_KEY, "jugador_id"), (matches, MATCH_KEY, "partido_id")], MEASURES
     )
     stored = _merge_facts(f"{target}/fact_estadisticas", facts, ["jugador_id", "partido_id"])
-    filed = append_absent(
-        f"{target}/tb_errores_migracion", errors, ["tabla_origen", "datos_raw", "motivo_rechazo"]
-    )
+    quarantine = f"{target}/tb_errores_migracion"
+    insert_absent_folders(quarantine, errors, ["tabla_origen", "datos_raw", "motivo_rechazo"], ERROR_BUCKETS)
+    filed = read_folders(staged.sparkSession, quarantine)
     return {
         "dim_jugadores": players,
         "dim_partidos": matches,

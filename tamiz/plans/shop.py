@@ -5,23 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamiz.fixed_values import FASHION_CATEGORIES, USD_PER_EUR
 from tamiz.functions import parse
 from tamiz.functions.rows import raw_cell
 from tamiz.functions.text import strip_space
-from tamiz.operators.audit import change_log
 from tamiz.operators.contract import error_rows
 from tamiz.runtime import checkpoint, computed_once
 from tamiz.sinks.files import export_csv
-from tamiz.sinks.tables import append, append_absent, current_version, read_current, upsert, upsert_into
+from tamiz.sinks.folders import current_commit, insert_absent_folders, read_changes, read_folders, upsert_folders
+from tamiz.sinks.tables import append
 
 # Tables whose changes are logged, as the target's triggers would.
 LOGGED = ("dim_productos", "dim_clientes", "fact_ventas")
-CHANGES = "tb_log_cambios"
+# Folders by key hash that each target table is kept in; a load reads and writes those it changes.
+BUCKETS = 16
 OUT_OF_SCOPE_PRODUCT = "Producto fuera de alcance (categoría no moda) o inexistente"
 REJECTED_CLIENT = "Cliente en cuarentena (RF-01) o inexistente"
 ERROR_KEYS = ["tabla_origen", "datos_raw", "motivo_rechazo"]
@@ -221,17 +223,10 @@ def load(tables: dict[str, DataFrame], target: str, detected: date | None = None
     loaded = 0
     spark = errors.sparkSession
     for name, (rows, keys) in star_tables(tables, cleaned).items():
-        path, rows = f"{target}/{name}", checkpoint(rows)
-        if name in LOGGED:
-            # A version's changes are logged before it is published: after a failure in between, the
-            # table is as it was, and the next run writes that version's log again.
-            before = read_current(spark, path)
-            after = rows if before is None else upsert(before, rows, keys)
-            version = (current_version(spark, path) or 0) + 1
-            log_changes(f"{target}/{CHANGES}", name, before, after, keys[0], version)
-        upsert_into(path, rows, keys)
+        rows = checkpoint(rows)
+        upsert_folders(f"{target}/{name}", rows, keys, BUCKETS, logged=name in LOGGED)
         loaded += rows.count()
-    append_absent(f"{target}/tb_errores_migracion", errors, ERROR_KEYS)
+    insert_absent_folders(f"{target}/tb_errores_migracion", errors, ERROR_KEYS, BUCKETS)
     counts = {
         "registros_leidos": sum(t.count() for t in tables.values()),
         "registros_insertados": loaded,
@@ -242,14 +237,14 @@ def load(tables: dict[str, DataFrame], target: str, detected: date | None = None
     return counts
 
 
-def log_changes(path: str, name: str, before: DataFrame | None, after: DataFrame, key: str, version: int) -> None:
-    """Write what a version inserts, updates or deletes in a table to its folder of the change log."""
-    if before is None:
-        before = after.limit(0)
-    log = change_log(before.select(*after.columns), after, key)
-    shown = log.withColumn("clave", F.col(key).cast("string")).drop(key)
-    shown.write.mode("overwrite").parquet(f"{path}/tabla={name}/version={version}")
+def changes(spark: SparkSession, target: str) -> DataFrame:
+    """The change log of the logged tables: one entry for every row that a load inserted or changed."""
+    logs = []
+    for name in LOGGED:
+        log, key = read_changes(spark, f"{target}/{name}"), current_commit(spark, f"{target}/{name}").keys[0]
+        logs.append(log.withColumns({"tabla": F.lit(name), "clave": F.col(key).cast("string")}).drop(key))
+    return reduce(DataFrame.unionByName, logs)
 
 
-def fact_count(spark, target: str) -> int:
-    return read_current(spark, f"{target}/fact_ventas").count()
+def fact_count(spark: SparkSession, target: str) -> int:
+    return read_folders(spark, f"{target}/fact_ventas").count()

@@ -63,19 +63,19 @@ def read_current(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(f"{path}/{VERSION}={newest}")
 
 
-def _folder_of(spark: SparkSession, path: str):
+def folder_of(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    folder, files = _folder_of(spark, path)
+    folder, files = folder_of(spark, path)
     return files.exists(folder)
 
 
 def current_version(spark: SparkSession, path: str) -> int | None:
     """Highest version whose write was committed."""
-    folder, files = _folder_of(spark, path)
+    folder, files = folder_of(spark, path)
     if not files.exists(folder):
         return None
     versions = []
@@ -101,7 +101,7 @@ def publish(df: DataFrame, path: str) -> int:
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
     """Delete all but the newest `keep` complete versions, for when no reader uses them."""
     newest = current_version(spark, path)
-    folder, files = _folder_of(spark, path)
+    folder, files = folder_of(spark, path)
     for status in files.listStatus(folder) if newest else []:
         name = status.getPath().getName()
         if name.startswith(f"{VERSION}=") and int(name.split("=")[1]) <= newest - keep:
@@ -149,7 +149,7 @@ def upsert_by_bucket(
 
 
 def _remember_buckets(spark: SparkSession, path: str, buckets: int) -> None:
-    folder, files = _folder_of(spark, path)
+    folder, files = folder_of(spark, path)
     names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
     known = {int(n.removeprefix(BUCKET_MARKER)) for n in names if n.startswith(BUCKET_MARKER)}
     if known - {buckets}:

@@ -15,9 +15,10 @@ collection is built, a few marks at a time; Spark's shuffle files hold the strin
 A mark with more than `MANY` different runs is a very common string in very many surroundings: its windows
 are spread singly and compared by two 64-bit hashes, which gives the same answer.
 
-Order is by doc_id, then position. Null texts count as empty. Texts below 100 bytes lose nothing. Rows without
-doc_id are neither searched nor cut. Repeated rows (same id, same text) are one document and answered
-alike; an id must not stand for different texts.
+Order is by doc_id (null last), then position. Rows with one id, or without any, and different texts are different documents,
+in the order of the texts' hashes. Repeated rows (same id or both without, same text) are one
+document and answered alike. Null texts count as empty; those below 100 bytes lose nothing, longer ones are read whole
+whatever their length. An empty table stays empty. Other columns are not looked at, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -26,12 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamiz.llm.common import partitions, staged, texts
 from tamiz.llm.kernels import chunks, mix, pack, pack_sorted, text_bytes, unpack, unpack_sorted
 from tamiz.llm.language_model import grouped, split
+from tamiz.operators.numbering import number_rows
 from tamiz.queries.base import table
 from tamiz.runtime import small_side
 
@@ -42,6 +44,9 @@ MANY = 4096
 CHUNK_BYTES = 1 << 20
 BLOCK_BYTES = 32 << 20
 COLLECTION_BYTES = 1 << 18
+# Where rows without id stand, and the bits of a place that are its position in the text.
+NO_ID = (1 << 63) - 1
+PLACE_BITS = 32
 
 _SYMBOL = np.random.default_rng(3).integers(0, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _POWER = np.uint64(0x9E3779B97F4A7C15)
@@ -145,7 +150,8 @@ def block_runs(buckets: int):
                 for part in chunks(block, limit=CHUNK_BYTES):
                     rows, start, size, mark, content = runs(*text_bytes(part.column("text")))
                     size = size.view(np.uint64)
-                    doc = part.column("doc_id").to_numpy()[rows]
+                    doc, base = (part.column(c).to_numpy()[rows] for c in ("doc", "base"))
+                    start = start + base
                     for held, values in zip(found, (mark, content, doc, start, size), strict=True):
                         held.append(values)
                 columns = [np.concatenate(held) for held in found]
@@ -218,19 +224,21 @@ def fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["mark", "doc", "start", "text", "one", "two"]
     for batch in batches:
         made: list[list] = [[] for _ in names]
-        for doc, text, asked in zip(batch.column("doc"), batch.column("text").cast(pa.binary()), batch.column("asked"), strict=True):
-            raw, doc = text.as_py(), doc.as_py()
+        keys = zip(batch.column("doc").to_pylist(), batch.column("base").to_pylist(), strict=True)
+        for (doc, base), text, asked in zip(keys, batch.column("text").cast(pa.binary()), batch.column("asked"), strict=True):
+            raw = text.as_py()
             hashes = None
             for place in asked.as_py():
-                begin, end = place["start"], place["start"] + place["size"]
+                begin = place["start"] - base
+                end = begin + place["size"]
                 if not place["many"]:
-                    rows = [(place["mark"], doc, begin, raw[begin:end], None, None)]
+                    rows = [(place["mark"], doc, base + begin, raw[begin:end], None, None)]
                 else:
                     if hashes is None:
                         flat = np.frombuffer(raw, np.uint8)
                         hashes = [Hasher(flat, k).all(LENGTH).view(np.int64) for k in range(2)]
                     inside = range(begin, end - LENGTH + 1)
-                    rows = [(None, doc, at, None, int(hashes[0][at]), int(hashes[1][at])) for at in inside]
+                    rows = [(None, doc, base + at, None, int(hashes[0][at]), int(hashes[1][at])) for at in inside]
                 for values in rows:
                     for column, value in zip(made, values, strict=True):
                         column.append(value)
@@ -366,17 +374,34 @@ def collections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done(held)
 
 
-def repeated_places(docs: DataFrame) -> DataFrame:
-    """doc, start, size: byte ranges, possibly overlapping, whose bytes are all to be removed."""
-    spark = docs.sparkSession
+def placed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, doc and base. A byte of a text stands at its position plus base, which is 0 unless the id
+    stands for several texts: these follow each other with gaps, each 2^PLACE_BITS after the one before."""
+    doc, own = F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("own")
+    rows = texts(docs).select(F.col("doc_id").cast("long"), "text").select("doc_id", "text", doc, own)
+    pairs = rows.select("doc", "own").distinct()
+    several = pairs.groupBy("doc").agg(F.count("*").alias("n")).filter("n > 1").select("doc")
+    numbered = number_rows(pairs.join(several, "doc", "left_semi"), ["doc", "own"], "number")
+    bases = small_side(staged(numbered.select("doc", "own", F.shiftleft("number", PLACE_BITS).alias("base")), "substring-bases"))
+    return rows.join(bases, ["doc", "own"], "left").select("doc_id", "text", "doc", F.coalesce("base", F.lit(0).cast("long")).alias("base"))
+
+
+def base_of(start: str) -> Column:
+    return F.shiftleft(F.shiftright(start, PLACE_BITS), PLACE_BITS)
+
+
+def repeated_places(rows: DataFrame) -> DataFrame:
+    """doc, start, size of placed rows: byte ranges, possibly overlapping, whose bytes are all to be removed."""
+    spark = rows.sparkSession
     count = partitions(spark)
     buckets = max(64, 1 << (2 * count - 1).bit_length())
-    rows = texts(docs).select(F.col("doc_id").cast("long"), "text").filter("doc_id IS NOT NULL")
     dealt = rows.mapInArrow(block_runs(buckets), RUN_SCHEMA).repartition(count, "bucket").sortWithinPartitions("bucket")
     answered = staged(dealt.mapInArrow(answer_runs, PLACE_SCHEMA), "substring-runs")
-    asked = answered.filter("mark IS NOT NULL").groupBy("doc").agg(F.collect_list(F.struct("mark", "start", "size", "many")).alias("asked"))
+    asked = answered.filter("mark IS NOT NULL").groupBy("doc", base_of("start").alias("base")).agg(
+        F.collect_list(F.struct("mark", "start", "size", "many")).alias("asked")
+    )
     asked = small_side(staged(asked, "substring-asked"), weight=F.size("asked") + 1)
-    found = rows.select(F.col("doc_id").alias("doc"), "text").join(asked, "doc")
+    found = rows.select("doc", "base", "text").join(asked, ["doc", "base"])
     schema = "mark long, doc long, start long, text binary, one long, two long"
     strings = staged(found.mapInArrow(fetched, schema), "substring-strings")
     sorted_marks = strings.filter("mark IS NOT NULL").select("mark", "doc", "start", "text")
@@ -428,10 +453,11 @@ def cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (removed byte ranges) and kept (remaining bytes) of every row."""
-    spans = repeated_places(docs).groupBy("doc").agg(F.collect_list(F.struct("start", "size")).alias("_s"))
-    spans = spans.select("doc", F.col("_s.start").alias("starts"), F.col("_s.size").alias("sizes"))
-    rows = texts(docs).select(F.col("doc_id").cast("long"), "text")
-    joined_rows = rows.join(spans, rows["doc_id"] == spans["doc"], "left").select("doc_id", "text", "starts", "sizes")
+    rows = placed(docs)
+    held = repeated_places(rows).withColumn("base", base_of("start"))
+    spans = held.groupBy("doc", "base").agg(F.collect_list(F.struct((F.col("start") - F.col("base")).alias("start"), "size")).alias("_s"))
+    spans = spans.select("doc", "base", F.col("_s.start").alias("starts"), F.col("_s.size").alias("sizes"))
+    joined_rows = rows.join(spans, ["doc", "base"], "left").select("doc_id", "text", "starts", "sizes")
     schema = "doc_id long, n_bytes long, n_removed long, spans array<struct<begin: long, end: long>>, kept binary"
     return joined_rows.mapInArrow(cut_texts, schema)
 

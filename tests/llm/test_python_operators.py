@@ -166,7 +166,7 @@ def test_substrings(spark, monkeypatch, many):
     monkeypatch.setattr(substrings, "MANY", many)
     rows = sample() + [(100, ""), (101, "z" * 99), (102, "z" * 100), (103, "z" * 700), (104, "ab" * 300), (105, "abc " * 90)]
     rows += [(106, rows[1][1][:150] + "☃" + rows[1][1][40:260]), (107, "q" * 60 + rows[2][1][:99])]
-    nulls = [(None, "z" * 500), (108, None), (5, rows[5][1])]
+    nulls = [(None, "fresh"), (108, None), (5, rows[5][1])]
     docs = spark.createDataFrame(rows + nulls, "doc_id long, text string").withColumn("size", F.lit("x")).repartition(4)
     want = brute_substrings(rows)
     found = substrings.remove_repeats(docs).collect()
@@ -192,6 +192,30 @@ def test_repeated_rows_in_one_partition_keep_their_text(spark):
         assert (r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest()) == want[r.doc_id]
 
 
+def key_order(spark, rows):
+    """Rows as documents in the operator's order: id, null last, then the hash of the text; repeated rows once."""
+    own = {t: h for t, h in spark.createDataFrame([(r[1],) for r in rows], "t string").select("t", F.xxhash64("t")).collect()}
+    return sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, own[r[1]]))
+
+
+@pytest.mark.parametrize("many", [substrings.MANY, 1])
+def test_ids_of_several_texts_and_rows_without_id(spark, monkeypatch, many):
+    monkeypatch.setattr(substrings, "MANY", many)
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    part = ["".join(rng.choice(letters) for _ in range(300)) for _ in range(8)]
+    rows = [(1, part[0]), (2, part[1] + part[0]), (2, part[2] + part[3]), (2, part[4] + part[1]), (2, part[4] + part[1])]
+    rows += [(None, part[3]), (None, part[5] + part[4][:150]), (None, part[5]), (None, part[5]), (None, ""), (7, part[6] + part[6])]
+    rows += [((1 << 63) - 1, part[6] + part[7]), (0, part[7] + "!")]
+    ordered = key_order(spark, rows)
+    want = dict(zip(ordered, (v for _, v in sorted(brute_substrings(list(enumerate(t for _, t in ordered))).items())), strict=True))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"doc": F.lit("x"), "base": F.lit("y"), "own": F.lit(1)})
+    found = substrings.remove_repeats(docs.repartition(3)).collect()
+    got = [(r.doc_id, r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in found]
+    assert sorted(got, key=str) == sorted(((d, *want[d, t]) for d, t in rows), key=str)
+    assert want[2, rows[2][1]][1] == 0 and want[7, rows[10][1]][1] == 300 and sum(v[1] for v in want.values()) > 1500
+
+
 def test_collection_order():
     rng = random.Random(1)
     for _ in range(40):

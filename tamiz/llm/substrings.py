@@ -10,7 +10,8 @@ To run it on a cluster, documents are cut into short overlapping strings in such
 100-byte windows meet. Each window's mark is the smallest hash of its 32-byte substrings; a run
 of windows with one mark is one string, of 255 bytes at most. Runs go to a bucket of their mark as hashes and
 positions, deduplicated within each block before. Equal runs are answered there: all but the first
-are removed. Only where one mark has different runs are the first ones' bytes fetched, and their
+are removed. Where one mark has different runs, two of them can only share a window if they agree on `SIDE` bytes before or
+after their mark, as a window has so many on one side of it; the bytes of those that do are fetched, and their
 collection is built, a few marks at a time; Spark's shuffle files hold the strings between the passes.
 A mark with more than `MANY` different runs is a very common string in very many surroundings: its windows
 are spread singly and compared by two 64-bit hashes, which gives the same answer.
@@ -39,6 +40,8 @@ from tamiz.runtime import small_side
 
 LENGTH = 100
 MARK = 32
+# A window around a mark reaches at least so far to one side of it.
+SIDE = (LENGTH - MARK) // 2
 LONGEST = 255
 MANY = 4096
 CHUNK_BYTES = 1 << 20
@@ -85,9 +88,10 @@ def sliding(pick: np.ufunc, values: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(row, start in the text, bytes, mark, hash of the bytes) of all runs of windows with one mark. The
-    bytes of a run that holds its mark twice are given as negative: such a run may repeat itself."""
-    none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
+    """(row, start in the text, bytes, mark, hash of the bytes, sides) of all runs of windows with one mark. The
+    bytes of a run that holds its mark twice are given as negative: such a run may repeat itself. `sides`
+    are 32 bits for the bytes on each side of the mark, 0 where the run does not hold so many."""
+    none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64, np.uint64))
     if len(data) < LENGTH:
         return none
     hashes = Hasher(data)
@@ -116,14 +120,24 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     stands = np.flatnonzero(sliding(np.maximum, around, width) == short)
     low, high = np.searchsorted(stands, begin), np.searchsorted(stands, begin + size - MARK, "right")
     held, step, left = np.zeros(len(begin), np.int64), 0, np.arange(len(begin))
+    place = np.zeros(len(begin), np.int64)
     while len(left := left[low[left] + step < high[left]]):
-        held[left] += short[stands[low[left] + step]] == marks[begin[left]]
+        here = stands[low[left] + step]
+        own = short[here] == marks[begin[left]]
+        held[left] += own
+        place[left[own]] = here[own]
         step += 1
+    sides = np.zeros(len(begin), np.uint64)
+    for shift, first_byte, last_byte in ((0, place - SIDE, place + MARK), (32, place, place + MARK + SIDE)):
+        fits = np.flatnonzero((first_byte >= begin) & (last_byte <= begin + size))
+        cut = (hashes(first_byte[fits], last_byte[fits]) >> np.uint64(32)) | np.uint64(1)
+        sides[fits] |= cut << np.uint64(shift)
     signed = np.where(held > 1, -size, size)
-    return row[begin], begin - offsets[row[begin]], signed, marks[begin], hashes(begin, begin + size)
+    return row[begin], begin - offsets[row[begin]], signed, marks[begin], hashes(begin, begin + size), sides
 
 
-RUN_SCHEMA = "bucket int, mark binary, content binary, doc binary, start binary, size binary"
+RUN_COLUMNS = ("mark", "content", "sides", "doc", "start", "size")
+RUN_SCHEMA = "bucket int, " + ", ".join(f"{c} binary" for c in RUN_COLUMNS)
 
 
 def block_runs(buckets: int):
@@ -131,38 +145,39 @@ def block_runs(buckets: int):
     places of the others, which are removed in any case."""
 
     def row(bucket: int, columns: list[np.ndarray], part: slice, marked: bool) -> dict:
-        mark, content, doc, start, size = (c[part] for c in columns)
+        mark, content, sides, doc, start, size = (c[part] for c in columns)
         return {
             "bucket": bucket,
             "mark": pack_sorted(mark) if marked else None,
             "content": pack(content) if marked else None,
+            "sides": pack(sides) if marked else None,
             "doc": pack(doc.view(np.uint64)),
             "start": pack(start.astype(np.uint64)),
             "size": pack(size),
         }
 
-    schema = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("mark", "content", "doc", "start", "size"))])
+    schema = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in RUN_COLUMNS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in chunks(batch, limit=BLOCK_BYTES):
-                found = [[] for _ in range(5)]
+                found = [[] for _ in RUN_COLUMNS]
                 for part in chunks(block, limit=CHUNK_BYTES):
-                    rows, start, size, mark, content = runs(*text_bytes(part.column("text")))
+                    rows, start, size, mark, content, sides = runs(*text_bytes(part.column("text")))
                     size = size.view(np.uint64)
                     doc, base = (part.column(c).to_numpy()[rows] for c in ("doc", "base"))
                     start = start + base
-                    for held, values in zip(found, (mark, content, doc, start, size), strict=True):
+                    for held, values in zip(found, (mark, content, sides, doc, start, size), strict=True):
                         held.append(values)
                 columns = [np.concatenate(held) for held in found]
-                mark, content, doc, start, size = columns
+                mark, content, sides, doc, start, size = columns
                 order = np.lexsort((start, doc, content, mark))
                 columns = [c[order] for c in columns]
                 first = np.ones(len(order), bool)
                 first[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
                 # A repeated row has the very place of the first one and is not later than it.
                 head = np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
-                doc, start = columns[2], columns[3]
+                doc, start = columns[3], columns[4]
                 later = ~first & ((doc != doc[head]) | (start != start[head]))
                 later = [c[later] for c in columns]
                 columns = [c[first] for c in columns]
@@ -192,6 +207,21 @@ def places(doc, start, size, mark=None, content=None, many=None) -> pa.RecordBat
 PLACE_SCHEMA = "doc long, start long, size long, mark long, many boolean"
 
 
+def may_share(mark: np.ndarray, sides: np.ndarray, own_twice: np.ndarray) -> np.ndarray:
+    """Of the different runs, sorted by mark, those that may share a window with another one of their mark or
+    repeat themselves. Where a run holds its mark twice, its sides are not known, so all of that mark stay."""
+    fresh = np.ones(len(mark), bool)
+    fresh[1:] = mark[1:] != mark[:-1]
+    member = np.cumsum(fresh) - 1
+    chosen = np.bincount(member, own_twice)[member] > 0
+    for shift in (0, 32):
+        side = (sides >> np.uint64(shift)) & np.uint64(0xFFFFFFFF)
+        at = np.flatnonzero(side)
+        _, group, count = np.unique((member[at].astype(np.uint64) << np.uint64(32)) | side[at], return_inverse=True, return_counts=True)
+        chosen[at] |= count[group] > 1
+    return chosen
+
+
 def answer_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Removed places (without mark), and the first places of different runs under one mark."""
     for _, rows in grouped(batches, "bucket"):
@@ -203,20 +233,21 @@ def answer_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not rows:
             continue
         mark = np.concatenate([unpack_sorted(r["mark"]) for r in rows])
-        content, doc, start, size = (np.concatenate([unpack(r[c]) for r in rows]) for c in ("content", "doc", "start", "size"))
+        content, sides, doc, start, size = (np.concatenate([unpack(r[c]) for r in rows]) for c in RUN_COLUMNS[1:])
         doc, own_twice, size = doc.view(np.int64), size.view(np.int64) < 0, np.abs(size.view(np.int64))
         order = np.lexsort((start, doc, content, mark))
-        mark, content, doc, start, size, own_twice = (c[order] for c in (mark, content, doc, start, size, own_twice))
+        mark, content, sides, doc, start, size, own_twice = (c[order] for c in (mark, content, sides, doc, start, size, own_twice))
         first = np.ones(len(order), bool)
         first[1:] = (mark[1:] != mark[:-1]) | (content[1:] != content[:-1])
         head = np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
         # A repeated row has the very place of the first one and is not later than it.
         later = ~first & ((doc != doc[head]) | (start != start[head]))
         yield places(doc[later], start[later], size[later])
-        mark, doc, start, size, own_twice = (c[first] for c in (mark, doc, start, size, own_twice))
+        mark, sides, doc, start, size, own_twice = (c[first] for c in (mark, sides, doc, start, size, own_twice))
+        several = may_share(mark, sides, own_twice)
+        mark, doc, start, size = (c[several] for c in (mark, doc, start, size))
         _, member, count = np.unique(mark, return_inverse=True, return_counts=True)
-        several = (count[member] > 1) | own_twice
-        yield places(doc[several], start[several], size[several], mark[several], many=count[member][several] > MANY)
+        yield places(doc, start, size, mark, many=count[member] > MANY)
 
 
 def fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

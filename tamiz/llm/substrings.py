@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +48,7 @@ MANY = 4096
 CHUNK_BYTES = 1 << 20
 BLOCK_BYTES = 32 << 20
 COLLECTION_BYTES = 1 << 18
+OUT_BYTES = 4 << 20
 # Where rows without id stand, and the bits of a place that are its position in the text.
 NO_ID = (1 << 63) - 1
 PLACE_BITS = 32
@@ -90,8 +92,8 @@ def sliding(pick: np.ufunc, values: np.ndarray, width: int) -> np.ndarray:
 def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """(row, start in the text, bytes, mark, hash of the bytes, sides) of all runs of windows with one mark. The
     bytes of a run that holds its mark twice are given as negative: such a run may repeat itself. `sides`
-    are 32 bits for the bytes on each side of the mark, 0 where the run does not hold so many."""
-    none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64, np.uint64))
+    are 16 bits for the bytes on each side of the mark, 0 where the run does not hold so many."""
+    none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64, np.uint32))
     if len(data) < LENGTH:
         return none
     hashes = Hasher(data)
@@ -127,11 +129,11 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         held[left] += own
         place[left[own]] = here[own]
         step += 1
-    sides = np.zeros(len(begin), np.uint64)
-    for shift, first_byte, last_byte in ((0, place - SIDE, place + MARK), (32, place, place + MARK + SIDE)):
+    sides = np.zeros(len(begin), np.uint32)
+    for shift, first_byte, last_byte in ((0, place - SIDE, place + MARK), (16, place, place + MARK + SIDE)):
         fits = np.flatnonzero((first_byte >= begin) & (last_byte <= begin + size))
-        cut = (hashes(first_byte[fits], last_byte[fits]) >> np.uint64(32)) | np.uint64(1)
-        sides[fits] |= cut << np.uint64(shift)
+        cut = (hashes(first_byte[fits], last_byte[fits]) >> np.uint64(48)).astype(np.uint32) | np.uint32(1)
+        sides[fits] |= cut << np.uint32(shift)
     signed = np.where(held > 1, -size, size)
     return row[begin], begin - offsets[row[begin]], signed, marks[begin], hashes(begin, begin + size), sides
 
@@ -150,7 +152,7 @@ def block_runs(buckets: int):
             "bucket": bucket,
             "mark": pack_sorted(mark) if marked else None,
             "content": pack(content) if marked else None,
-            "sides": pack(sides) if marked else None,
+            "sides": sides.tobytes() if marked else None,
             "doc": pack(doc.view(np.uint64)),
             "start": pack(start.astype(np.uint64)),
             "size": pack(size),
@@ -214,10 +216,10 @@ def may_share(mark: np.ndarray, sides: np.ndarray, own_twice: np.ndarray) -> np.
     fresh[1:] = mark[1:] != mark[:-1]
     member = np.cumsum(fresh) - 1
     chosen = np.bincount(member, own_twice)[member] > 0
-    for shift in (0, 32):
-        side = (sides >> np.uint64(shift)) & np.uint64(0xFFFFFFFF)
+    for shift in (0, 16):
+        side = (sides >> np.uint32(shift)) & np.uint32(0xFFFF)
         at = np.flatnonzero(side)
-        _, group, count = np.unique((member[at].astype(np.uint64) << np.uint64(32)) | side[at], return_inverse=True, return_counts=True)
+        _, group, count = np.unique((member[at].astype(np.uint64) << np.uint64(16)) | side[at], return_inverse=True, return_counts=True)
         chosen[at] |= count[group] > 1
     return chosen
 
@@ -233,7 +235,8 @@ def answer_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not rows:
             continue
         mark = np.concatenate([unpack_sorted(r["mark"]) for r in rows])
-        content, sides, doc, start, size = (np.concatenate([unpack(r[c]) for r in rows]) for c in RUN_COLUMNS[1:])
+        content, doc, start, size = (np.concatenate([unpack(r[c]) for r in rows]) for c in ("content", "doc", "start", "size"))
+        sides = np.concatenate([np.frombuffer(r["sides"], np.uint32) for r in rows])
         doc, own_twice, size = doc.view(np.int64), size.view(np.int64) < 0, np.abs(size.view(np.int64))
         order = np.lexsort((start, doc, content, mark))
         mark, content, sides, doc, start, size, own_twice = (c[order] for c in (mark, content, sides, doc, start, size, own_twice))
@@ -253,11 +256,12 @@ def answer_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the asked places of each text; of marks with many runs the hashes of their windows."""
     names = ["mark", "doc", "start", "text", "one", "two"]
+    plain = zstandard.ZstdDecompressor()
     for batch in batches:
         made: list[list] = [[] for _ in names]
         keys = zip(batch.column("doc").to_pylist(), batch.column("base").to_pylist(), strict=True)
-        for (doc, base), text, asked in zip(keys, batch.column("text").cast(pa.binary()), batch.column("asked"), strict=True):
-            raw = text.as_py()
+        for (doc, base), text, asked in zip(keys, batch.column("packed"), batch.column("asked"), strict=True):
+            raw = plain.decompress(text.as_py())
             hashes = None
             for place in asked.as_py():
                 begin = place["start"] - base
@@ -431,8 +435,8 @@ def repeated_places(rows: DataFrame) -> DataFrame:
     asked = answered.filter("mark IS NOT NULL").groupBy("doc", base_of("start").alias("base")).agg(
         F.collect_list(F.struct("mark", "start", "size", "many")).alias("asked")
     )
-    asked = small_side(staged(asked, "substring-asked"), weight=F.size("asked") + 1)
-    found = rows.select("doc", "base", "text").join(asked, ["doc", "base"])
+    # Merge joins at every size, so that what is shuffled grows with the input alone.
+    found = squeezed(rows).select("doc", "base", "packed").join(asked.hint("merge"), ["doc", "base"])
     schema = "mark long, doc long, start long, text binary, one long, two long"
     strings = staged(found.mapInArrow(fetched, schema), "substring-strings")
     sorted_marks = strings.filter("mark IS NOT NULL").select("mark", "doc", "start", "text")
@@ -457,29 +461,49 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def squeezed(rows: DataFrame) -> DataFrame:
+    """Placed rows with their bytes compressed one by one, so that less is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        smaller = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            for part in chunks(batch):
+                packed = [smaller.compress(text.as_py()) for text in part.column("text").cast(pa.binary())]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(packed, pa.binary())], names=["doc_id", "doc", "base", "packed"])
+
+    return rows.select("doc_id", "doc", "base", "text").mapInArrow(run, "doc_id long, doc long, base long, packed binary")
+
+
 def cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_bytes", "n_removed", "spans", "kept"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])), pa.binary()]
+    plain = zstandard.ZstdDecompressor()
+
+    def made(rows: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=names)
+
+    rows, size = [[] for _ in names], 0
     for batch in batches:
-        for part in chunks(batch):
-            rows: list[list] = [[] for _ in names]
-            for doc, text, starts, sizes in zip(
-                part.column("doc_id").to_pylist(), part.column("text").cast(pa.binary()), part.column("starts"), part.column("sizes"), strict=True
-            ):
-                raw = text.as_py()
-                spans = []
-                if starts.is_valid:
-                    begin, size = starts.values.to_numpy(), sizes.values.to_numpy()
-                    spans = merged(list(zip(begin.tolist(), (begin + size).tolist(), strict=True)))
-                kept, at = [], 0
-                for begin, end in spans:
-                    kept.append(raw[at:begin])
-                    at = end
-                kept.append(raw[at:])
-                values = (doc, len(raw), sum(e - b for b, e in spans), [{"begin": b, "end": e} for b, e in spans], b"".join(kept))
-                for column, value in zip(rows, values, strict=True):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=names)
+        columns = (batch.column(c) for c in ("packed", "starts", "sizes"))
+        for doc, packed, starts, sizes in zip(batch.column("doc_id").to_pylist(), *columns, strict=True):
+            raw = plain.decompress(packed.as_py())
+            spans = []
+            if starts.is_valid:
+                begin, reach = starts.values.to_numpy(), sizes.values.to_numpy()
+                spans = merged(list(zip(begin.tolist(), (begin + reach).tolist(), strict=True)))
+            kept, at = [], 0
+            for begin, end in spans:
+                kept.append(raw[at:begin])
+                at = end
+            kept.append(raw[at:])
+            values = (doc, len(raw), sum(e - b for b, e in spans), [{"begin": b, "end": e} for b, e in spans], b"".join(kept))
+            for column, value in zip(rows, values, strict=True):
+                column.append(value)
+            size += len(raw)
+            if size >= OUT_BYTES:
+                yield made(rows)
+                rows, size = [[] for _ in names], 0
+    yield made(rows)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -488,7 +512,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     held = repeated_places(rows).withColumn("base", base_of("start"))
     spans = held.groupBy("doc", "base").agg(F.collect_list(F.struct((F.col("start") - F.col("base")).alias("start"), "size")).alias("_s"))
     spans = spans.select("doc", "base", F.col("_s.start").alias("starts"), F.col("_s.size").alias("sizes"))
-    joined_rows = rows.join(spans, ["doc", "base"], "left").select("doc_id", "text", "starts", "sizes")
+    joined_rows = squeezed(rows).join(spans.hint("merge"), ["doc", "base"], "left").select("doc_id", "packed", "starts", "sizes")
     schema = "doc_id long, n_bytes long, n_removed long, spans array<struct<begin: long, end: long>>, kept binary"
     return joined_rows.mapInArrow(cut_texts, schema)
 

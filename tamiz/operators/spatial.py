@@ -11,11 +11,18 @@ from pyspark.sql import functions as F
 
 from tamiz.fixed_values import DENSITY_FACTOR, OUTSIDE_REASON
 from tamiz.functions.units import energy_density, haversine_km
-from tamiz.runtime import join_side
+from tamiz.runtime import checkpoint, join_side, small_side
 
 RINGS_TYPE = "array<array<struct<lon:double,lat:double>>>"
 # Cell rows carry edges, so the side is measured in edges (about 50 bytes each).
 BROADCAST_EDGES = 1_000_000
+# Cells of a cover that more edges pass are cut into 16, so many times at most.
+MOST_EDGES = 32
+DEEPEST = 5
+# Share of a cell by which edges are widened against rounding.
+EDGE_PAD = 1e-6
+# Degrees; about a tenth of a millimetre.
+SMALLEST_EXTENT = 1e-9
 # Longer rings are checked for self-intersection by a join instead of in their row.
 EDGES_IN_ROW = 64
 
@@ -39,26 +46,29 @@ def polygon_edges(rings: Column) -> Column:
     return F.flatten(F.transform(rings, ring_edges))
 
 
-def is_inside(x: Column, y: Column, edges: Column) -> Column:
-    """Strictly inside: odd number of edges crossed to the right, and on no edge."""
+def _crosses(e: Column, x: Column, y: Column) -> Column:
+    """Whether the ray from the point to the right crosses the edge."""
+    straddles = (e["y1"] > y) != (e["y2"] > y)
+    at = e["x1"] + (y - e["y1"]) * (e["x2"] - e["x1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0))
+    return straddles & (x < at)
 
-    def turn(e: Column) -> Column:
-        return (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
 
-    def crosses(e: Column) -> Column:
-        straddles = (e["y1"] > y) != (e["y2"] > y)
-        at = e["x1"] + (y - e["y1"]) * (e["x2"] - e["x1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0))
-        return straddles & (x < at)
+def _side(e: Column, x: Column, y: Column) -> Column:
+    return (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
 
-    def touches(e: Column) -> Column:
-        return (
-            (turn(e) == 0)
-            & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-            & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-        )
 
-    odd = F.size(F.filter(edges, crosses)) % 2 == 1
-    return odd & ~F.exists(edges, touches)
+def _touches(e: Column, x: Column, y: Column) -> Column:
+    return (
+        (_side(e, x, y) == 0)
+        & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
+        & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+    )
+
+
+def is_inside(x: Column, y: Column, edges: Column) -> Column:
+    """Strictly inside: odd number of edges crossed to the right, and on no edge."""
+    odd = F.size(F.filter(edges, lambda e: _crosses(e, x, y))) % 2 == 1
+    return odd & ~F.exists(edges, lambda e: _touches(e, x, y))
 
 
 def polygon_cells(polygons: DataFrame, name: str, cell: float) -> DataFrame:
@@ -111,6 +121,143 @@ def within_join(
     return placed.join(side, matches, "left").select(*points.columns, name)
 
 
+def polygon_cover(
+    polygons: DataFrame, name: str, most_edges: int = MOST_EDGES, deepest: int = DEEPEST
+) -> DataFrame:
+    """(name, _level, _cx, _cy, _edges, _odd): cells of side 4 ** _level that cover each polygon.
+
+    The first cells are about as large as the polygon. A cell that more than `most_edges` edges pass
+    is cut into 16, up to `deepest` times. Cells outside are left out; inner ones have no edges. All
+    steps are projections of one stage. Coordinates are degrees; polygons with other than finite ones are left out.
+
+    A cell needs only the edges that pass it and one bit. Let an edge count for a point if the ray to
+    the right crosses it, once more for each of its ends that is right of the cell and above the
+    point. Around a ring each end is counted twice, so the parity stays that of the crossings; and an
+    edge that does not pass the cell counts alike for all points of it. `_odd` holds what those add up to.
+    """
+    edges = polygons.select(name, polygon_edges(F.col("rings")).alias("_edges"))
+    corners = {
+        "_x0": F.array_min(F.transform("_edges", lambda e: F.least(e["x1"], e["x2"]))),
+        "_x1": F.array_max(F.transform("_edges", lambda e: F.greatest(e["x1"], e["x2"]))),
+        "_y0": F.array_min(F.transform("_edges", lambda e: F.least(e["y1"], e["y2"]))),
+        "_y1": F.array_max(F.transform("_edges", lambda e: F.greatest(e["y1"], e["y2"]))),
+    }
+    extent = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"), F.lit(SMALLEST_EXTENT))
+    finite = F.forall("_edges", lambda e: F.abs(e["x1"] + e["y1"] + e["x2"] + e["y2"]) < float("inf"))
+    boxed = edges.filter((F.size("_edges") > 0) & finite).withColumns(corners)
+    rooted = boxed.withColumn("_level", F.ceil(F.log2(extent) / 2).cast("int"))
+    side = _cell_side(F.col("_level"))
+
+    def span(low: str, high: str) -> Column:
+        return F.explode(F.sequence(F.floor(F.col(low) / side), F.floor(F.col(high) / side)))
+
+    cells = rooted.withColumn("_cx", span("_x0", "_x1")).withColumn("_cy", span("_y0", "_y1"))
+    # Seen from the whole polygon, every edge counts by its crossings alone.
+    cells = _narrowed(cells.withColumns({"_odd": F.lit(False), "_right": F.lit(float("inf"))}), name)
+    for depth in range(deepest):
+        crowded = F.size("_edges") > most_edges
+        parts = F.when(crowded, F.sequence(F.lit(0), F.lit(15))).otherwise(F.array(F.lit(-1)))
+        cut = cells.withColumn("_part", F.explode(parts))
+        whole = F.col("_part") < 0
+
+        def quarter(index: str, offset: Column) -> Column:
+            return F.when(whole, F.col(index)).otherwise(F.col(index) * 4 + offset)
+
+        moved = {
+            "_right": _right_border(F.col("_level"), F.col("_cx")),
+            "_cx": quarter("_cx", F.col("_part") % 4),
+            "_cy": quarter("_cy", F.floor(F.col("_part") / 4)),
+            "_level": F.when(whole, F.col("_level")).otherwise(F.col("_level") - 1),
+        }
+        cells = _narrowed(cut.withColumns(moved), name)
+    return cells
+
+
+def _cell_side(level: Column) -> Column:
+    """A power of two, so dividing a coordinate by it is exact."""
+    return F.pow(F.lit(2.0), level * 2)
+
+
+def _slack(side: Column) -> Column:
+    """Far above the rounding of the tests and far below a cell."""
+    return side * F.lit(2.0**-20) + F.lit(1e-12)
+
+
+def _right_border(level: Column, cx: Column) -> Column:
+    side = _cell_side(level)
+    return (cx + 1) * side + _slack(side)
+
+
+def _counted_odd(edges: Column, x: Column, y: Column, right: Column) -> Column:
+    def counts(e: Column) -> Column:
+        first = (e["x1"] > right) & (e["y1"] > y)
+        second = (e["x2"] > right) & (e["y2"] > y)
+        return (_crosses(e, x, y) != first) != second
+
+    return F.size(F.filter(edges, counts)) % 2 == 1
+
+
+def _narrowed(cells: DataFrame, name: str) -> DataFrame:
+    """Cells with the edges that pass them, out of those of the cell they were cut from."""
+    side = _cell_side(F.col("_level"))
+    slack = _slack(side)
+    left, right = F.col("_cx") * side - slack, _right_border(F.col("_level"), F.col("_cx"))
+    bottom, top = F.col("_cy") * side - slack, (F.col("_cy") + 1) * side + slack
+
+    def passes(e: Column) -> Column:
+        turns = [F.signum(_side(e, x, y)) for x in (left, right) for y in (bottom, top)]
+        return (
+            (F.least(e["x1"], e["x2"]) <= right)
+            & (F.greatest(e["x1"], e["x2"]) >= left)
+            & (F.least(e["y1"], e["y2"]) <= top)
+            & (F.greatest(e["y1"], e["y2"]) >= bottom)
+            & (F.abs(sum(turns[1:], turns[0])) < 4)
+        )
+
+    x, y = (F.col("_cx") + 0.5) * side, (F.col("_cy") + 0.5) * side
+    near = cells.withColumn("_near", F.filter("_edges", passes))
+    inside = _counted_odd(F.col("_edges"), x, y, F.col("_right")) != F.col("_odd")
+    odd = inside != _counted_odd(F.col("_near"), x, y, right)
+    shown = near.select(name, "_level", "_cx", "_cy", F.col("_near").alias("_edges"), odd.alias("_odd"))
+    return shown.filter((F.size("_edges") > 0) | F.col("_odd"))
+
+
+def cover_join(points: DataFrame, polygons: DataFrame, name: str, lon: str, lat: str) -> DataFrame:
+    """The rows of `within_join`, by cells that fit each polygon instead of one grid.
+
+    Points are looked up once for each size of cell in use. Points of an inner cell match at once; in
+    others they are tested against the few edges that pass it. Points without a polygon come from one
+    anti join for each size, so no row has to be recognised again and nothing is grouped. The cover is
+    broadcast when counted small; the points then stay where they are. Points without finite coordinates are in no polygon.
+    """
+    cover = checkpoint(polygon_cover(polygons, name))
+    # One row a size: a handful.
+    levels = sorted(r[0] for r in cover.select("_level").distinct().collect())
+    if not levels:
+        return points.withColumn(name, F.lit(None).cast(polygons.schema[name].dataType))
+    side = small_side(cover, BROADCAST_EDGES, F.size("_edges") + 1)
+    x, y = F.col(lon), F.col(lat)
+    finite = (F.abs(x) < float("inf")) & (F.abs(y) < float("inf"))
+
+    def place(value: Column, level: Column) -> Column:
+        return F.when(finite, F.floor(value / _cell_side(level)))
+
+    right = _right_border(F.col("_level"), F.col("_cx"))
+    odd = _counted_odd(F.col("_edges"), x, y, right) != F.col("_odd")
+    inside = odd & ~F.exists("_edges", lambda e: _touches(e, x, y))
+
+    def met(level: Column) -> Column:
+        same = (place(x, level) == F.col("_cx")) & (place(y, level) == F.col("_cy"))
+        return (F.col("_level") == level) & same & inside
+
+    looked_up = points.withColumn("_size", F.explode(F.array(*[F.lit(v) for v in levels])))
+    matched = looked_up.join(side, met(F.col("_size"))).select(*points.columns, name)
+    rest = points
+    for level in levels:
+        rest = rest.join(side, met(F.lit(level)), "left_anti")
+    return matched.unionByName(rest.withColumn(name, F.lit(None).cast(polygons.schema[name].dataType)))
+
+
 def split_by_polygon(joined: DataFrame, name: str, reason: str = OUTSIDE_REASON):
     """(points with a polygon, quarantine with a reason)."""
     outside = joined.filter(F.col(name).isNull()).drop(name)
@@ -221,9 +368,9 @@ def _clashes_in_row(edges: Column) -> Column:
     return F.exists(edges, lambda a: F.exists(edges, lambda b: _meet(a, b, last)))
 
 
-def _clashes_by_cell(rings: DataFrame, id: str) -> DataFrame:
-    """Ids of polygons with a ring that meets itself. Each ring's box is divided into as
-    many cells as the ring has edges, so a cell holds few of them."""
+def _edges_by_cell(rings: DataFrame, id: str) -> DataFrame:
+    """Edges in the cells that they pass. Each ring's box is divided into as many cells as the
+    ring has edges, so a cell holds few of them."""
     xs = F.transform("_edges", lambda e: e["x1"])
     ys = F.transform("_edges", lambda e: e["y1"])
     sides = F.ceil(F.sqrt(F.size("_edges")))
@@ -238,17 +385,41 @@ def _clashes_by_cell(rings: DataFrame, id: str) -> DataFrame:
         F.explode("_edges").alias("e"),
     )
 
-    def cells(low: str, high: str, origin: str, width: str) -> Column:
-        def cell(value: Column) -> Column:
-            return F.coalesce(F.floor((value - F.col(origin)) / F.col(width)), F.lit(0))
+    def ends(axis: str) -> tuple[Column, Column]:
+        first, second = F.col(f"e.{axis}1"), F.col(f"e.{axis}2")
+        return F.least(first, second), F.greatest(first, second)
 
-        first = F.least(F.col(f"e.{low}"), F.col(f"e.{high}"))
-        last = F.greatest(F.col(f"e.{low}"), F.col(f"e.{high}"))
-        return F.explode(F.sequence(cell(first), cell(last)))
+    def cell(value: Column, origin: str, width: str) -> Column:
+        return F.coalesce(F.floor((value - F.col(origin)) / F.col(width)), F.lit(0))
 
-    spread = boxed.withColumn("_cx", cells("x1", "x2", "_x0", "_w")).withColumn(
-        "_cy", cells("y1", "y2", "_y0", "_h")
+    # Row by row: an edge is in the cells between the places where it enters and leaves a row.
+    low, high = ends("y")
+    rows = boxed.withColumn(
+        "_cy", F.explode(F.sequence(cell(low, "_y0", "_h"), cell(high, "_y0", "_h")))
     )
+    bottom = F.col("_y0") + (F.col("_cy") - EDGE_PAD) * F.col("_h")
+    top = F.col("_y0") + (F.col("_cy") + 1 + EDGE_PAD) * F.col("_h")
+    slope = (F.col("e.x2") - F.col("e.x1")) / F.nullif(F.col("e.y2") - F.col("e.y1"), F.lit(0.0))
+    left, right = ends("x")
+
+    def x_at(y: Column) -> Column:
+        return F.greatest(left, F.least(right, F.col("e.x1") + (y - F.col("e.y1")) * slope))
+
+    # Outside the edge's own heights, and for level edges, its ends limit it. `greatest` and `least` skip NULL.
+    enters, leaves = x_at(F.greatest(low, bottom)), x_at(F.least(high, top))
+    level = slope.isNull()
+    pad = EDGE_PAD * F.col("_w")
+    from_x = F.when(level, left).otherwise(F.least(enters, leaves))
+    to_x = F.when(level, right).otherwise(F.greatest(enters, leaves))
+    spread = rows.withColumn(
+        "_cx", F.explode(F.sequence(cell(from_x - pad, "_x0", "_w"), cell(to_x + pad, "_x0", "_w")))
+    )
+    return spread.select(id, "_ring", "_cx", "_cy", "_last", "e")
+
+
+def _clashes_by_cell(rings: DataFrame, id: str) -> DataFrame:
+    """Ids of polygons with a ring that meets itself."""
+    spread = _edges_by_cell(rings, id)
     place = [id, "_ring", "_cx", "_cy"]
     left = spread.select(*place, "_last", F.col("e").alias("a"))
     right = spread.select(*place, F.col("e").alias("b"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tamiz.operators.spatial import (
+    cover_join,
     polygon_validity,
     power_by_district,
     split_by_polygon,
@@ -79,6 +80,13 @@ def spatial_join(spark, sf_dir):
     return _placed(spark, sf_dir)
 
 
+@query(PLACED_SQL + "SELECT event_id, lon, lat, value, n_name FROM placed")
+def spatial_cover_join(spark, sf_dir):
+    """The same rows by cells that fit each polygon."""
+    points, polygons = event_points(spark, sf_dir), nation_polygons(spark, sf_dir)
+    return cover_join(points, polygons.select("n_name", "rings"), "n_name", "lon", "lat")
+
+
 @query(
     PLACED_SQL
     + """SELECT event_id, lon, lat, value, 'Punto fuera de los 11 distritos oficiales de Sevilla'

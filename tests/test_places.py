@@ -8,7 +8,17 @@ from pyspark.sql import functions as F
 
 from tamiz.fixed_values import DISTRICT_POPULATION_TOTAL, OUTSIDE_REASON, SEARCH_CENTRE, SEARCH_RADIUS_KM
 from tamiz.operators.constraints import key_difference
-from tamiz.operators.spatial import RINGS_TYPE, polygon_validity, split_by_polygon, within_join, within_radius
+from tamiz.operators.spatial import (
+    RINGS_TYPE,
+    _edges_by_cell,
+    _numbered_edges,
+    cover_join,
+    polygon_cover,
+    polygon_validity,
+    split_by_polygon,
+    within_join,
+    within_radius,
+)
 from tamiz.plans import geo_index
 from tamiz.runtime import work_dir
 from tamiz.sources.payloads import POI_TYPE, charging_points, parse_payload, read_geojson, recent
@@ -148,3 +158,80 @@ def test_validity_of_long_rings(spark):
     shapes = {"circle": [[*circle, circle[0]]], "swapped": [[*swapped, swapped[0]]], "loops": [[*loops, loops[0]]]}
     found = polygon_validity(polygons(spark, shapes), "name").collect()
     assert {r.name: r.is_valid for r in found} == {"circle": True, "swapped": False, "loops": False}
+
+
+def coast(n, radius, x=0.0, y=0.0):
+    """A closed ring of n edges with bays, whose vertices are no round numbers."""
+    angles = np.linspace(0, 2 * np.pi, n, endpoint=False)
+    far = radius * (1 + 0.2 * np.sin(7 * angles) + 0.03 * np.sin(211 * angles))
+    ring = [(float(x + r * np.cos(a)), float(y + r * np.sin(a))) for r, a in zip(far, angles)]
+    return [*ring, ring[0]]
+
+
+def test_cover_join(spark):
+    shapes = {
+        **SHAPES,
+        "coast": [coast(3000, 7.0, 1.3, -0.7), coast(400, 1.1, 2.0, 1.0)],
+        "zigzag": [[*[(float(-9 + 0.03 * i), 8.0 if i % 2 else -8.0) for i in range(200)], (-3.0, 9.0), (-9.0, 9.0)]],
+        "small": [coast(100, 0.01, 3.0, 3.0)],
+        "line": [[(1, 1), (2, 2), (1, 1)]],
+        "no rings": [],
+        "not finite": [[(0, 0), (float("nan"), 3), (4, 4), (0, 0)]],
+    }
+    rng = np.random.default_rng(2)
+    drawn = [*rng.uniform(-12, 12, (1200, 2)), *rng.uniform(2.98, 3.02, (200, 2)), *rng.integers(-9, 10, (200, 2))]
+    points = [(i, float(x), float(y)) for i, (x, y) in enumerate(drawn)]
+    odd = [(-1, None, 1.0), (-2, 1.0, None), (-3, float("nan"), 0.5), (-4, float("inf"), 0.5)]
+    df = spark.createDataFrame([*points, points[0], *odd], "id int, x double, y double")
+    got = cover_join(df, polygons(spark, shapes), "name", "x", "y")
+    assert got.columns == ["id", "x", "y", "name"]
+    pairs = sorted(((r.id, r.name) for r in got.collect()), key=str)
+    finite = {n: r for n, r in shapes.items() if n != "not finite"}
+    want = []
+    for i, x, y in [*points, points[0]]:
+        names = [n for n, rings in finite.items() if strictly_inside(x, y, rings)]
+        want += [(i, n) for n in names] or [(i, None)]
+    want += [(i, None) for i, _, _ in odd]
+    assert pairs == sorted(want, key=str)
+    empty = cover_join(df, polygons(spark, {}), "name", "x", "y")
+    assert empty.count() == len(points) + 5 and empty.filter("name IS NOT NULL").isEmpty()
+
+
+def strictly_inside(x, y, rings):
+    for ring in rings:
+        closed = ring if ring[0] == ring[-1] else [*ring, ring[0]]
+        for (x1, y1), (x2, y2) in zip(closed, closed[1:]):
+            turn = (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1)
+            if turn == 0 and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2):
+                return False
+    return inside(x, y, rings)
+
+
+def test_cover_of_a_country(spark):
+    cover = polygon_cover(polygons(spark, {"country": [coast(20000, 5.0)]}), "name").select(
+        F.size("_edges").alias("edges"), "_odd", "_level"
+    ).toPandas()
+    assert 100 < len(cover) < 20000 and (cover.edges == 0).any() and cover._level.nunique() > 2
+    # A grid of the finest cells in use over the same box has many more.
+    assert len(cover) < (12 / 4.0 ** cover._level.min()) ** 2 / 5
+    assert cover.edges.sum() < 4 * 20000 and cover[cover.edges == 0]._odd.all()
+
+
+def test_long_diagonals_fill_no_boxes(spark):
+    n = 400
+    zigzag = [(float(i), float(n * (i % 2) + i)) for i in range(n)]
+    rings = {"free": [[*zigzag, (2.0 * n, 0.5), (0.0, -5.0), zigzag[0]]], "crossed": [[*zigzag, (10.5, 0.0), zigzag[0]]]}
+    df = polygons(spark, rings)
+    shaped = df.select("name", F.posexplode(F.transform("rings", _numbered_edges)).alias("_ring", "_edges"))
+    rows = _edges_by_cell(shaped, "name").groupBy("name").count().collect()
+    # About 20 rows of cells: a diagonal passes one or two cells in each, its box can fill far more.
+    assert all(r["count"] < 3 * 21 * n for r in rows)
+    by_cell, in_row = (
+        {r.name: r.self_intersects for r in polygon_validity(df, "name", most).collect()} for most in (0, 10 * n)
+    )
+    assert by_cell == in_row and in_row["crossed"]
+    rng = np.random.default_rng(5)
+    wild = {str(i): [[(float(x), float(y)) for x, y in rng.integers(0, 30, (rng.integers(4, 8), 2))]] for i in range(60)}
+    wild |= {f"coast {i}": [coast(90, 2.0 + i / 7, i)] for i in range(5)}
+    got = [sorted((r.name, r.self_intersects) for r in polygon_validity(polygons(spark, wild), "name", most).collect()) for most in (0, 10 * n)]
+    assert got[0] == got[1] and {s for _, s in got[0]} == {True, False}

@@ -125,6 +125,11 @@ def zscore(df: DataFrame, key: str, value: str) -> DataFrame:
     history = df.groupBy(key).agg(
         F.avg(value).alias("history_mean"), F.stddev_pop(value).alias("history_std")
     )
+    return zscore_against(df, history, key, value)
+
+
+def zscore_against(df: DataFrame, history: DataFrame, key: str, value: str) -> DataFrame:
+    """The same against a history that is at hand: key, history_mean, history_std."""
     flat = F.col("history_std").isNull() | (F.col("history_std") == 0)
     score = (F.col(value) - F.col("history_mean")) / F.col("history_std")
     return df.join(join_side(history), key).withColumn("z_score", F.when(flat, 0.0).otherwise(score))

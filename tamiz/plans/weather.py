@@ -17,10 +17,12 @@ from tamiz.fixed_values import (
 from tamiz.functions.rows import new_batch
 from tamiz.operators.contract import Contract, Rule, split_by_reason
 from tamiz.operators.latest import keep_latest, newest_first
-from tamiz.operators.timeseries import daily_summary, moving_average, zscore
-from tamiz.runtime import checkpoint
+from tamiz.operators.partials import ROWS, merged, moments, part, partials
+from tamiz.operators.timeseries import daily_summary, moving_average, zscore, zscore_against
+from tamiz.runtime import checkpoint, null_safe_join
 from tamiz.sinks.files import land_envelopes
-from tamiz.sinks.tables import append, append_absent, merge_partitions, overwrite_partitions
+from tamiz.sinks.folders import current_commit, digest, read_folders, upsert_folders
+from tamiz.sinks.tables import append, append_absent, existing_partitions, merge_partitions, overwrite_partitions
 from tamiz.sources.envelope import (
     arbitrate_origin,
     as_envelopes,
@@ -39,6 +41,11 @@ PARTITIONS = ["ciudad", "anio", "mes"]
 NEWEST = ("timestamp_ingesta_utc", "id_lote")
 QUARANTINE = "_cuarentena"
 SHOWN_PROBLEMS = 20
+# Summaries per city and day, kept beside the clean table.
+PARTIALS = "_parciales"
+DAY = ["ciudad", "fecha"]
+MEASURES = ["temperature_2m", "precipitation", "wind_speed_10m"]
+DIGESTS = ["huella_0", "huella_1"]
 UNUSABLE = "_documentos_rechazados"
 # A file stream forgets files older than this, counted from the newest one: none may be.
 ANY_AGE = "36500d"
@@ -194,10 +201,13 @@ def moving_average_mart(hourly: DataFrame, rows: int = MOVING_AVERAGE_ROWS) -> D
     )
 
 
-def zscore_mart(hourly: DataFrame) -> DataFrame:
-    scored = zscore(
-        hourly.select("ciudad", "fecha_hora_utc", "temperature_2m"), "ciudad", "temperature_2m"
-    )
+def zscore_mart(hourly: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """Scores against the history of the hours, or one that is at hand (`city_history`)."""
+    chosen = hourly.select("ciudad", "fecha_hora_utc", "temperature_2m")
+    if history is None:
+        scored = zscore(chosen, "ciudad", "temperature_2m")
+    else:
+        scored = zscore_against(chosen, history, "ciudad", "temperature_2m")
     return scored.withColumnsRenamed(
         {
             "history_mean": "media_historica_c",
@@ -207,6 +217,73 @@ def zscore_mart(hourly: DataFrame) -> DataFrame:
     )
 
 
+def day_rows(silver: str, days: DataFrame) -> DataFrame | None:
+    """Clean hours of the given (ciudad, fecha); only folders of their months are read, None without a table."""
+    first, last = days.agg(F.min("fecha"), F.max("fecha")).first()
+    months = days.withColumns({"anio": F.year("fecha"), "mes": F.month("fecha")})
+    stored = existing_partitions(silver, months, PARTITIONS)
+    if stored is None:
+        return None
+    hour = F.col("fecha_hora_utc")
+    between = (hour >= F.lit(str(first)).cast("timestamp_ntz")) & (hour < F.lit(f"{last} 23:59:59.999999").cast("timestamp_ntz"))
+    dated = stored.filter(between).withColumn("fecha", F.to_date(hour))
+    return null_safe_join(dated, days, DAY, "left_semi")
+
+
+def refresh_partials(silver: str, loaded: DataFrame, rebuild: bool = False) -> int:
+    """Bring the summaries up to date after `loaded` rows were merged into the clean table.
+
+    Latest-wins merges replace rows, so the days that the rows touch are summarised anew, from their
+    own rows; all other days keep what is stored. After a `rebuild` every known day of the touched months counts as
+    touched, and one without rows is kept with a count of 0. Days whose rows did not change are recognised by a
+    digest and not written. Repeating it, also after a failure, changes nothing; returns the version.
+    """
+    spark = loaded.sparkSession
+    path = f"{silver}/{PARTIALS}"
+    known = read_folders(spark, path)
+    days = loaded.select("ciudad", F.to_date("fecha_hora_utc").alias("fecha")).distinct()
+    if rebuild and known is not None:
+        month = F.trunc("fecha", "month").alias("_mes")
+        months = days.select("ciudad", month).distinct()
+        earlier = null_safe_join(known.select(*DAY, month), months, ["ciudad", "_mes"], "left_semi")
+        days = days.unionByName(earlier.drop("_mes")).distinct()
+    days = checkpoint(days)
+    commit = current_commit(spark, path)
+    rows = None if days.isEmpty() else day_rows(silver, days)
+    if rows is None:
+        return commit.version if commit else 0
+    marks = [d.alias(name) for d, name in zip(digest([F.col(c) for c in ("fecha_hora_utc", *MEASURES)]), DIGESTS)]
+    sums = null_safe_join(days, partials(rows, DAY, MEASURES, marks), DAY, "left").fillna({ROWS: 0})
+    if known is not None:
+        same = [*DAY, ROWS, *DIGESTS]
+        sums = null_safe_join(sums, known.select(*same), same, "left_anti")
+    return upsert_folders(path, checkpoint(sums), DAY)
+
+
+def read_partials(silver: str) -> DataFrame:
+    """The summary of every day that has rows."""
+    return read_folders(SparkSession.active(), f"{silver}/{PARTIALS}").filter(F.col(ROWS) > 0)
+
+
+def daily_from_partials(days: DataFrame) -> DataFrame:
+    """The daily mart, without reading an hour."""
+    temperature, rain, wind = MEASURES
+    return days.select(
+        *DAY,
+        F.col(part(temperature, "mean")).alias("temperatura_media_c"),
+        F.col(part(temperature, "min")).alias("temperatura_minima_c"),
+        F.col(part(temperature, "max")).alias("temperatura_maxima_c"),
+        F.col(part(rain, "sum")).alias("precipitacion_total_mm"),
+        F.col(part(wind, "mean")).alias("viento_medio_kmh"),
+    )
+
+
+def city_history(days: DataFrame) -> DataFrame:
+    """(ciudad, history_mean, history_std) of the temperature, merged from the days."""
+    whole = merged(days, ["ciudad"], MEASURES[:1])
+    return moments(whole, ["ciudad"], MEASURES[0], "history_mean", "history_std")
+
+
 def marts(hourly: DataFrame) -> dict[str, DataFrame]:
     return {
         "resumen_diario": daily_mart(hourly),

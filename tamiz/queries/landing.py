@@ -9,6 +9,7 @@ from tamiz.plans import weather
 from tamiz.queries.base import query, table
 from tamiz.runtime import work_dir
 from tamiz.sinks.files import land_envelopes
+from tamiz.sinks.tables import merge_partitions
 from tamiz.sources import payloads
 from tamiz.sources.envelope import (
     arbitrate_origin,
@@ -330,26 +331,62 @@ def streamed_clean_table(spark, sf_dir):
     )
 
 
-@query(
-    f"""SELECT ciudad, strptime(fecha_hora_utc, '%Y-%m-%dT%H:%M')::DATE AS fecha, round(avg(temperature_2m), 8) AS temperatura_media_c,
+DAILY_SQL = f"""
+    SELECT ciudad, strptime(fecha_hora_utc, '%Y-%m-%dT%H:%M')::DATE AS fecha, round(avg(temperature_2m), 8) AS temperatura_media_c,
       min(temperature_2m) AS temperatura_minima_c, max(temperature_2m) AS temperatura_maxima_c,
       round(sum(precipitation), 8) AS precipitacion_total_mm, round(avg(wind_speed_10m), 8) AS viento_medio_kmh
     FROM ({CLEAN_SQL}) GROUP BY ciudad, fecha"""
-)
+
+
+def _daily_shown(daily):
+    rounded = ["temperatura_media_c", "precipitacion_total_mm", "viento_medio_kmh"]
+    columns = ["ciudad", "fecha", "temperatura_minima_c", "temperatura_maxima_c", *rounded]
+    return daily.withColumns({c: F.round(c, 8) for c in rounded}).select(*columns)
+
+
+@query(DAILY_SQL)
 def weather_marts(spark, sf_dir):
     """The daily mart written from a batch-loaded clean table."""
     silver, gold = work_dir(spark, "silver"), work_dir(spark, "gold")
     rows = flatten_envelopes(event_envelopes(spark, sf_dir))
     valid, _ = weather.clean(rows, _contract())
-    from tamiz.sinks.tables import merge_partitions
-
     merge_partitions(
         silver, weather.with_period(valid), weather.KEYS, newest_first(*weather.NEWEST), weather.PARTITIONS
     )
     daily = weather.load_marts(silver, gold)["resumen_diario"]
-    rounded = ["temperatura_media_c", "precipitacion_total_mm", "viento_medio_kmh"]
-    columns = ["ciudad", "fecha", "temperatura_minima_c", "temperatura_maxima_c", *rounded]
-    return daily.withColumns({c: F.round(c, 8) for c in rounded}).select(*columns)
+    return _daily_shown(daily)
+
+
+def _maintained(spark, sf_dir):
+    """Clean table and summaries after two deliveries, the newer one first."""
+    silver = work_dir(spark, "silver")
+    valid, _ = weather.clean(flatten_envelopes(event_envelopes(spark, sf_dir)), _contract())
+    early = F.col("timestamp_ingesta_utc") < "2024-01-16"
+    for delivery in (valid.filter(~early), valid.filter(early)):
+        rows = weather.with_period(delivery)
+        merge_partitions(silver, rows, weather.KEYS, newest_first(*weather.NEWEST), weather.PARTITIONS)
+        weather.refresh_partials(silver, delivery)
+    return silver
+
+
+@query(DAILY_SQL)
+def maintained_daily_mart(spark, sf_dir):
+    """The daily mart from summaries that each delivery brought up to date for the days it touched."""
+    return _daily_shown(weather.daily_from_partials(weather.read_partials(_maintained(spark, sf_dir))))
+
+
+@query(
+    f"""SELECT ciudad, strptime(fecha_hora_utc, '%Y-%m-%dT%H:%M') AS fecha_hora_utc, temperature_2m,
+      round(avg(temperature_2m) OVER c, 8) AS media_historica_c, round(stddev_pop(temperature_2m) OVER c, 8) AS desviacion_historica_c,
+      round((temperature_2m - avg(temperature_2m) OVER c) / stddev_pop(temperature_2m) OVER c, 7) AS z_score_temperatura
+    FROM ({CLEAN_SQL}) WINDOW c AS (PARTITION BY ciudad)"""
+)
+def maintained_zscores(spark, sf_dir):
+    """Scores of all clean hours against a history merged from the days."""
+    silver = _maintained(spark, sf_dir)
+    scored = weather.zscore_mart(spark.read.parquet(silver), weather.city_history(weather.read_partials(silver)))
+    digits = {"media_historica_c": 8, "desviacion_historica_c": 8, "z_score_temperatura": 7}
+    return scored.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 
 @query(

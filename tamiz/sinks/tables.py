@@ -143,7 +143,7 @@ def upsert_by_bucket(
     incoming = source.withColumns({**(refreshed or {}), BUCKET: bucket})
     if not duplicate_keys(incoming, keys).isEmpty():
         raise ValueError(f"the source repeats keys {list(keys)}")
-    stored = _existing_partitions(path, incoming, [BUCKET])
+    stored = existing_partitions(path, incoming, [BUCKET])
     merged = incoming if stored is None else upsert(stored, incoming, keys, check=False)
     overwrite_partitions(path, merged, [BUCKET])
 
@@ -196,13 +196,13 @@ def merge_partitions(
     row per key; `rebuild` ignores the old rows. Repeating a merge changes nothing.
     """
     merged = incoming
-    existing = None if rebuild else _existing_partitions(path, incoming, partitions)
+    existing = None if rebuild else existing_partitions(path, incoming, partitions)
     if existing is not None:
         merged = incoming.unionByName(existing, allowMissingColumns=True)
     overwrite_partitions(path, keep_latest(merged, keys, newest_by), partitions)
 
 
-def _existing_partitions(path: str, incoming: DataFrame, partitions: Sequence[str]):
+def existing_partitions(path: str, incoming: DataFrame, partitions: Sequence[str]):
     """Stored rows of the partitions that `incoming` touches, None without a table.
 
     Partition values match NULL-safely. Up to MAX_LISTED partitions are also named in a

@@ -286,6 +286,34 @@ def ring_validity(spark, sf_dir):
     return polygon_validity(customer_rings(spark, sf_dir), "c_custkey")
 
 
+@query(
+    """WITH figures AS (SELECT c_name, count(*) AS people FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_name),
+    p AS (SELECT s_name, 36.5::DOUBLE + s_acctbal / 5000 AS lat, -7.0::DOUBLE + s_nationkey / 12.5::DOUBLE AS lon FROM supplier),
+    d AS (SELECT s_name, 12742.0::DOUBLE * asin(sqrt(power(sin(radians(lat - 37.39::DOUBLE) / 2), 2)
+      + cos(radians(37.39::DOUBLE)) * cos(radians(lat)) * power(sin(radians(lon + 5.9961::DOUBLE) / 2), 2))) AS km FROM p)
+    SELECT 'polygon' AS check_name, c_name AS subject, CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'open ring' ELSE 'meets itself' END AS detail
+    FROM customer WHERE c_mktsegment IN ('AUTOMOBILE', 'MACHINERY', 'FURNITURE')
+    UNION ALL SELECT 'district', c_name, 'no figures' FROM customer WHERE c_name NOT IN (SELECT c_name FROM figures)
+    UNION ALL SELECT 'district', c_name, 'repeated polygon' FROM customer GROUP BY c_name HAVING count(*) > 1
+    UNION ALL SELECT 'figure', 'districts', 'expected 11, found ' || count(*) FROM figures HAVING count(*) <> 11
+    UNION ALL SELECT 'figure', 'population', 'expected 697233, found ' || sum(people) FROM figures HAVING sum(people) <> 697233
+    UNION ALL SELECT 'station', s_name, 'outside the search radius' FROM d WHERE km > 20"""
+)
+def district_findings(spark, sf_dir):
+    """Checks of a district run: customers' rings as polygons, their orders as figures, suppliers as stations."""
+    customer, orders = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    names = customer.select("c_custkey", F.col("c_name").alias(geo_index.NAME))
+    districts = customer_rings(spark, sf_dir).join(names, "c_custkey").select(geo_index.NAME, "rings")
+    bought = names.join(orders, names.c_custkey == orders.o_custkey)
+    socio = bought.groupBy(geo_index.NAME).agg(F.count(F.lit(1)).alias("poblacion_total"))
+    stations = table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("nombre"),
+        (F.lit(36.5) + F.col("s_acctbal") / 5000).alias("lat"),
+        (F.lit(-7.0) + F.col("s_nationkey") / F.lit(12.5)).alias("lon"),
+    )
+    return geo_index.findings(districts, socio, stations)
+
+
 @query(
     f"""WITH offsets AS (SELECT {len(OUTLINE) + 1} AS outer_n, {len(HOLE) + 1} AS hole_n)
     SELECT n_name AS feature_name, CASE WHEN n_regionkey = 0 THEN 2 ELSE 1 END AS ring_count,

@@ -235,3 +235,31 @@ def test_long_diagonals_fill_no_boxes(spark):
     wild |= {f"coast {i}": [coast(90, 2.0 + i / 7, i)] for i in range(5)}
     got = [sorted((r.name, r.self_intersects) for r in polygon_validity(polygons(spark, wild), "name", most).collect()) for most in (0, 10 * n)]
     assert got[0] == got[1] and {s for _, s in got[0]} == {True, False}
+
+
+def test_findings_of_a_district_run(spark):
+    names = [r.nombre_distrito for r in district_seed(spark).collect()]
+    strips = {n: [[(-6.05 + i * 0.009, 37.3), (-6.041 + i * 0.009, 37.3), (-6.041 + i * 0.009, 37.5), (-6.05 + i * 0.009, 37.5), (-6.05 + i * 0.009, 37.3)]] for i, n in enumerate(names)}
+    features = lambda shapes: polygons(spark, shapes).withColumnRenamed("name", "feature_name")
+    (index, placed, outside, origin), nothing = geo_index.checked_run(features(strips), None)
+    assert index.count() == 11 and placed.count() + outside.count() == 31 and origin == "FALLBACK" and nothing.isEmpty()
+    first, second, third = names[:3]
+    faulty = {**strips, first: [strips[first][0][:-1]], "ELSEWHERE": strips[first]}
+    ring = strips[second][0]
+    faulty[second] = [[ring[0], ring[2], ring[1], ring[3], ring[0]]]
+    del faulty[third]
+    socio = district_seed(spark).filter(F.col(geo_index.NAME) != names[-1])
+    socio = socio.unionByName(socio.filter(F.col(geo_index.NAME) == names[4]))
+    stations = spark.createDataFrame([("near", *SEARCH_CENTRE), ("far", 38.0, -5.9), ("lost", None, -5.9)], "nombre string, lat double, lon double")
+    districts = geo_index.keyed_districts(features(faulty))
+    found = {tuple(r) for r in geo_index.findings(districts.unionByName(districts.filter(F.col(geo_index.NAME) == names[5])), socio, stations).collect()}
+    people = socio.agg(F.sum("poblacion_total")).first()[0]
+    assert found == {
+        ("polygon", first, "open ring"), ("polygon", second, "meets itself"),
+        ("district", third, "no polygon"), ("district", "ELSEWHERE", "no figures"), ("district", names[-1], "no figures"),
+        ("district", names[4], "repeated figures"), ("district", names[5], "repeated polygon"),
+        ("figure", "population", f"expected {DISTRICT_POPULATION_TOTAL}, found {people}"),
+        ("station", "far", "outside the search radius"), ("station", "lost", "no place"),
+    }
+    none = geo_index.findings(districts.limit(0), socio.limit(0), stations.limit(0)).collect()
+    assert sorted(r.subject for r in none) == ["districts", "population"]

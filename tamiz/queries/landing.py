@@ -271,28 +271,38 @@ def payload_checks(spark, sf_dir):
 
 
 @query(
-    """SELECT 'REPLICA' AS mode, 'customer' AS table_name, count(*) AS rows FROM customer
-    UNION ALL SELECT 'REPLICA', 'orders', count(*) FROM orders
-    UNION ALL SELECT 'REPLICA', 'lineitem', count(*) FROM lineitem"""
+    """WITH totals AS (SELECT 'customer' AS table_name, count(*) AS rows FROM customer
+      UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem)
+    SELECT mode, table_name, rows FROM totals, (VALUES ('PRIMARY'), ('REPLICA')) m(mode)"""
 )
 def replica_failover(spark, sf_dir):
-    """The primary folder does not exist, so all tables come from the replica."""
+    """Read once from the primary folder, once with that folder missing, so that all tables come from the replica."""
     names = ["customer", "orders", "lineitem"]
-    tables, mode = read_first_available(
-        {
-            "PRIMARY": lambda: read_parquet_tables(spark, f"{sf_dir}/absent", names),
-            "REPLICA": lambda: read_parquet_tables(spark, sf_dir, names),
-        }
-    )
-    return row_totals(tables).select(F.lit(mode).alias("mode"), "table_name", "rows")
+
+    def totals(primary):
+        tables, mode = read_first_available(
+            {
+                "PRIMARY": lambda: read_parquet_tables(spark, primary, names),
+                "REPLICA": lambda: read_parquet_tables(spark, sf_dir, names),
+            }
+        )
+        return row_totals(tables).select(F.lit(mode).alias("mode"), "table_name", "rows")
+
+    return totals(sf_dir).unionByName(totals(f"{sf_dir}/absent"))
 
 
-@query("SELECT 'FALLBACK' AS origin, s_suppkey, s_name FROM supplier")
+@query(
+    """SELECT 'FALLBACK' AS origin, s_suppkey, s_name FROM supplier
+    UNION ALL SELECT 'API', s_suppkey, s_name FROM supplier WHERE s_acctbal > 0"""
+)
 def seed_fallback(spark, sf_dir):
-    """Without usable primary rows the seed table is taken as a whole."""
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    rows, origin = payloads.with_fallback(supplier.filter("s_suppkey < 0"), supplier)
-    return rows.select(F.lit(origin).alias("origin"), "s_suppkey", "s_name")
+    """Without usable primary rows the seed table is taken as a whole, otherwise the primary rows alone."""
+    seed = table(spark, sf_dir, "supplier")
+    shown = []
+    for usable in ("s_suppkey < 0", "s_acctbal > 0"):
+        rows, origin = payloads.with_fallback(seed.filter(usable).select("s_suppkey", "s_name"), seed.select("s_suppkey", "s_name"))
+        shown.append(rows.select(F.lit(origin).alias("origin"), "s_suppkey", "s_name"))
+    return shown[0].unionByName(shown[1])
 
 
 # Valid hours under the hourly contract; of equal (city, hour) the newest ingest counts.

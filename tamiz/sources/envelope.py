@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,22 +49,77 @@ def read_envelopes(
 ) -> DataFrame:
     """All envelopes of the files below `paths`, however they are laid out; no paths give an empty frame.
 
-    A file is read as one text and may hold one indented document, a document in each line, or
-    several of either kind. `since` (an ISO day) reads only the later fecha_ingesta= folders of a landing area.
+    A file may hold one indented document, a document in each line, or several of either kind; it is
+    read a document at a time. `since` (an ISO day) reads only the later fecha_ingesta= folders of a landing area.
     """
     if not paths:
         empty = spark.createDataFrame([], landed_type(variables))
         return empty.withColumn("path", F.lit(None).cast("string"))
-    reader = spark.read
+    reader = spark.read.option("lineSep", DOCUMENT_BREAK)
     if since is not None:
         folders = ", ".join(f"{n} string" for n in LANDING_FOLDERS)
-        files = reader.schema(f"value string, {folders}").text(list(paths), wholetext=True)
+        files = reader.schema(f"value string, {folders}").text(list(paths))
         files = files.filter(F.col("fecha_ingesta") >= since)
     else:
-        files = reader.option("recursiveFileLookup", "true").text(list(paths), wholetext=True)
+        files = reader.option("recursiveFileLookup", "true").text(list(paths))
     return envelopes_of(files, variables)
 
 
+# Between two documents: the end of a line and the brace of a document that begins. Records read with
+# this as `lineSep` hold one document at most with what stands after it, so no file is held whole.
+DOCUMENT_BREAK = "\n{"
+CODECS = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")
+RECORDS_BYTES = 4 << 20
+
+
+def whole_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow: records parted at DOCUMENT_BREAK with the line feed and brace the reader took from them.
+
+    The records of a file's block come in order. The first of a file has all its bytes; the last one
+    is followed by nothing. Blank records between documents are left out, a file of blanks is kept.
+    A lone brace at the end of a file is a document cut short, of which the reader shows nothing; it is
+    told by the file's size, if the file is read as one block.
+    """
+    names, kinds = ["value", "path"], [pa.binary(), pa.string()]
+
+    def told(block: tuple, value: bytes, first: bool, last: bool, read: int) -> Iterator[bytes]:
+        path, start, length, size = block
+        # The last record of a block may reach over all that follows.
+        ends = last and len(value) >= size - start - length
+        lone = ends and start == 0 and length == size == read and not path.endswith(CODECS)
+        text = (value if first else b"{" + value) + (b"" if ends and not lone else b"\n")
+        if text.strip() or first and ends and not lone:
+            yield text
+        if lone:
+            yield b"{"
+
+    def rows() -> Iterator[tuple[bytes, str]]:
+        # The record before, as its place in the block shows with the next one.
+        block, value, first, read = None, b"", False, 0
+        for batch in batches:
+            for record, *now in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if tuple(now) == block:
+                    yield from ((text, block[0]) for text in told(block, value, first, False, read))
+                    value, first, read = record, False, read + len(record) + len(DOCUMENT_BREAK)
+                    continue
+                if block is not None:
+                    yield from ((text, block[0]) for text in told(block, value, first, True, read))
+                block, value = tuple(now), record
+                first, read = block[1] == 0, len(record) + len(DOCUMENT_BREAK)
+        if block is not None:
+            yield from ((text, block[0]) for text in told(block, value, first, True, read))
+
+    held, size = ([], []), 0
+    for text, path in rows():
+        held[0].append(text)
+        held[1].append(path)
+        size += len(text) + len(path)
+        if size >= RECORDS_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(held, kinds, strict=True)], names=names)
+            held, size = ([], []), 0
+    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(held, kinds, strict=True)], names=names)
+
+
 # A line that is a whole document or closes an indented one ends a document; a brace at the
 # start of a line begins one. Only line feeds end lines, as JSON texts may hold other separators.
 DOCUMENT_END = r"(?md)^(\{.*\}|\})[ \t\r]*$"
@@ -72,23 +128,28 @@ BORDER = "\x01"
 
 
 def split_documents(text: Column) -> Column:
-    """The JSON documents in a file's text, and whatever stands between them. A file of blanks is one
-    document; files without any byte are skipped by the reader."""
+    """The JSON documents in a file's text or a record of it, and whatever stands between them. A file of
+    blanks is one document; files without any byte are skipped by the reader."""
     ended = F.regexp_replace(text, DOCUMENT_END, f"$1{BORDER}")
     pieces = F.split(F.regexp_replace(ended, DOCUMENT_START, f"{BORDER}{{"), BORDER, -1)
     shown = F.filter(pieces, lambda piece: piece.rlike(r"\S"))
     return F.when(F.size(shown) > 0, shown).otherwise(F.array(text))
 
 
+def document_texts(files: DataFrame) -> DataFrame:
+    """The text (`_piece`) of every document, and of whatever stands between them, with its path."""
+    place = [F.col(f"_metadata.{name}") for name in ("file_path", "file_block_start", "file_block_length", "file_size")]
+    # As bytes, which need not be valid UTF-8.
+    records = files.select(F.col("value").cast("binary"), *place).mapInArrow(whole_records, "value binary, path string")
+    return records.select(F.explode(split_documents(F.col("value").cast("string"))).alias("_piece"), "path")
+
+
 def envelopes_of(files: DataFrame, variables: Sequence[str] = HOURLY_VARIABLES) -> DataFrame:
-    """Envelopes with their path from the texts (`value`) of whole files, batch or stream.
+    """Envelopes with their path from files read as text with DOCUMENT_BREAK as `lineSep`, batch or stream.
 
     A document that does not fit the envelope, is cut short or goes on after its end keeps its text in `UNREAD`.
     """
-    schema = landed_type(variables)
-    pieces = files.select(
-        F.explode(split_documents(F.col("value"))).alias("_piece"), F.col("_metadata.file_path").alias("path")
-    )
+    schema, pieces = landed_type(variables), document_texts(files)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNREAD}
     parsed = computed_once(pieces, {"_envelope": F.from_json("_piece", schema, options)})
     envelope = F.col("_envelope")

@@ -190,6 +190,47 @@ def test_documents_are_found_however_files_are_laid_out(spark):
     assert spark.read.parquet(f"{batch}/{weather.UNUSABLE}").count() == 4
 
 
+def test_documents_are_read_one_at_a_time(spark):
+    raw = work_dir(spark, "raw")
+    os.makedirs(raw)
+    one, large = indented(document("Madrid", 3)), indented(document("Bilbao", 24))
+    files = {
+        "indented": "\n".join([one, large, one[:-60], large, one]) + "\n",
+        "lines": "\n".join([document("Madrid", 2), "not json", document("Vigo", 9)[:-20], "{", document("Lugo", 1)]),
+        "junk": "\n \nhead\n" + one + "\r\n\n" + "between\n" + large + " after\n\n",
+        "first": "  " + document("Lugo", 2) + "\n{{" + one + "\n\n{",
+        "bytes": one + "\n{caf\udce9\n" + one,
+        "blank": " \n\n",
+        "brace": "{",
+        "cut": large[:-9] + "\n",
+    }
+    for name, text in files.items():
+        with open(f"{raw}/{name}.json", "w", newline="", errors="surrogateescape") as out:
+            out.write(text)
+    whole = spark.read.text(raw, wholetext=True).select(
+        F.explode(envelope.split_documents(F.col("value"))).alias("_piece"), F.col("_metadata.file_path").alias("path")
+    )
+
+    def shown(frame, text="_piece"):
+        return sorted(map(tuple, frame.select(F.hex(text), F.regexp_extract("path", "[^/]*$", 0)).collect()))
+
+    by_document = spark.read.option("lineSep", envelope.DOCUMENT_BREAK).text(raw)
+    # No record holds two documents that can be read.
+    assert by_document.filter(F.length("value") > len(large) + 20).isEmpty()
+    assert shown(envelope.document_texts(by_document)) == shown(whole)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (97, 512, 1500):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            found = envelope.document_texts(spark.read.option("lineSep", envelope.DOCUMENT_BREAK).text(raw))
+            # A brace alone at the end of a file need not be told if the file is more than one block.
+            kept = F.regexp_replace("_piece", r"\s+$", "")
+            others = ~(F.col("path").endswith("first.json") & (kept == "{"))
+            assert shown(found.filter(others), kept) == shown(whole.filter(others), kept)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_only_needed_day_folders_are_opened(spark, monkeypatch):
     raw, opened = work_dir(spark, "raw"), []
     for day in range(1, 7):

@@ -24,6 +24,7 @@ from tamiz.sinks.files import land_envelopes
 from tamiz.sinks.folders import current_commit, digest, read_folders, upsert_folders
 from tamiz.sinks.tables import append, append_absent, existing_partitions, merge_partitions, overwrite_partitions
 from tamiz.sources.envelope import (
+    DOCUMENT_BREAK,
     arbitrate_origin,
     as_envelopes,
     envelopes_of,
@@ -155,7 +156,8 @@ def stream_clean(
         .readStream.option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
         .option("maxFileAge", max_file_age)
-        .text(raw, wholetext=True)
+        .option("lineSep", DOCUMENT_BREAK)
+        .text(raw)
     )
 
     def split(batch: DataFrame, batch_id: int):

@@ -12,6 +12,7 @@ from tamiz.sinks.files import land_envelopes
 from tamiz.sinks.tables import merge_partitions
 from tamiz.sources import payloads
 from tamiz.sources.envelope import (
+    DOCUMENT_BREAK,
     arbitrate_origin,
     envelopes_of,
     existing_batches,
@@ -124,7 +125,7 @@ def whole_documents(spark, sf_dir):
 def streamed_documents(spark, sf_dir):
     """The same through the streamed reader."""
     raw, out, state = _raw_documents(spark, sf_dir), work_dir(spark, "read"), work_dir(spark, "state")
-    files = spark.readStream.option("recursiveFileLookup", "true").text(raw, wholetext=True)
+    files = spark.readStream.option("recursiveFileLookup", "true").option("lineSep", DOCUMENT_BREAK).text(raw)
     writer = envelopes_of(files).writeStream.format("parquet").option("checkpointLocation", state)
     writer.trigger(availableNow=True).start(out).awaitTermination()
     return _documents_told(*split_envelopes(spark.read.parquet(out)))

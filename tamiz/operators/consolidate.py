@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from tamiz.functions.text import title_case
 from tamiz.functions.units import per_capita, population_density
 from tamiz.operators.quantiles import BUFFERED_ROWS, exact_median, largest_group
-from tamiz.runtime import null_safe_join
+from tamiz.runtime import checkpoint, null_safe_join
 
 
 def consolidate(df: DataFrame, key: str, first: str, second: str, **options) -> DataFrame:
     """Exact medians of two measures and the number of reports of the second, per key.
 
     NaN counts as missing. Every key is kept, also NULL and one without any number. One
-    aggregate while every key's reports fit a task; else see `exact_quantiles`.
+    aggregate while every key's reports fit a task; else they are staged once, see `exact_quantiles`.
     """
     limit = options.get("buffered_rows", BUFFERED_ROWS)
     kinds = dict(df.dtypes)
@@ -27,6 +27,8 @@ def consolidate(df: DataFrame, key: str, first: str, second: str, **options) ->
             F.median(second).alias(second),
             F.count(second).alias("n_reportes"),
         )
+    # The medians take several passes over the reports.
+    df = checkpoint(df.select(key, first, second))
     counts = df.groupBy(key).agg(F.count(second).alias("n_reportes"))
     for measure in (first, second):
         medians = exact_median(df, [key], measure, measure, **options).select(key, measure)

@@ -112,8 +112,9 @@ def country_reports(spark, sf_dir):
     """Orders as noisy country reports: spaces and case by priority, currency by status."""
     orders, customer, nation = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
     name, priority = F.col("n_name"), F.col("o_orderpriority")
+    # Customers grow with the orders: however well their file is compressed, they are not broadcast.
     return (
-        orders.join(customer, orders.o_custkey == customer.c_custkey)
+        orders.join(customer.hint("merge"), orders.o_custkey == customer.c_custkey)
         .join(nation, customer.c_nationkey == nation.n_nationkey)
         .select(
             F.when(priority == "1-URGENT", F.concat(F.lit("  "), F.lower(name)))

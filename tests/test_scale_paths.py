@@ -5,11 +5,13 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tamiz.operators.consolidate import consolidate
 from tamiz.operators.latest import keep_latest, newest_first
 from tamiz.operators.numbering import number_rows
 from tamiz.operators.quantiles import exact_quantiles
 from tamiz.operators.scoring import class_breaks, min_max, ramp_colour
 from tamiz.operators.timeseries import moving_average
+from tamiz.queries.quality import country_reports
 from tamiz.runtime import BROADCAST_ROWS, computed_once, join_side, shared_dir
 
 PROBABILITIES = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
@@ -155,3 +157,31 @@ def test_min_max_keeps_missing_values(spark):
     df = spark.createDataFrame([(1, 2.0, 3.0), (2, 4.0, 3.0), (3, None, None)], "i int, a double, b double")
     rows = {r.i: (r.x, r.y) for r in min_max(df, {"a": "x", "b": "y"}).collect()}
     assert rows == {1: (0.0, 0.0), 2: (1.0, 0.0), 3: (None, None)}
+
+
+def test_customers_are_not_broadcast_to_their_reports(spark, tmp_path):
+    for name, columns in {
+        "orders": "1L AS o_orderkey, 7L AS o_custkey, 'F' AS o_orderstatus, 10.0D AS o_totalprice, '4-LOW' AS o_orderpriority",
+        "customer": "7L AS c_custkey, 3 AS c_nationkey, 5.0D AS c_acctbal, 'BUILDING' AS c_mktsegment",
+        "nation": "3 AS n_nationkey, 'NATION_3' AS n_name, 1 AS n_regionkey",
+    }.items():
+        spark.range(1).selectExpr(*columns.split(", ")).write.parquet(f"{tmp_path}/{name}.parquet")
+    reports = country_reports(spark, str(tmp_path))
+    assert reports.select("pais_nombre_local", "pib_valor").collect() == [("NATION_3", 10.0)]
+    plan = reports._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [o_custkey" in plan and "BroadcastHashJoin [o_custkey" not in plan
+
+
+def test_reports_of_large_groups_are_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(600).selectExpr("id % 2 AS k", "CAST(id AS double) AS a", "CAST(id * 2 AS double) AS b")
+    found = consolidate(rows.mapInArrow(watched, rows.schema), "k", "a", "b", buffered_rows=50).collect()
+    assert {tuple(r) for r in found} == {(0, 299.0, 598.0, 300), (1, 300.0, 600.0, 300)}
+    # Once for the sizes of the groups, once to be staged.
+    assert seen.value <= 1200

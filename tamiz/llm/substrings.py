@@ -135,7 +135,8 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         cut = (hashes(first_byte[fits], last_byte[fits]) >> np.uint64(48)).astype(np.uint32) | np.uint32(1)
         sides[fits] |= cut << np.uint32(shift)
     signed = np.where(held > 1, -size, size)
-    return row[begin], begin - offsets[row[begin]], signed, marks[begin], hashes(begin, begin + size), sides
+    # Smallest hashes crowd at the low end; scrambled again they fill all buckets alike.
+    return row[begin], begin - offsets[row[begin]], signed, mix(marks[begin]), hashes(begin, begin + size), sides
 
 
 RUN_COLUMNS = ("mark", "content", "sides", "doc", "start", "size")

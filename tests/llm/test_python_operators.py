@@ -182,6 +182,13 @@ def test_substrings(spark, monkeypatch, many):
     assert sum(v[1] for v in want.values()) > 2000
 
 
+def test_marks_fill_all_buckets_alike():
+    data = np.random.default_rng(1).integers(0, 256, 300_000).astype(np.uint8)
+    mark = np.sort(substrings.runs(data, np.array([0, len(data)]))[3])
+    sizes = np.diff(substrings.split(mark, 64, 64))
+    assert sizes.sum() == len(mark) > 5000 and sizes.max() < 2 * sizes.mean()
+
+
 def test_repeated_rows_in_one_partition_keep_their_text(spark):
     rows = [(1, "q" * 60 + " one text of its own " * 9), (2, sample()[1][1]), (3, "ab" * 300), (4, sample()[1][1] + " more")]
     want = brute_substrings(rows)
@@ -311,6 +318,33 @@ def test_encoder_equals_the_tokenizer():
         assert ids[begins[k] : begins[k + 1]].tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_takes_new_words_in_one_result(monkeypatch):
+    encode, results = packing.Encoder(packing.tokenizer_path()), []
+
+    class Watched:
+        def __init__(self, own):
+            self.own = own
+
+        def __getattr__(self, name):
+            def call(*args, **options):
+                made = getattr(self.own, name)(*args, **options)
+                results.extend(made if isinstance(made, list) else [made])
+                return made
+
+            return call
+
+    plain, encode.tokenizer = encode.tokenizer, Watched(encode.tokenizer)
+    found = [t for _, t in sample()]
+    for words in (packing.CACHED_WORDS, 300):
+        monkeypatch.setattr(packing, "CACHED_WORDS", words)
+        for k in (0, 0, 3, 0):
+            ids, begins = encode(found[k:])
+            assert np.split(ids, begins[1:-1])[0].tolist() == plain.encode(found[k], add_special_tokens=False).ids
+            assert len(ids) == sum(len(e.ids) for e in plain.encode_batch(found[k:], add_special_tokens=False))
+    # A result for each text list with new words at most, not one for each word.
+    assert len(results) <= 8
+
+
 def test_fill_is_the_best_subset():
     rng = random.Random(6)
     for _ in range(200):

@@ -19,7 +19,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ from tamiz.queries.base import table
 
 SIZE = 1024
 END = 0
-CACHED_WORDS = 500_000
+CACHED_WORDS = 1_000_000
 CHUNK_BYTES = 1 << 20
 
 
@@ -55,8 +55,9 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # Hashes of the known pre-tokens, sorted, and which entry of begin and size each one is.
+        self.known, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
 
     def __call__(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -78,7 +79,7 @@ class Encoder:
         hashes = np.add.reduceat((points.astype(np.uint64) + np.uint64(1)) * powers[place], starts)
         distinct, sample, inverse = np.unique(mix(hashes ^ lengths.astype(np.uint64)), return_index=True, return_inverse=True)
         entry = self._entries(distinct, starts[sample], lengths[sample], points)[inverse]
-        sizes = self.size[entry]
+        sizes = self.size[entry].astype(np.int64)
         ends = np.cumsum(sizes)
         index = np.arange(ends[-1]) + np.repeat(self.begin[entry] - (ends - sizes), sizes)
         first = np.searchsorted(starts, offsets)
@@ -87,17 +88,30 @@ class Encoder:
     def _entries(self, distinct: np.ndarray, starts: np.ndarray, lengths: np.ndarray, points: np.ndarray) -> np.ndarray:
         if len(self.known) + len(distinct) > CACHED_WORDS:
             self._clear()
-        keys = distinct.tolist()
-        new = [k for k, key in enumerate(keys) if key not in self.known]
-        if new:
-            pieces = [points[starts[k] : starts[k] + lengths[k]].tobytes().decode("utf-32-le", "surrogatepass") for k in new]
-            made = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-            self.known.update((keys[k], len(self.size) + j) for j, k in enumerate(new))
-            sizes = np.array([len(m) for m in made], np.int64)
-            begin = len(self.ids) + np.cumsum(sizes) - sizes
-            self.begin, self.size = np.concatenate([self.begin, begin]), np.concatenate([self.size, sizes])
-            self.ids = np.concatenate([self.ids, np.array([i for m in made for i in m], np.uint32)])
-        return np.array([self.known[key] for key in keys], np.int64)
+        at = np.searchsorted(self.known, distinct)
+        new = np.ones(len(distinct), bool)
+        inside = at < len(self.known)
+        new[inside] = self.known[at[inside]] != distinct[inside]
+        if new.any():
+            ids, sizes = self._encoded(starts[new], lengths[new], points)
+            entries = np.arange(len(sizes), dtype=np.int32) + np.int32(len(self.size))
+            self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(sizes) - sizes])
+            self.size = np.concatenate([self.size, sizes.astype(np.int32)])
+            self.ids = np.concatenate([self.ids, ids])
+            self.known, self.entry = np.insert(self.known, at[new], distinct[new]), np.insert(self.entry, at[new], entries)
+            at = np.searchsorted(self.known, distinct)
+        return self.entry[at]
+
+    def _encoded(self, starts: np.ndarray, lengths: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all these pre-tokens and how many each one has. They are given as words of one text, which
+        the tokenizer encodes one by one: a single result instead of one per word."""
+        ends = np.cumsum(lengths)
+        held = points[np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)]
+        text = held.tobytes().decode("utf-32-le", "surrogatepass")
+        borders = [0, *ends.tolist()]
+        words = [text[a:b] for a, b in pairwise(borders)]
+        made = self.tokenizer.encode_batch([words], is_pretokenized=True, add_special_tokens=False)[0]
+        return np.array(made.ids, np.uint32), np.bincount(np.array(made.word_ids, np.int64), minlength=len(words))
 
 
 _OTHER, _LETTER, _NUMBER, _SPACE = range(4)

@@ -68,7 +68,8 @@ def read_envelopes(
 # Between two documents: the end of a line and the brace of a document that begins. Records read with
 # this as `lineSep` hold one document at most with what stands after it, so no file is held whole.
 DOCUMENT_BREAK = "\n{"
-CODECS = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")
+# Files whose size is not that of their text.
+CODECS = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate", ".passthrough")
 RECORDS_BYTES = 4 << 20
 
 
@@ -82,11 +83,14 @@ def whole_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """
     names, kinds = ["value", "path"], [pa.binary(), pa.string()]
 
+    def plain(path: str) -> bool:
+        return not path.lower().endswith(CODECS)
+
     def told(block: tuple, value: bytes, first: bool, last: bool, read: int) -> Iterator[bytes]:
         path, start, length, size = block
         # The last record of a block may reach over all that follows.
         ends = last and len(value) >= size - start - length
-        lone = ends and start == 0 and length == size == read and not path.endswith(CODECS)
+        lone = ends and start == 0 and length == size == read and plain(path)
         text = (value if first else b"{" + value) + (b"" if ends and not lone else b"\n")
         if text.strip() or first and ends and not lone:
             yield text
@@ -98,7 +102,9 @@ def whole_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         block, value, first, read = None, b"", False, 0
         for batch in batches:
             for record, *now in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                if tuple(now) == block:
+                # A file that is given twice begins anew when all its bytes have been read.
+                over = block is not None and block[1] == 0 and read >= block[3] and plain(block[0])
+                if tuple(now) == block and not over:
                     yield from ((text, block[0]) for text in told(block, value, first, False, read))
                     value, first, read = record, False, read + len(record) + len(DOCUMENT_BREAK)
                     continue

@@ -1,5 +1,6 @@
 """Inputs that used to vanish or change with size: NULL keys, NaN, blanks, bad documents, old files."""
 
+import gzip
 import json
 import os
 import time
@@ -207,6 +208,8 @@ def test_documents_are_read_one_at_a_time(spark):
     for name, text in files.items():
         with open(f"{raw}/{name}.json", "w", newline="", errors="surrogateescape") as out:
             out.write(text)
+    with gzip.open(f"{raw}/packed.json.gz", "wt", newline="") as out:
+        out.write("\n".join([one, large, one[:-60], large]) + "\n")
     whole = spark.read.text(raw, wholetext=True).select(
         F.explode(envelope.split_documents(F.col("value"))).alias("_piece"), F.col("_metadata.file_path").alias("path")
     )
@@ -218,6 +221,9 @@ def test_documents_are_read_one_at_a_time(spark):
     # No record holds two documents that can be read.
     assert by_document.filter(F.length("value") > len(large) + 20).isEmpty()
     assert shown(envelope.document_texts(by_document)) == shown(whole)
+    again = spark.read.option("lineSep", envelope.DOCUMENT_BREAK).text([raw, raw])
+    plain = ~F.col("path").endswith(".gz")
+    assert shown(envelope.document_texts(again).filter(plain)) == shown(whole.union(whole).filter(plain))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
         for size in (97, 512, 1500):
